@@ -38,8 +38,8 @@ def log_message(payload):
 def normalize_logs(df: DataFrame) -> DataFrame:
     """FP3: processable custom log envelopes → ``log`` events."""
     env = F.col("env")
-    payload = F.coalesce(F.try_variant_get(env["payload"], "$", "map<string,variant>"),
-                         empty_variant_map())
+    df = df.withColumn("payload", F.coalesce(F.col("payload"), empty_variant_map()))
+    payload = F.col("payload")
     tags = F.coalesce(F.try_variant_get(env["tags"], "$", "map<string,string>"), empty_str_map())
     return df.select(
         iso_timestamp(vget(env["timestamp"]), F.col("ingest_ts")).alias("timestamp"),

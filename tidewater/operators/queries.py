@@ -19,9 +19,10 @@ WRITE_PATTERN = "insert|update|delete"
 def normalize_queries(df: DataFrame) -> DataFrame:
     """Processable ``queries`` messages → ``database_query`` events."""
     env = F.col("env")
-    payload = F.coalesce(F.try_variant_get(env["payload"], "$", "map<string,variant>"),
-                         empty_variant_map())
-    query = vget(payload["query"])
+    df = (df.withColumn("payload", F.coalesce(F.col("payload"), empty_variant_map()))
+            .withColumn("_query", vget(F.col("payload")["query"])))
+    payload = F.col("payload")
+    query = F.col("_query")
     qhash = F.when(F.coalesce(query, F.lit("")) != "", query_fingerprint(query))
     mean = F.coalesce(vget(payload["mean_time_ms"], "double"), F.lit(0.0))
     return df.select(

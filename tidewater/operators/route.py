@@ -28,11 +28,29 @@ SAMPLE_CHARS = 200
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """Add ``env`` (the envelope as ``map<string,variant>``) and ``is_json``."""
-    v = F.try_parse_json(F.col("value"))
-    return (messages
-            .withColumn("is_json", v.isNotNull())
-            .withColumn("env", F.try_variant_get(v, "$", "map<string,variant>")))
+    """Add ``env`` (the envelope as ``map<string,variant>``), ``payload`` and ``is_json``.
+
+    Each step is its own projection over the previous one, so the JSON text is
+    parsed once and the payload converted once per message.
+    """
+    parsed = (messages
+              .withColumn("_v", F.try_parse_json(F.col("value")))
+              .withColumn("_env", F.try_variant_get(F.col("_v"), "$", "map<string,variant>")))
+    return _barrier(parsed, is_json=F.col("_v").isNotNull(), env=F.col("_env"),
+                    payload=F.try_variant_get(F.col("_env")["payload"], "$", "map<string,variant>"),
+                    drop=["_v", "_env"])
+
+
+def _barrier(df: DataFrame, drop: list[str] | None = None, **cols: Column) -> DataFrame:
+    """Add ``cols`` through a one-row generator.
+
+    Filters on generator output are not pushed below it, so a later
+    ``where(reason IS NULL)`` cannot re-inline (and re-run) the JSON parse the
+    way alias substitution through a plain projection would.
+    """
+    keep = [c for c in df.columns if c not in (drop or [])]
+    packed = F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))
+    return df.select(*keep, F.inline(packed))
 
 
 def route_column(topic: Column, env: Column) -> Column:
@@ -70,9 +88,8 @@ def _flat_tags(env: Column) -> Column:
     return is_vobject(env["tags"]) & ~F.coalesce(nested, F.lit(False))
 
 
-def reason_column(route: Column, env: Column, is_json: Column) -> Column:
+def reason_column(route: Column, env: Column, is_json: Column, payload: Column) -> Column:
     """First failed rule for a message, or NULL when it is processable."""
-    payload = F.try_variant_get(env["payload"], "$", "map<string,variant>")
     envelope_nulls = [_null_field(env, k) for k in ("host", "source", "environment", "payload", "tags")]
     logs_rules = envelope_nulls + [
         _bad_type(is_vobject(env["payload"]), env, "payload"),
@@ -103,8 +120,11 @@ def reason_column(route: Column, env: Column, is_json: Column) -> Column:
 def prepare(messages: DataFrame) -> DataFrame:
     """Bronze messages → parsed, routed, with a dead-letter ``reason``."""
     p = parse_messages(messages)
-    p = p.withColumn("route", route_column(F.col("topic"), F.col("env")))
-    return p.withColumn("reason", reason_column(F.col("route"), F.col("env"), F.col("is_json")))
+    p = p.withColumn("_route", route_column(F.col("topic"), F.col("env")))
+    return _barrier(p, route=F.col("_route"),
+                    reason=reason_column(F.col("_route"), F.col("env"), F.col("is_json"),
+                                         F.col("payload")),
+                    drop=["_route"])
 
 
 def routed(prepared: DataFrame, route: str) -> DataFrame:

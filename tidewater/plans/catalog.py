@@ -55,3 +55,277 @@ def q_normalize_queries(spark, sf_dir):
         _attr("calls", "bigint").alias("calls"),
         F.round(_attr("mean_time_ms", "double"), 4).alias("mean_time_ms"),
         "trace_id", "database")
+
+
+# --- shared silver inputs -------------------------------------------------------
+
+from tidewater.operators import analytics as an  # noqa: E402
+from tidewater.operators import entities as ent  # noqa: E402
+from tidewater.operators.route import prepare, route_counts  # noqa: E402
+from tidewater.plans.pipeline import process  # noqa: E402
+from tidewater.sinks import tables as sk  # noqa: E402
+from tidewater.sources.syslog import syslog_events  # noqa: E402
+
+# Resource attributes the collector upserts on host logs (FP12).
+COLLECTOR_RESOURCE = {"service.name": "otel-collector", "deployment.environment": "development"}
+
+
+def query_events(spark, sf_dir):
+    return route_events(td.query_messages(events_table(spark, sf_dir)), "queries")
+
+
+def log_events(spark, sf_dir):
+    return route_events(td.log_messages(events_table(spark, sf_dir)), "logs")
+
+
+def host_log_events(spark, sf_dir):
+    return route_events(td.otlp_log_messages(events_table(spark, sf_dir)), "host_logs")
+
+
+def metric_rows(spark, sf_dir):
+    return route_events(td.otlp_metric_messages(events_table(spark, sf_dir)), "metrics")
+
+
+def pipeline(spark, sf_dir):
+    return process(td.raw_messages(events_table(spark, sf_dir)))
+
+
+def _r(c, n=4):
+    return F.round(F.col(c) if isinstance(c, str) else c, n)
+
+
+# --- normalisation jobs (continued) -----------------------------------------------
+
+@register("normalize_logs")
+def q_normalize_logs(spark, sf_dir):
+    """FP3 + FP4 + FP8: custom log envelopes → enriched log events."""
+    ev = log_events(spark, sf_dir)
+    t = F.col("tags")
+    return ev.select(ntz("timestamp").alias("timestamp"), "entity_id", "event_type", "source",
+                     "environment", "message", t["log_level"].alias("log_level"),
+                     t["requires_alert"].alias("requires_alert"), t["category"].alias("category"),
+                     "trace_id", "database")
+
+
+@register("flatten_metrics")
+def q_flatten_metrics(spark, sf_dir):
+    """FP7 + FP10 + SC2/SC4/SC5/SC6: OTLP ResourceMetrics → metric rows."""
+    m = metric_rows(spark, sf_dir)
+    return m.select(ntz("timestamp").alias("timestamp"), "entity_id", "metric_name",
+                    _r("metric_value").alias("metric_value"), "metric_type", "source", "environment",
+                    "unit", F.col("tags")["severity"].alias("severity"),
+                    F.col("tags")["database"].alias("database_tag"),
+                    vget(F.col("metadata")["description"]).alias("description"))
+
+
+@register("normalize_otlp_logs")
+def q_normalize_otlp_logs(spark, sf_dir):
+    """FP5 (all records, K2): OTLP logs → syslog events."""
+    ev = host_log_events(spark, sf_dir)
+    return ev.select(ntz("timestamp").alias("timestamp"), "entity_id", "event_type", "source",
+                     "environment", "message", F.col("tags")["severity"].alias("severity"),
+                     F.col("tags")["app"].alias("app"), "trace_id")
+
+
+@register("syslog_events")
+def q_syslog_events(spark, sf_dir):
+    """SR6 + FP12 + SC12: RFC 3164 lines → syslog events with collector attributes."""
+    ev = syslog_events(td.syslog_lines(events_table(spark, sf_dir)), COLLECTOR_RESOURCE)
+    t = F.col("tags")
+    return ev.select(ntz("timestamp").alias("timestamp"), "entity_id", "event_type", "environment",
+                     "message", t["facility"].cast("int").alias("facility"),
+                     t["severity"].cast("int").alias("severity"), t["appname"].alias("appname"),
+                     t["proc_id"].alias("proc_id"), t["service.name"].alias("service_name"))
+
+
+@register("route")
+def q_route(spark, sf_dir):
+    """FP1: messages per route, accepted and rejected."""
+    return route_counts(prepare(td.raw_messages(events_table(spark, sf_dir))))
+
+
+@register("dead_letter")
+def q_dead_letter(spark, sf_dir):
+    """FP2: rejected messages by topic, route and reason."""
+    dl = pipeline(spark, sf_dir).dead_letter
+    return dl.groupBy("topic", "route", "reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@register("unified_events")
+def q_unified_events(spark, sf_dir):
+    """UN1: logs, host logs and queries in one event stream."""
+    ev = pipeline(spark, sf_dir).events
+    return (ev.groupBy("event_type", "entity_id", "environment")
+            .agg(F.count(F.lit(1)).alias("events"), ntz(F.min("timestamp")).alias("first_ts"),
+                 ntz(F.max("timestamp")).alias("last_ts")))
+
+
+def _entity_out(df):
+    return df.select("entity_id", "entity_type", ntz("first_seen").alias("first_seen"),
+                     ntz("last_seen").alias("last_seen"), "source", "environment", "records")
+
+
+@register("derive_entities")
+def q_derive_entities(spark, sf_dir):
+    """AG2: one row per entity from events and metrics."""
+    out = pipeline(spark, sf_dir)
+    return _entity_out(ent.derive_entities(ent.entity_records(out.events, out.metrics)))
+
+
+@register("upsert_entities")
+def q_upsert_entities(spark, sf_dir):
+    """AG3: entities of the first half merged with entities of the second half."""
+    out = pipeline(spark, sf_dir)
+    rec = ent.entity_records(out.events, out.metrics)
+    cut = F.lit("2024-01-15").cast("timestamp")
+    stored = ent.derive_entities(rec.where(F.col("timestamp") < cut))
+    new = ent.derive_entities(rec.where(F.col("timestamp") >= cut))
+    return _entity_out(ent.upsert_entities(stored, new))
+
+
+@register("fingerprint_rollup")
+def q_fingerprint_rollup(spark, sf_dir):
+    """AG4: totals per query fingerprint."""
+    r = an.fingerprint_rollup(query_events(spark, sf_dir))
+    return r.select("query_hash", "samples", "total_calls", _r("total_time_ms", 2).alias("total_time_ms"),
+                    _r("max_mean_time_ms").alias("max_mean_time_ms"), "sample_query",
+                    _r("weighted_mean_ms").alias("weighted_mean_ms"))
+
+
+@register("derived_ratios")
+def q_derived_ratios(spark, sf_dir):
+    """AG5: cache-hit and commit ratios per entity and day."""
+    r = an.derived_ratios(metric_rows(spark, sf_dir), "1 day")
+    return r.select("entity_id", ntz("bucket").alias("bucket"), _r("blocks_hit").alias("blocks_hit"),
+                    _r("blocks_read").alias("blocks_read"), _r("commits").alias("commits"),
+                    _r("rollbacks").alias("rollbacks"), _r("cache_hit_ratio", 6).alias("cache_hit_ratio"),
+                    _r("commit_ratio", 6).alias("commit_ratio"))
+
+
+@register("rollup")
+def q_rollup(spark, sf_dir):
+    """AG6: hourly count/min/max/avg/sum per entity and metric."""
+    r = an.rollup(metric_rows(spark, sf_dir), "1 hour")
+    return r.select(ntz("window_start").alias("window_start"), "entity_id", "metric_name", "samples",
+                    _r("min_value").alias("min_value"), _r("max_value").alias("max_value"),
+                    _r("avg_value", 6).alias("avg_value"), _r("sum_value").alias("sum_value"))
+
+
+@register("regression")
+def q_regression(spark, sf_dir):
+    """AG7: daily buckets whose mean latency exceeds 1.5 × the earlier mean."""
+    r = an.regression(query_events(spark, sf_dir), "1 day", 1.5)
+    return r.select("entity_id", "query_hash", ntz("bucket").alias("bucket"), "samples",
+                    _r("current_mean", 6).alias("current_mean"),
+                    _r("historical_mean", 6).alias("historical_mean"), _r("ratio", 6).alias("ratio"))
+
+
+def _dbq(spark, sf_dir):
+    return sk.db_queries(query_events(spark, sf_dir))
+
+
+@register("topk_total_time")
+def q_topk_total_time(spark, sf_dir):
+    """TK1 + FP21: the 20 most expensive statements by total time."""
+    t = an.top_statements_by_total_time(_dbq(spark, sf_dir), 20)
+    return t.select("host", ntz("timestamp").alias("timestamp"), "query_id", "query_text", "calls",
+                    _r("total_time_ms").alias("total_time_ms"), _r("mean_time_ms").alias("mean_time_ms"))
+
+
+@register("topk_calls")
+def q_topk_calls(spark, sf_dir):
+    """TK2: the 10 statements with the most calls."""
+    t = an.top_statements_by_calls(_dbq(spark, sf_dir), 10)
+    return t.select("host", ntz("timestamp").alias("timestamp"), "query_id", "calls",
+                    _r("mean_time_ms").alias("mean_time_ms"))
+
+
+@register("filter_entity_since")
+def q_filter_entity_since(spark, sf_dir):
+    """FP13."""
+    ev = an.events_for_entity_since(pipeline(spark, sf_dir).events, "host-3", "2024-01-15")
+    return ev.select(ntz("timestamp").alias("timestamp"), "entity_id", "event_type", "message")
+
+
+@register("filter_source_type")
+def q_filter_source_type(spark, sf_dir):
+    """FP14."""
+    ev = an.events_by_source_type(pipeline(spark, sf_dir).events, "postgresql", "database_query")
+    return ev.groupBy("entity_id", "environment").agg(F.count(F.lit(1)).alias("events"))
+
+
+@register("filter_metric_entity")
+def q_filter_metric_entity(spark, sf_dir):
+    """FP15."""
+    m = an.metric_for_entity(metric_rows(spark, sf_dir), "postgresql.commits", "host-2")
+    return m.select(ntz("timestamp").alias("timestamp"), _r("metric_value").alias("metric_value"),
+                    "environment")
+
+
+@register("filter_time_between")
+def q_filter_time_between(spark, sf_dir):
+    """FP16."""
+    ev = an.time_range(pipeline(spark, sf_dir).events, "2024-01-10 00:00:00", "2024-01-11 00:00:00")
+    return ev.select(ntz("timestamp").alias("timestamp"), "entity_id", "event_type", "message")
+
+
+@register("filter_slow_1000")
+def q_filter_slow_1000(spark, sf_dir):
+    """FP17: slow rows of the typed query table."""
+    d = an.slow_queries(_dbq(spark, sf_dir), 1000.0)
+    return d.select("host", ntz("timestamp").alias("timestamp"), "query_id",
+                    _r("mean_time_ms").alias("mean_time_ms"))
+
+
+@register("filter_logs_combined")
+def q_filter_logs_combined(spark, sf_dir):
+    """FP17: time + host + level on the typed log table."""
+    d = an.logs_combined(sk.db_logs(log_events(spark, sf_dir)), "2024-01-20", "host-1", "error")
+    return d.select(ntz("timestamp").alias("timestamp"), "host", "database_name", "log_level", "message")
+
+
+@register("filter_offset_range")
+def q_filter_offset_range(spark, sf_dir):
+    """FP18: explicit id range ``> 1000 AND < 2000``."""
+    ev = an.id_range(td.query_messages(events_table(spark, sf_dir)), 1000, 2000, "offset")
+    out = route_events(ev, "queries")
+    return out.select(ntz("timestamp").alias("timestamp"), "entity_id", "message")
+
+
+@register("filter_slow_queries")
+def q_filter_slow_queries(spark, sf_dir):
+    """FP19: mean above 100 ms."""
+    d = an.slow_queries(_dbq(spark, sf_dir))
+    return d.select("host", ntz("timestamp").alias("timestamp"), "query_id",
+                    _r("mean_time_ms").alias("mean_time_ms"))
+
+
+@register("filter_poor_cache")
+def q_filter_poor_cache(spark, sf_dir):
+    """FP19: cache hit ratio below 0.8."""
+    d = an.poor_cache(_dbq(spark, sf_dir))
+    return d.select("host", ntz("timestamp").alias("timestamp"), "query_id",
+                    _r("cache_hit_ratio").alias("cache_hit_ratio"))
+
+
+@register("filter_high_volume")
+def q_filter_high_volume(spark, sf_dir):
+    """FP19: more than 10,000 calls."""
+    d = an.high_volume(_dbq(spark, sf_dir))
+    return d.select("host", ntz("timestamp").alias("timestamp"), "query_id", "calls")
+
+
+@register("filter_errors_deadlocks")
+def q_filter_errors_deadlocks(spark, sf_dir):
+    """FP20."""
+    ev = an.errors_and_deadlocks(log_events(spark, sf_dir))
+    return ev.select(ntz("timestamp").alias("timestamp"), "entity_id",
+                     F.col("tags")["log_level"].alias("log_level"), "message")
+
+
+@register("statement_shaping")
+def q_statement_shaping(spark, sf_dir):
+    """FP21: monitoring statements dropped, text cut to 500 chars, times as double."""
+    d = an.shape_statements(_dbq(spark, sf_dir))
+    return d.select("host", ntz("timestamp").alias("timestamp"), "query_id", "query_text",
+                    _r("total_time_ms").alias("total_time_ms"), _r("mean_time_ms").alias("mean_time_ms"))

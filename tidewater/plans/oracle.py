@@ -78,3 +78,300 @@ SELECT env_ts AS timestamp, host AS entity_id, 'database_query' AS event_type,
   round(mean_time_ms, 4) AS mean_time_ms, trace_id, database
 FROM q
 """
+
+METRIC_NAME = _case("event_type", td.METRIC_NAMES)
+METRIC_UNIT = _case("event_type", td.METRIC_UNITS)
+RES_ENV = "CASE user_id % 3 WHEN 0 THEN 'production' WHEN 1 THEN 'staging' ELSE 'development' END"
+SYSLOG_APP = ("CASE event_id % 4 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(td.SYSLOG_TAGS))
+              + " END")
+
+# Custom log events (FP3 + FP4 + FP8).
+LROWS = """
+l AS (
+  SELECT b.*,
+    CASE event_type WHEN 'error' THEN CASE WHEN event_id % 4 = 0 THEN 'critical' ELSE 'error' END
+      WHEN 'signup' THEN 'warning' ELSE 'info' END AS log_level,
+    CASE event_type
+      WHEN 'error' THEN 'Query error E' || CAST(event_id % 50 AS VARCHAR) || ': ' ||
+        CASE WHEN event_id % 2 = 0 THEN 'relation r' || CAST(user_id AS VARCHAR) || ' missing' ELSE 'Unknown' END
+      WHEN 'signup' THEN 'Detected ' || CAST(event_id % 5 AS VARCHAR) || ' deadlock(s).'
+      WHEN 'purchase' THEN CAST(event_id % 10 AS VARCHAR) || '/20 active connections.'
+      WHEN 'click' THEN 'Log event of type ''checkpoint'' received.'
+      ELSE 'Log event of type ''unknown event'' received.' END AS message,
+    CASE event_type WHEN 'error' THEN 'query_error' WHEN 'signup' THEN 'deadlocks'
+      WHEN 'purchase' THEN 'connection_stats' WHEN 'click' THEN 'checkpoint' END AS payload_event_type
+  FROM b WHERE ok
+)"""
+
+# Metric rows (FP7 + FP10).
+MROWS = f"""
+m AS (
+  SELECT b.*, {METRIC_NAME} AS metric_name, {METRIC_UNIT} AS unit,
+    CASE WHEN event_type IN ('view', 'click') THEN CAST(floor(value) AS DOUBLE) ELSE value END AS metric_value,
+    CASE WHEN event_type IN ('view', 'click') THEN 'gauge' ELSE 'counter' END AS metric_type,
+    CASE WHEN user_id % 10 = 9 THEN 'unknown_host' ELSE host END AS entity_id,
+    {RES_ENV} AS res_env
+  FROM b
+)"""
+
+# OTLP log records (FP5).
+HROWS = f"""
+h AS (
+  SELECT b.*,
+    CASE WHEN user_id % 10 = 9 THEN 'unknown_syslog_host' ELSE host END AS entity_id,
+    {RES_ENV} AS res_env,
+    CASE WHEN event_type = 'view' THEN 'No message body'
+      ELSE concat_ws(' ', event_type, 'from user', CAST(user_id AS VARCHAR), props) END AS h_message,
+    CASE WHEN event_type = 'error' THEN 'err' ELSE 'info' END AS severity,
+    CASE WHEN event_type = 'click' THEN trace_id END AS h_trace
+  FROM b
+)"""
+
+# Every silver event of the pipeline (UN1).
+EVROWS = """
+ev AS (
+  SELECT env_ts AS timestamp, host AS entity_id, 'database_query' AS event_type, 'postgresql' AS source,
+         environment, message, trace_id FROM q
+  UNION ALL
+  SELECT env_ts, host, 'log', 'postgresql', environment, message, trace_id FROM l
+  UNION ALL
+  SELECT ts, entity_id, 'syslog', 'syslog', res_env, h_message, h_trace FROM h
+)"""
+
+ALL = f"WITH {BASE}, {QROWS}, {LROWS}, {MROWS}, {HROWS}, {EVROWS}"
+
+ORACLE["normalize_logs"] = f"""
+{ALL}
+SELECT env_ts AS timestamp, host AS entity_id, 'log' AS event_type, 'postgresql' AS source, environment,
+  message, log_level,
+  CASE WHEN log_level IN ('error', 'critical', 'alert', 'emergency') THEN 'true' END AS requires_alert,
+  CASE WHEN contains(coalesce(payload_event_type, ''), 'deadlock') THEN 'database_concurrency' END AS category,
+  trace_id, database
+FROM l
+"""
+
+ORACLE["flatten_metrics"] = f"""
+{ALL}
+SELECT ts AS timestamp, entity_id, metric_name, round(metric_value, 4) AS metric_value, metric_type,
+  'postgresql' AS source, res_env AS environment, unit,
+  CASE WHEN contains(metric_name, 'error') AND metric_value > 0 THEN 'warning' END AS severity,
+  database AS database_tag, 'Synthetic ' || metric_name AS description
+FROM m
+"""
+
+ORACLE["normalize_otlp_logs"] = f"""
+{ALL}
+SELECT ts AS timestamp, entity_id, 'syslog' AS event_type, 'syslog' AS source, res_env AS environment,
+  h_message AS message, severity, '' AS app, h_trace AS trace_id
+FROM h
+"""
+
+ORACLE["syslog_events"] = f"""
+{ALL}
+SELECT date_trunc('second', ts) AS timestamp, host AS entity_id, 'syslog' AS event_type,
+  'development' AS environment, event_type || ' ' || props AS message,
+  CAST((event_id % 192) // 8 AS INTEGER) AS facility, CAST(event_id % 8 AS INTEGER) AS severity,
+  {SYSLOG_APP} AS appname,
+  CASE WHEN event_id % 4 = 2 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS proc_id,
+  'otel-collector' AS service_name
+FROM b
+"""
+
+# Message-level view of the four topics (route, reason).
+MSGS = f"""
+msgs AS (
+  SELECT CASE WHEN event_id % {td.NO_TOPIC_MOD} = 0 AND not_json THEN 'ignored' ELSE k.route END AS route,
+    CASE WHEN event_id % {td.NO_TOPIC_MOD} = 0 THEN '' ELSE k.topic END AS topic,
+    CASE WHEN not_json THEN 'not_json' WHEN null_payload THEN 'null_field:payload' END AS reason
+  FROM b, (VALUES ('queries', 'raw-queries'), ('logs', 'raw-logs')) k(route, topic)
+  UNION ALL
+  SELECT 'metrics', 'otel-metrics', NULL FROM (SELECT DISTINCT user_id, event_id // {td.CHUNK} FROM b)
+  UNION ALL
+  SELECT 'host_logs', 'raw-host-logs', NULL FROM (SELECT DISTINCT user_id, event_id // {td.CHUNK} FROM b)
+)"""
+
+ORACLE["route"] = f"""
+WITH {BASE}, {MSGS}
+SELECT route, count(*) AS messages, count(*) FILTER (WHERE reason IS NULL) AS accepted,
+  count(*) FILTER (WHERE reason IS NOT NULL) AS rejected
+FROM msgs GROUP BY route
+"""
+
+ORACLE["dead_letter"] = f"""
+WITH {BASE}, {MSGS}
+SELECT topic, route, reason, count(*) AS messages FROM msgs WHERE reason IS NOT NULL GROUP BY ALL
+"""
+
+ORACLE["unified_events"] = f"""
+{ALL}
+SELECT event_type, entity_id, environment, count(*) AS events, min(timestamp) AS first_ts,
+  max(timestamp) AS last_ts
+FROM ev GROUP BY ALL
+"""
+
+ENTITIES = f"""
+{ALL},
+rec AS (
+  SELECT entity_id, timestamp, source, environment FROM ev
+  UNION ALL SELECT entity_id, ts, 'postgresql', res_env FROM m
+),
+agg AS (
+  SELECT entity_id, min(timestamp) AS first_seen, max(timestamp) AS last_seen, count(*) AS records,
+    max(CASE WHEN source IN ('postgresql', 'mysql', 'mongodb', 'oracle', 'sqlserver', 'redis')
+        THEN 1 ELSE 0 END) AS db
+  FROM rec GROUP BY entity_id
+),
+latest AS (
+  SELECT entity_id, source, environment,
+    row_number() OVER (PARTITION BY entity_id ORDER BY timestamp DESC, source DESC, environment DESC) AS rn
+  FROM rec
+)
+SELECT a.entity_id, CASE WHEN db = 1 THEN 'database_host' ELSE 'host' END AS entity_type,
+  first_seen, last_seen, l.source, l.environment, records
+FROM agg a JOIN latest l ON a.entity_id = l.entity_id AND l.rn = 1
+"""
+ORACLE["derive_entities"] = ENTITIES
+# merging two halves must give the same entities as deriving them at once
+ORACLE["upsert_entities"] = ENTITIES
+
+ORACLE["fingerprint_rollup"] = f"""
+{ALL}
+SELECT query_hash, count(*) AS samples, CAST(sum(calls) AS BIGINT) AS total_calls,
+  round(sum(calls * mean_time_ms), 2) AS total_time_ms, round(max(mean_time_ms), 4) AS max_mean_time_ms,
+  arg_min(query, env_ts) AS sample_query,
+  round(sum(calls * mean_time_ms) / sum(calls), 4) AS weighted_mean_ms
+FROM q WHERE query_hash IS NOT NULL GROUP BY query_hash
+"""
+
+ORACLE["derived_ratios"] = f"""
+{ALL},
+d AS (
+  SELECT entity_id, date_trunc('day', ts) AS bucket,
+    sum(CASE WHEN metric_name = 'postgresql.blocks_hit' THEN metric_value END) AS hit,
+    sum(CASE WHEN metric_name = 'postgresql.blocks_read' THEN metric_value END) AS rd,
+    sum(CASE WHEN metric_name = 'postgresql.commits' THEN metric_value END) AS cm,
+    sum(CASE WHEN metric_name = 'postgresql.rollbacks' THEN metric_value END) AS rb
+  FROM m GROUP BY ALL
+)
+SELECT entity_id, bucket, round(hit, 4) AS blocks_hit, round(rd, 4) AS blocks_read,
+  round(cm, 4) AS commits, round(rb, 4) AS rollbacks,
+  round(CASE WHEN hit + rd <> 0 THEN hit / (hit + rd) END, 6) AS cache_hit_ratio,
+  round(CASE WHEN cm + rb <> 0 THEN cm / (cm + rb) END, 6) AS commit_ratio
+FROM d
+"""
+
+ORACLE["rollup"] = f"""
+{ALL}
+SELECT date_trunc('hour', ts) AS window_start, entity_id, metric_name, count(*) AS samples,
+  round(min(metric_value), 4) AS min_value, round(max(metric_value), 4) AS max_value,
+  round(avg(metric_value), 6) AS avg_value, round(sum(metric_value), 4) AS sum_value
+FROM m GROUP BY ALL
+"""
+
+ORACLE["regression"] = f"""
+{ALL},
+qb AS (
+  SELECT host AS entity_id, query_hash, date_trunc('day', env_ts) AS bucket, count(*) AS samples,
+    sum(mean_time_ms) AS sum_mean
+  FROM q WHERE query_hash IS NOT NULL GROUP BY ALL
+),
+w AS (
+  SELECT *,
+    sum(sum_mean) OVER (PARTITION BY entity_id, query_hash ORDER BY bucket
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS hist_sum,
+    sum(samples) OVER (PARTITION BY entity_id, query_hash ORDER BY bucket
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS hist_n
+  FROM qb
+)
+SELECT entity_id, query_hash, bucket, samples, round(sum_mean / samples, 6) AS current_mean,
+  round(hist_sum / hist_n, 6) AS historical_mean,
+  round((sum_mean / samples) / (hist_sum / hist_n), 6) AS ratio
+FROM w WHERE sum_mean / samples > (hist_sum / hist_n) * 1.5
+"""
+
+QID = f"'q' || CAST(event_id % {len(td.QUERY_TEXTS)} AS VARCHAR)"
+
+ORACLE["topk_total_time"] = f"""
+{ALL}
+SELECT host, env_ts AS timestamp, {QID} AS query_id, substr(query, 1, 500) AS query_text, calls,
+  round(calls * mean_time_ms, 4) AS total_time_ms, round(mean_time_ms, 4) AS mean_time_ms
+FROM q WHERE coalesce(query, '') NOT LIKE '%pg_stat%'
+ORDER BY calls * mean_time_ms DESC, host, env_ts, {QID} LIMIT 20
+"""
+
+ORACLE["topk_calls"] = f"""
+{ALL}
+SELECT host, env_ts AS timestamp, {QID} AS query_id, calls, round(mean_time_ms, 4) AS mean_time_ms
+FROM q ORDER BY calls DESC, host, env_ts, {QID} LIMIT 10
+"""
+
+ORACLE["filter_entity_since"] = f"""
+{ALL}
+SELECT timestamp, entity_id, event_type, message FROM ev
+WHERE entity_id = 'host-3' AND timestamp > TIMESTAMP '2024-01-15'
+"""
+
+ORACLE["filter_source_type"] = f"""
+{ALL}
+SELECT entity_id, environment, count(*) AS events FROM ev
+WHERE source = 'postgresql' AND event_type = 'database_query' GROUP BY ALL
+"""
+
+ORACLE["filter_metric_entity"] = f"""
+{ALL}
+SELECT ts AS timestamp, round(metric_value, 4) AS metric_value, res_env AS environment FROM m
+WHERE metric_name = 'postgresql.commits' AND entity_id = 'host-2'
+"""
+
+ORACLE["filter_time_between"] = f"""
+{ALL}
+SELECT timestamp, entity_id, event_type, message FROM ev
+WHERE timestamp BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-11 00:00:00'
+"""
+
+ORACLE["filter_slow_1000"] = f"""
+{ALL}
+SELECT host, env_ts AS timestamp, {QID} AS query_id, round(mean_time_ms, 4) AS mean_time_ms
+FROM q WHERE mean_time_ms > 1000
+"""
+
+ORACLE["filter_logs_combined"] = f"""
+{ALL}
+SELECT env_ts AS timestamp, host, database AS database_name, log_level, message FROM l
+WHERE env_ts > TIMESTAMP '2024-01-20' AND host = 'host-1' AND log_level = 'error'
+"""
+
+ORACLE["filter_offset_range"] = f"""
+{ALL}
+SELECT env_ts AS timestamp, host AS entity_id, message FROM q WHERE event_id > 1000 AND event_id < 2000
+"""
+
+ORACLE["filter_slow_queries"] = f"""
+{ALL}
+SELECT host, env_ts AS timestamp, {QID} AS query_id, round(mean_time_ms, 4) AS mean_time_ms
+FROM q WHERE mean_time_ms > 100
+"""
+
+ORACLE["filter_poor_cache"] = f"""
+{ALL}
+SELECT host, env_ts AS timestamp, {QID} AS query_id, round(cache_hit_ratio, 4) AS cache_hit_ratio
+FROM q WHERE cache_hit_ratio < 0.8
+"""
+
+ORACLE["filter_high_volume"] = f"""
+{ALL}
+SELECT host, env_ts AS timestamp, {QID} AS query_id, calls FROM q WHERE calls > 10000
+"""
+
+ORACLE["filter_errors_deadlocks"] = f"""
+{ALL}
+SELECT env_ts AS timestamp, host AS entity_id, log_level, message FROM l
+WHERE log_level = 'error' OR payload_event_type = 'deadlocks'
+"""
+
+ORACLE["statement_shaping"] = f"""
+{ALL}
+SELECT host, env_ts AS timestamp, {QID} AS query_id, substr(query, 1, 500) AS query_text,
+  round(calls * mean_time_ms, 4) AS total_time_ms, round(mean_time_ms, 4) AS mean_time_ms
+FROM q WHERE coalesce(query, '') NOT LIKE '%pg_stat%'
+"""

@@ -41,7 +41,7 @@ def get_session(master: str | None = None, app: str = "tidewater",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:

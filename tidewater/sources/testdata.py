@@ -140,9 +140,12 @@ def log_messages(events: DataFrame) -> DataFrame:
 
 def _attr(key: str, value: Column, camel: Column, kind: str = "string") -> Column:
     """One OTLP attribute; camelCase or snake_case value spelling per row."""
-    camel_name, snake_name = ("stringValue", "string_value") if kind == "string" else ("intValue", "int_value")
+    def put(want_kind, want_camel):
+        cond = camel if want_camel else ~camel
+        return F.when(cond, value) if kind == want_kind else F.lit(None).cast("string")
     return F.struct(F.lit(key).alias("key"), F.struct(
-        F.when(camel, value).alias(camel_name), F.when(~camel, value).alias(snake_name)).alias("value"))
+        put("string", True).alias("stringValue"), put("string", False).alias("string_value"),
+        put("int", True).alias("intValue"), put("int", False).alias("int_value")).alias("value"))
 
 
 def _resource(b: DataFrame, with_pid: bool) -> Column:
