@@ -270,3 +270,12 @@ def trace_correlation(events: DataFrame) -> DataFrame:
                  F.max("timestamp").alias("last_ts"),
                  F.array_join(F.sort_array(F.collect_set("entity_id")), ",").alias("entities"),
                  F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("event_types")))
+
+
+def table_counts(**tables: DataFrame) -> DataFrame:
+    """AG11: ``count(*)`` of each named table, one row per table."""
+    frames = [df.select(F.lit(name).alias("table_name")) for name, df in tables.items()]
+    u = frames[0]
+    for f in frames[1:]:
+        u = u.unionByName(f)
+    return u.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))

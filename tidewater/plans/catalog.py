@@ -329,3 +329,210 @@ def q_statement_shaping(spark, sf_dir):
     d = an.shape_statements(_dbq(spark, sf_dir))
     return d.select("host", ntz("timestamp").alias("timestamp"), "query_id", "query_text",
                     _r("total_time_ms").alias("total_time_ms"), _r("mean_time_ms").alias("mean_time_ms"))
+
+
+# --- joins --------------------------------------------------------------------------
+
+from tidewater.operators import joins as jn  # noqa: E402
+from tidewater.operators import quality as qa  # noqa: E402
+
+
+
+@register("join_customer_orders")
+def q_join_customer_orders(spark, sf_dir):
+    """JN1: customers ⟕ orders, orders counted per customer name."""
+    configure(spark)
+    return jn.orders_per_customer(td.load(spark, sf_dir, "customer"), td.load(spark, sf_dir, "orders"))
+
+
+@register("join_full_outer")
+def q_join_full_outer(spark, sf_dir):
+    """JN2: full outer equi-join of two sources."""
+    configure(spark)
+    c = td.load(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    o = td.load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    j = jn.full_outer(c, o, "c_custkey", "o_custkey")
+    return j.select("c_custkey", "c_name", "o_orderkey", "o_custkey",
+                    _r("o_totalprice", 2).alias("o_totalprice"))
+
+
+@register("entity_lookup")
+def q_entity_lookup(spark, sf_dir):
+    """JN3: events ⟕ entities (broadcast after a size check)."""
+    out = pipeline(spark, sf_dir)
+    ents = ent.derive_entities(ent.entity_records(out.events, out.metrics))
+    j = ent.entity_lookup(out.events, ents)
+    return j.groupBy("event_type", "entity_type").agg(F.count(F.lit(1)).alias("events"))
+
+
+@register("trace_correlation")
+def q_trace_correlation(spark, sf_dir):
+    """JN4: events grouped by shared trace id."""
+    t = an.trace_correlation(pipeline(spark, sf_dir).events)
+    return t.select("trace_id", "events", ntz("first_ts").alias("first_ts"),
+                    ntz("last_ts").alias("last_ts"), "entities", "event_types")
+
+
+# --- collector statistics -----------------------------------------------------------
+
+def _snapshots(spark, sf_dir):
+    act = td.activity_rows(events_table(spark, sf_dir))
+    counts = an.filtered_counts(act, F.col("state"), ["host", "database", "snapshot_ts"])
+    dl = act.groupBy("host", "database", "snapshot_ts").agg(F.count_if("deadlock").alias("deadlocks"))
+    return counts.join(dl, ["host", "database", "snapshot_ts"])
+
+
+@register("filtered_counts")
+def q_filtered_counts(spark, sf_dir):
+    """AG1: total / active / idle sessions per host, database and hour."""
+    act = td.activity_rows(events_table(spark, sf_dir))
+    c = an.filtered_counts(act, F.col("state"), ["host", "database", "snapshot_ts"])
+    return c.select("host", "database", ntz("snapshot_ts").alias("snapshot_ts"), "total", "active", "idle")
+
+
+@register("stats_envelopes")
+def q_stats_envelopes(spark, sf_dir):
+    """FP23: statistics snapshots → log envelopes (read back from their JSON)."""
+    snaps = (_snapshots(spark, sf_dir).withColumn("timestamp", F.col("snapshot_ts"))
+             .withColumn("environment", F.lit("production")))
+    env = qa.statistics_envelopes(snaps)
+    frame = sk.keyed_frame(env, "raw-logs")
+    j = lambda p: F.get_json_object("value", p)
+    return frame.select(
+        "key", j("$.host").alias("host"), j("$.database").alias("database"),
+        j("$.timestamp").cast("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        j("$.tags.log_level").alias("log_level"), j("$.payload.event_type").alias("event_type"),
+        j("$.payload.count").cast("double").alias("count"), j("$.payload.total").cast("double").alias("total"),
+        j("$.payload.active").cast("double").alias("active"), j("$.payload.idle").cast("double").alias("idle"))
+
+
+@register("envelope_completeness")
+def q_envelope_completeness(spark, sf_dir):
+    """FP22: per topic, bad JSON and missing envelope fields."""
+    return qa.envelope_completeness(prepare(td.raw_messages(events_table(spark, sf_dir))))
+
+
+# --- more aggregations ----------------------------------------------------------------
+
+@register("topic_volume")
+def q_topic_volume(spark, sf_dir):
+    """AG8: messages and bytes per topic and hour (byte sizes depend on JSON text; rows-only)."""
+    v = an.topic_volume(td.raw_messages(events_table(spark, sf_dir)), "1 hour")
+    return v.select("topic", ntz("window_start").alias("window_start"), "messages", "total_bytes",
+                    _r("mean_bytes", 4).alias("mean_bytes"))
+
+
+@register("alert_rollup")
+def q_alert_rollup(spark, sf_dir):
+    """AG10: alerts per day, entity and rule."""
+    out = pipeline(spark, sf_dir)
+    r = an.alert_rollup(an.alert_rows(out.events, out.metrics), "1 day")
+    return r.select(ntz("window_start").alias("window_start"), "entity_id", "rule", "alerts")
+
+
+@register("row_count")
+def q_row_count(spark, sf_dir):
+    """AG11: rows of the silver tables."""
+    out = pipeline(spark, sf_dir)
+    return an.table_counts(events=out.events, metrics=out.metrics)
+
+
+@register("dedup_by_id")
+def q_dedup_by_id(spark, sf_dir):
+    """WN1: replayed messages deduplicated on their deterministic id."""
+    msgs = td.query_messages(events_table(spark, sf_dir))
+    replayed = msgs.unionByName(msgs.where(F.col("offset") % 10 == 0))
+    d = an.dedup_first(route_events(replayed, "queries"), "id", ("timestamp",))
+    return d.select(ntz("timestamp").alias("timestamp"), "entity_id", "message", "trace_id")
+
+
+# --- scans ------------------------------------------------------------------------------
+
+@register("scan_limit")
+def q_scan_limit(spark, sf_dir):
+    """SR7: first rows of the events table in a deterministic order."""
+    ev = pipeline(spark, sf_dir).events
+    t = an.top_k(ev, 5, [F.col("timestamp"), F.col("entity_id"), F.col("event_type"), F.col("message")])
+    return t.select(ntz("timestamp").alias("timestamp"), "entity_id", "event_type", "message")
+
+
+@register("syslog_scan_limit")
+def q_syslog_scan_limit(spark, sf_dir):
+    """SR8: predicate scan ``event_type = 'syslog'`` + limit."""
+    ev = pipeline(spark, sf_dir).events.where(F.col("event_type") == "syslog")
+    t = an.top_k(ev, 5, [F.col("timestamp"), F.col("entity_id"), F.col("message")])
+    return t.select(ntz("timestamp").alias("timestamp"), "entity_id", "event_type", "message")
+
+
+@register("limit_any")
+def q_limit_any(spark, sf_dir):
+    """TK3: limit without order (any 5 rows; rows-only check)."""
+    ev = pipeline(spark, sf_dir).events.limit(5)
+    return ev.select(ntz("timestamp").alias("timestamp"), "entity_id", "event_type")
+
+
+# --- typed projections, retention, insert-if-absent, fan-out ----------------------------------
+
+@register("db_queries_view")
+def q_db_queries_view(spark, sf_dir):
+    """SK8: typed ``db_queries``."""
+    d = _dbq(spark, sf_dir)
+    return d.select(ntz("timestamp").alias("timestamp"), "host", "database_name",
+                    _r("mean_time_ms").alias("mean_time_ms"), "source", "environment", "query_id",
+                    "query_text", "query_hash", "calls", _r("total_time_ms").alias("total_time_ms"),
+                    _r("cache_hit_ratio").alias("cache_hit_ratio"))
+
+
+@register("db_logs_view")
+def q_db_logs_view(spark, sf_dir):
+    """SK8: typed ``db_logs``."""
+    d = sk.db_logs(log_events(spark, sf_dir))
+    return d.select(ntz("timestamp").alias("timestamp"), "host", "database_name", "log_level", "source",
+                    "environment", "event_type", "message")
+
+
+@register("db_metrics_view")
+def q_db_metrics_view(spark, sf_dir):
+    """SK8: typed ``db_metrics``."""
+    d = sk.db_metrics(metric_rows(spark, sf_dir))
+    return d.select(ntz("timestamp").alias("timestamp"), "host", "database_name", "metric_name", "source",
+                    "environment", _r("metric_value").alias("metric_value"), "metric_type", "unit")
+
+
+@register("retention")
+def q_retention(spark, sf_dir):
+    """SK10: messages kept by per-topic retention as of 2024-01-30."""
+    kept = an.retention(td.raw_messages(events_table(spark, sf_dir)), "2024-01-30")
+    return kept.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@register("insert_if_absent")
+def q_insert_if_absent(spark, sf_dir):
+    """SK11: new query events whose (topic, id) is not stored yet."""
+    ev = query_events(spark, sf_dir)
+    existing = ev.where(F.col("timestamp") < F.lit("2024-01-20").cast("timestamp"))
+    new = ev.where(F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp"))
+    ins = an.insert_if_absent(existing, new, ["topic", "id"])
+    return ins.select("entity_id", ntz("timestamp").alias("timestamp"), "message")
+
+
+@register("processed_topics")
+def q_processed_topics(spark, sf_dir):
+    """SK9: processed rows fanned out to their output topics."""
+    out = pipeline(spark, sf_dir)
+    kind = F.when(F.col("event_type") == "database_query", "queries").otherwise("logs")
+    ev = out.events.select(sk.processed_topic(kind).alias("topic"))
+    mt = out.metrics.select(sk.processed_topic(F.lit("metrics")).alias("topic"))
+    al = an.alert_rows(out.events, out.metrics).select(sk.processed_topic(F.lit("alerts")).alias("topic"))
+    return ev.unionByName(mt).unionByName(al).groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@register("validation_report")
+def q_validation_report(spark, sf_dir):
+    """FP11: rule violations per silver table (validate_data on, keep mode)."""
+    out = pipeline(spark, sf_dir)
+    ev = out.events.select(F.lit("events").alias("table_name"), "violations")
+    mt = out.metrics.select(F.lit("metrics").alias("table_name"), "violations")
+    return (ev.unionByName(mt).groupBy("table_name")
+            .agg(F.count(F.lit(1)).alias("row_count"),
+                 F.count_if(F.size("violations") > 0).alias("invalid")))

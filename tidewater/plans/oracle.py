@@ -209,8 +209,7 @@ SELECT event_type, entity_id, environment, count(*) AS events, min(timestamp) AS
 FROM ev GROUP BY ALL
 """
 
-ENTITIES = f"""
-{ALL},
+ENT_CTES = """
 rec AS (
   SELECT entity_id, timestamp, source, environment FROM ev
   UNION ALL SELECT entity_id, ts, 'postgresql', res_env FROM m
@@ -225,7 +224,10 @@ latest AS (
   SELECT entity_id, source, environment,
     row_number() OVER (PARTITION BY entity_id ORDER BY timestamp DESC, source DESC, environment DESC) AS rn
   FROM rec
-)
+)"""
+
+ENTITIES = f"""
+{ALL}, {ENT_CTES}
 SELECT a.entity_id, CASE WHEN db = 1 THEN 'database_host' ELSE 'host' END AS entity_type,
   first_seen, last_seen, l.source, l.environment, records
 FROM agg a JOIN latest l ON a.entity_id = l.entity_id AND l.rn = 1
@@ -375,3 +377,174 @@ SELECT host, env_ts AS timestamp, {QID} AS query_id, substr(query, 1, 500) AS qu
   round(calls * mean_time_ms, 4) AS total_time_ms, round(mean_time_ms, 4) AS mean_time_ms
 FROM q WHERE coalesce(query, '') NOT LIKE '%pg_stat%'
 """
+
+ALERTS = """
+al AS (
+  SELECT env_ts AS ts, host AS entity_id, 'requires_alert' AS rule FROM l
+    WHERE log_level IN ('error', 'critical', 'alert', 'emergency')
+  UNION ALL SELECT env_ts, host, 'database_concurrency' FROM l
+    WHERE contains(coalesce(payload_event_type, ''), 'deadlock')
+  UNION ALL SELECT env_ts, host, 'slow_query' FROM q WHERE mean_time_ms > 1000
+  UNION ALL SELECT ts, entity_id, 'metric_warning' FROM m WHERE contains(metric_name, 'error') AND metric_value > 0
+)"""
+
+ORACLE["join_customer_orders"] = """
+SELECT c_name, count(o_orderkey) AS order_count
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_name
+"""
+
+ORACLE["join_full_outer"] = """
+SELECT c_custkey, c_name, o_orderkey, o_custkey, round(o_totalprice, 2) AS o_totalprice
+FROM customer FULL OUTER JOIN orders ON c_custkey = o_custkey
+"""
+
+ORACLE["entity_lookup"] = f"""
+{ALL}, {ENT_CTES}
+SELECT e.event_type, CASE WHEN a.db = 1 THEN 'database_host' ELSE 'host' END AS entity_type,
+  count(*) AS events
+FROM ev e LEFT JOIN agg a ON e.entity_id = a.entity_id GROUP BY ALL
+"""
+
+ORACLE["trace_correlation"] = f"""
+{ALL}
+SELECT trace_id, count(*) AS events, min(timestamp) AS first_ts, max(timestamp) AS last_ts,
+  array_to_string(list_sort(list_distinct(list(entity_id))), ',') AS entities,
+  array_to_string(list_sort(list_distinct(list(event_type))), ',') AS event_types
+FROM ev WHERE trace_id IS NOT NULL GROUP BY trace_id
+"""
+
+ACT = """
+act AS (
+  SELECT host, database, date_trunc('hour', ts) AS snapshot_ts,
+    CASE event_type WHEN 'purchase' THEN 'active' WHEN 'view' THEN 'idle'
+      WHEN 'click' THEN 'idle in transaction' END AS state,
+    event_type = 'error' AS deadlock
+  FROM b
+),
+snaps AS (
+  SELECT host, database, snapshot_ts, count(*) AS total,
+    count(*) FILTER (WHERE state = 'active') AS active, count(*) FILTER (WHERE state = 'idle') AS idle,
+    count(*) FILTER (WHERE deadlock) AS deadlocks
+  FROM act GROUP BY ALL
+)"""
+
+ORACLE["filtered_counts"] = f"""
+WITH {BASE}, {ACT}
+SELECT host, database, snapshot_ts, total, active, idle FROM snaps
+"""
+
+ORACLE["stats_envelopes"] = f"""
+WITH {BASE}, {ACT}
+SELECT host || ':' || database AS key, host, database, snapshot_ts AS timestamp, 'info' AS log_level,
+  'connection_stats' AS event_type, CAST(NULL AS DOUBLE) AS count, CAST(total AS DOUBLE) AS total,
+  CAST(active AS DOUBLE) AS active, CAST(idle AS DOUBLE) AS idle
+FROM snaps
+UNION ALL
+SELECT host || ':' || database, host, database, snapshot_ts, 'warning', 'deadlocks', CAST(deadlocks AS DOUBLE),
+  NULL, NULL, NULL
+FROM snaps WHERE deadlocks > 0
+"""
+
+EMSG = f"""
+em AS (
+  SELECT CASE WHEN event_id % {td.NO_TOPIC_MOD} = 0 THEN '' ELSE k.topic END AS topic, not_json, ingest_ts
+  FROM b, (VALUES ('raw-queries'), ('raw-logs')) k(topic)
+),
+g AS (SELECT max(ingest_ts) AS ingest_ts FROM b GROUP BY user_id, event_id // {td.CHUNK})"""
+
+ORACLE["envelope_completeness"] = f"""
+WITH {BASE}, {EMSG}
+SELECT topic, count(*) AS messages, count(*) FILTER (WHERE not_json) AS bad_json,
+  CAST(0 AS BIGINT) AS missing_timestamp, CAST(0 AS BIGINT) AS missing_source,
+  CAST(0 AS BIGINT) AS missing_data_type, CAST(0 AS BIGINT) AS missing_host,
+  CAST(0 AS BIGINT) AS missing_database
+FROM em GROUP BY topic
+UNION ALL
+SELECT t.topic, count(*), 0, count(*), count(*), count(*), count(*), count(*)
+FROM g, (VALUES ('otel-metrics'), ('raw-host-logs')) t(topic) GROUP BY t.topic
+"""
+
+ORACLE["alert_rollup"] = f"""
+{ALL}, {ALERTS}
+SELECT date_trunc('day', ts) AS window_start, entity_id, rule, count(*) AS alerts FROM al GROUP BY ALL
+"""
+
+ORACLE["row_count"] = f"""
+{ALL}
+SELECT 'events' AS table_name, count(*) AS row_count FROM ev
+UNION ALL SELECT 'metrics', count(*) FROM m
+"""
+
+ORACLE["dedup_by_id"] = f"""
+{ALL}
+SELECT env_ts AS timestamp, host AS entity_id, message, trace_id FROM q
+"""
+
+ORACLE["scan_limit"] = f"""
+{ALL}
+SELECT timestamp, entity_id, event_type, message FROM ev
+ORDER BY timestamp, entity_id, event_type, message LIMIT 5
+"""
+
+ORACLE["syslog_scan_limit"] = f"""
+{ALL}
+SELECT timestamp, entity_id, event_type, message FROM ev WHERE event_type = 'syslog'
+ORDER BY timestamp, entity_id, message LIMIT 5
+"""
+
+ORACLE["db_queries_view"] = f"""
+{ALL}
+SELECT env_ts AS timestamp, host, database AS database_name, round(mean_time_ms, 4) AS mean_time_ms,
+  'postgresql' AS source, environment, {QID} AS query_id, query AS query_text, query_hash, calls,
+  round(calls * mean_time_ms, 4) AS total_time_ms, round(cache_hit_ratio, 4) AS cache_hit_ratio
+FROM q
+"""
+
+ORACLE["db_logs_view"] = f"""
+{ALL}
+SELECT env_ts AS timestamp, host, database AS database_name, log_level, 'postgresql' AS source, environment,
+  coalesce(payload_event_type, 'log') AS event_type, message
+FROM l
+"""
+
+ORACLE["db_metrics_view"] = f"""
+{ALL}
+SELECT ts AS timestamp, entity_id AS host, database AS database_name, metric_name, 'postgresql' AS source,
+  res_env AS environment, round(metric_value, 4) AS metric_value, metric_type, unit
+FROM m
+"""
+
+_KEEP = " OR ".join(f"(topic = '{t}' AND ingest_ts >= TIMESTAMP '2024-01-30' - INTERVAL {d} DAY)"
+                    for t, d in {"otel-metrics": 7, "raw-logs": 30, "raw-queries": 90,
+                                 "raw-host-logs": 7}.items())
+ORACLE["retention"] = f"""
+WITH {BASE}, {EMSG},
+allm AS (
+  SELECT topic, ingest_ts FROM em
+  UNION ALL SELECT 'otel-metrics', ingest_ts FROM g
+  UNION ALL SELECT 'raw-host-logs', ingest_ts FROM g
+)
+SELECT topic, count(*) AS messages FROM allm WHERE {_KEEP} GROUP BY topic
+"""
+
+ORACLE["insert_if_absent"] = f"""
+{ALL}
+SELECT host AS entity_id, env_ts AS timestamp, message FROM q
+WHERE env_ts >= TIMESTAMP '2024-01-20'
+"""
+
+ORACLE["processed_topics"] = f"""
+{ALL}, {ALERTS}
+SELECT topic, count(*) AS messages FROM (
+  SELECT CASE WHEN event_type = 'database_query' THEN 'processed-queries' ELSE 'processed-logs' END AS topic
+  FROM ev
+  UNION ALL SELECT 'processed-metrics' FROM m
+  UNION ALL SELECT 'alerts' FROM al
+) GROUP BY topic
+"""
+
+ORACLE["validation_report"] = f"""
+{ALL}
+SELECT 'events' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS invalid FROM ev
+UNION ALL SELECT 'metrics', count(*), CAST(0 AS BIGINT) FROM m
+"""

@@ -251,3 +251,12 @@ def raw_messages(events: DataFrame) -> DataFrame:
             .unionByName(log_messages(events))
             .unionByName(otlp_metric_messages(events))
             .unionByName(otlp_log_messages(events)))
+
+
+def activity_rows(events: DataFrame) -> DataFrame:
+    """Session-activity rows (a ``pg_stat_activity`` stand-in) with an hourly snapshot time."""
+    b = _base(events)
+    et = F.col("event_type")
+    state = _case(et, {"purchase": "active", "view": "idle", "click": "idle in transaction"})
+    return b.select("host", "database", F.date_trunc("hour", "ts").alias("snapshot_ts"),
+                    state.alias("state"), (et == "error").alias("deadlock"))
