@@ -127,9 +127,22 @@ def prepare(messages: DataFrame) -> DataFrame:
                     drop=["_route"])
 
 
+def topic_prefilter(route: str) -> Column:
+    """Cheap bronze predicate: the route's own topics or topics routed by content.
+
+    It only reads ``topic``, so Catalyst pushes it below the parse (through the
+    generator barriers, down to the scan); each route branch then parses only
+    its own messages instead of every topic's.
+    """
+    own = [t for t, r in TOPIC_ROUTES.items() if r == route]
+    known = F.coalesce(F.col("topic").isin(*TOPIC_ROUTES), F.lit(False))
+    return F.col("topic").isin(*own) | ~known
+
+
 def routed(prepared: DataFrame, route: str) -> DataFrame:
     """Processable messages of one route."""
-    return prepared.where((F.col("route") == route) & F.col("reason").isNull())
+    return prepared.where(topic_prefilter(route) & (F.col("route") == route)
+                          & F.col("reason").isNull())
 
 
 def dead_letter(prepared: DataFrame) -> DataFrame:

@@ -56,8 +56,20 @@ def _case(key: Column, mapping: dict, default=None) -> Column:
     return out.otherwise(F.lit(default))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when the scan yields too few tasks.
+
+    A small table stored as one row group is read by a single task, and the
+    JSON work downstream would run on one core. Large inputs arrive in many
+    files/row groups and are left as they are (no shuffle is added).
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def _base(events: DataFrame) -> DataFrame:
     """Columns every message shape uses."""
+    events = spread(events)
     eid, uid = F.col("event_id"), F.col("user_id")
     ts = F.col("ts").cast("timestamp")
     iso = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
