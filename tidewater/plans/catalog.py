@@ -536,3 +536,107 @@ def q_validation_report(spark, sf_dir):
     return (ev.unionByName(mt).groupBy("table_name")
             .agg(F.count(F.lit(1)).alias("row_count"),
                  F.count_if(F.size("violations") > 0).alias("invalid")))
+
+
+# --- streaming (run to completion with availableNow, results read back) -----------------
+
+import os  # noqa: E402
+
+from tidewater.session import shared_dir  # noqa: E402
+from tidewater.sources import files as src  # noqa: E402
+from tidewater.streaming import stream as st  # noqa: E402
+
+
+def _bronze_files(spark, sf_dir, name, messages):
+    """Land bronze messages as Parquet files in the shared folder (the stream's input)."""
+    path = shared_dir(spark, name)
+    messages.write.mode("overwrite").parquet(path)
+    return path
+
+
+@register("stream_normalize")
+def q_stream_normalize(spark, sf_dir):
+    """ST1/ST3/ST5/SK4: bronze file stream → foreachBatch normalisation → events table."""
+    ev = events_table(spark, sf_dir)
+    bronze = _bronze_files(spark, sf_dir, "bronze", td.raw_messages(ev))
+    out = shared_dir(spark, "silver")
+    q = st.start_normalisation(src.read_messages_stream(spark, bronze, max_files_per_trigger=16),
+                               out, os.path.join(out, "_checkpoint"), available_now=True,
+                               entities=False)
+    q.awaitTermination()
+    events = spark.read.parquet(os.path.join(out, "events"))
+    return events.groupBy("event_type", "entity_id").agg(F.count(F.lit(1)).alias("events"))
+
+
+@register("stream_window_rollup")
+def q_stream_window_rollup(spark, sf_dir):
+    """ST6: hourly metric windows with a 10-minute watermark, append mode (closed windows only)."""
+    ev = events_table(spark, sf_dir)
+    bronze = _bronze_files(spark, sf_dir, "bronze-metrics", td.otlp_metric_messages(ev))
+    metrics = route_events(src.read_messages_stream(spark, bronze), "metrics")
+    w = st.windowed_metrics(metrics, "1 hour", None, "10 minutes")
+    out = st.run_to_table(w, "rollup", shared_dir(spark, "rollup-ckpt"))
+    return out.select(ntz("window_start").alias("window_start"), "entity_id", "metric_name", "samples",
+                      _r("min_value").alias("min_value"), _r("max_value").alias("max_value"),
+                      _r("sum_value").alias("sum_value"))
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """ST7: replayed query messages dropped within the watermark."""
+    msgs = td.query_messages(events_table(spark, sf_dir))
+    bronze = _bronze_files(spark, sf_dir, "bronze-replay",
+                           msgs.unionByName(msgs.where(F.col("offset") % 10 == 0)))
+    ev = route_events(src.read_messages_stream(spark, bronze), "queries")
+    d = st.dedup_stream(ev.select("id", "timestamp", "entity_id", "message", "trace_id"))
+    out = st.run_to_table(d, "dedup", shared_dir(spark, "dedup-ckpt"))
+    return out.select(ntz("timestamp").alias("timestamp"), "entity_id", "message", "trace_id")
+
+
+@register("slow_query_stream")
+def q_slow_query_stream(spark, sf_dir):
+    """ST9: slow-query messages (> 100 ms) keyed host:database, counted per key."""
+    s = st.slow_query_stream(query_events(spark, sf_dir))
+    return s.groupBy("topic", "key").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@register("alert_stream")
+def q_alert_stream(spark, sf_dir):
+    """ST8: alert messages per key and rule."""
+    out = pipeline(spark, sf_dir)
+    a = st.alert_stream(out.events, out.metrics)
+    return (a.select("topic", "key", F.get_json_object("value", "$.rule").alias("rule"))
+            .groupBy("topic", "key", "rule").agg(F.count(F.lit(1)).alias("messages")))
+
+
+@register("table_roundtrip")
+def q_table_roundtrip(spark, sf_dir):
+    """SK1/SK2/SK6 + FP16 read helper: write sorted, date-partitioned tables; read a day range back."""
+    out = pipeline(spark, sf_dir)
+    base = shared_dir(spark, "tables")
+    sk.write_events(out.events, os.path.join(base, "events"), mode="overwrite")
+    sk.write_metrics(out.metrics, os.path.join(base, "metrics"), mode="overwrite")
+    ev = sk.read_events_between(spark, os.path.join(base, "events"), "2024-01-05 00:00:00",
+                                "2024-01-12 23:59:59")
+    mt = spark.read.parquet(os.path.join(base, "metrics"))
+    a = ev.groupBy("event_date", "event_type").agg(F.count(F.lit(1)).alias("rows_read"))
+    b = (mt.where(F.col("event_date").between(F.lit("2024-01-05").cast("date"), F.lit("2024-01-12").cast("date")))
+         .groupBy("event_date").agg(F.count(F.lit(1)).alias("rows_read"))
+         .withColumn("event_type", F.lit("metric")))
+    return a.unionByName(b).select(F.col("event_date").cast("string").alias("event_date"), "event_type",
+                                   "rows_read")
+
+
+@register("entities_table")
+def q_entities_table(spark, sf_dir):
+    """SK3/SK7: entities written in the contract shape (replacing the old set) and read back."""
+    out = pipeline(spark, sf_dir)
+    path = shared_dir(spark, "entities")
+    sk.write_entities(ent.entities_json(ent.derive_entities(ent.entity_records(out.events, out.metrics))),
+                      path)
+    e = spark.read.parquet(path)
+    return e.select("entity_id", "entity_type", ntz("first_seen").alias("first_seen"),
+                    ntz("last_seen").alias("last_seen"),
+                    F.get_json_object("attributes", "$.source_system").alias("source"),
+                    F.get_json_object("attributes", "$.environment").alias("environment"),
+                    F.get_json_object("attributes", "$.records").cast("bigint").alias("records"))

@@ -548,3 +548,44 @@ ORACLE["validation_report"] = f"""
 SELECT 'events' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS invalid FROM ev
 UNION ALL SELECT 'metrics', count(*), CAST(0 AS BIGINT) FROM m
 """
+
+ORACLE["stream_normalize"] = f"""
+{ALL}
+SELECT event_type, entity_id, count(*) AS events FROM ev GROUP BY ALL
+"""
+
+# append mode emits a window once the watermark (max event time - 10 min) has passed its end
+ORACLE["stream_window_rollup"] = f"""
+{ALL}
+SELECT date_trunc('hour', ts) AS window_start, entity_id, metric_name, count(*) AS samples,
+  round(min(metric_value), 4) AS min_value, round(max(metric_value), 4) AS max_value,
+  round(sum(metric_value), 4) AS sum_value
+FROM m
+WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM m) - INTERVAL 10 MINUTE
+GROUP BY ALL
+"""
+
+ORACLE["stream_dedup"] = ORACLE["dedup_by_id"]
+
+ORACLE["slow_query_stream"] = f"""
+{ALL}
+SELECT 'slow-queries' AS topic, host || ':' || database AS key, count(*) AS messages
+FROM q WHERE mean_time_ms > 100 GROUP BY ALL
+"""
+
+ORACLE["alert_stream"] = f"""
+{ALL}, {ALERTS}
+SELECT 'alerts' AS topic, entity_id AS key, rule, count(*) AS messages FROM al GROUP BY ALL
+"""
+
+ORACLE["table_roundtrip"] = f"""
+{ALL}
+SELECT CAST(CAST(timestamp AS DATE) AS VARCHAR) AS event_date, event_type, count(*) AS rows_read FROM ev
+WHERE timestamp BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-12 23:59:59'
+GROUP BY ALL
+UNION ALL
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR), 'metric', count(*) FROM m
+WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' GROUP BY ALL
+"""
+
+ORACLE["entities_table"] = ORACLE["derive_entities"]
