@@ -640,3 +640,20 @@ def q_entities_table(spark, sf_dir):
                     F.get_json_object("attributes", "$.source_system").alias("source"),
                     F.get_json_object("attributes", "$.environment").alias("environment"),
                     F.get_json_object("attributes", "$.records").cast("bigint").alias("records"))
+
+
+@register("protobuf_metrics")
+def q_protobuf_metrics(spark, sf_dir):
+    """SR3: OTLP protobuf requests (half gzip) decoded, then flattened like FP7."""
+    from tidewater.sources import otlp_proto
+    msgs = td.otlp_metric_messages(events_table(spark, sf_dir))
+    decoded = otlp_proto.decode_messages(otlp_proto.encode_messages(msgs))
+    return q_flatten_metrics_from(route_events(decoded, "metrics"))
+
+
+def q_flatten_metrics_from(m):
+    return m.select(ntz("timestamp").alias("timestamp"), "entity_id", "metric_name",
+                    _r("metric_value").alias("metric_value"), "metric_type", "source", "environment",
+                    "unit", F.col("tags")["severity"].alias("severity"),
+                    F.col("tags")["database"].alias("database_tag"),
+                    vget(F.col("metadata")["description"]).alias("description"))

@@ -589,3 +589,6 @@ WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' GROUP BY
 """
 
 ORACLE["entities_table"] = ORACLE["derive_entities"]
+
+# decoding the protobuf form must give the same rows as the JSON form
+ORACLE["protobuf_metrics"] = ORACLE["flatten_metrics"]
