@@ -20,7 +20,7 @@ def _bronze(df: DataFrame, topic, value: str = "value") -> DataFrame:
     t = F.lit(topic) if isinstance(topic, str) or topic is None else topic
     return df.select(
         t.cast("string").alias("topic"),
-        F.xxhash64(F.col("_metadata.file_path")).cast("int").alias("partition"),
+        F.hash(F.col("_metadata.file_path")).alias("partition"),
         F.xxhash64(F.col(value)).alias("offset"),
         F.lit(None).cast("string").alias("key"),
         F.col(value).alias("value"),
