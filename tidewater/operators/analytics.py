@@ -124,11 +124,13 @@ def top_statements_by_calls(db_queries: DataFrame, k: int = 10) -> DataFrame:
 
 # --- aggregations -------------------------------------------------------------
 
-def filtered_counts(df: DataFrame, state: Column, keys: list[str]) -> DataFrame:
-    """AG1: total and per-state counts in one pass."""
+def filtered_counts(df: DataFrame, state: Column, keys: list[str], **extra: Column) -> DataFrame:
+    """AG1: total and per-state counts in one pass (``extra``: more named aggregates
+    over the same groups, so no second aggregation and join is needed)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"),
                                  F.count_if(state == "active").alias("active"),
-                                 F.count_if(state == "idle").alias("idle"))
+                                 F.count_if(state == "idle").alias("idle"),
+                                 *[c.alias(n) for n, c in extra.items()])
 
 
 def fingerprint_rollup(query_events: DataFrame) -> DataFrame:

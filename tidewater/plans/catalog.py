@@ -377,9 +377,8 @@ def q_trace_correlation(spark, sf_dir):
 
 def _snapshots(spark, sf_dir):
     act = td.activity_rows(events_table(spark, sf_dir))
-    counts = an.filtered_counts(act, F.col("state"), ["host", "database", "snapshot_ts"])
-    dl = act.groupBy("host", "database", "snapshot_ts").agg(F.count_if("deadlock").alias("deadlocks"))
-    return counts.join(dl, ["host", "database", "snapshot_ts"])
+    return an.filtered_counts(act, F.col("state"), ["host", "database", "snapshot_ts"],
+                              deadlocks=F.count_if("deadlock"))
 
 
 @register("filtered_counts")

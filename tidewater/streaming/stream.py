@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -43,16 +43,26 @@ def start_normalisation(messages: DataFrame, out_dir: str, checkpoint: str,
     cfg = config or ProcessorConfig()
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        if df.isEmpty():  # SK4: an empty batch writes nothing but its counts
+            write_batch_stats(spark, out_dir, batch_id, 0, 0, 0)
+            return
         df = df.persist()  # the branches below read the batch once, not once each
         try:
             out = process(df, cfg)
-            sk.write_batch(out.events, out.metrics, os.path.join(out_dir, "events"),
+            # AG9: counts observed while writing, no extra pass over the batch
+            obs = {k: Observation(f"{k}-{batch_id}") for k in ("events", "metrics", "dead")}
+            events = out.events.observe(obs["events"], F.count(F.lit(1)).alias("n"))
+            metrics = out.metrics.observe(obs["metrics"], F.count(F.lit(1)).alias("n"))
+            sk.write_batch(events, metrics, os.path.join(out_dir, "events"),
                            os.path.join(out_dir, "metrics"), batch_id)
-            (out.dead_letter.withColumn("batch_id", F.lit(int(batch_id)))
+            (out.dead_letter.observe(obs["dead"], F.count(F.lit(1)).alias("n"))
+             .withColumn("batch_id", F.lit(int(batch_id)))
              .write.mode("overwrite").partitionBy("batch_id")
              .parquet(os.path.join(out_dir, "dead_letter")))
             if entities:
-                update_entity_catalogue(df.sparkSession, out, os.path.join(out_dir, "entities"), batch_id)
+                update_entity_catalogue(spark, out, os.path.join(out_dir, "entities"), batch_id)
+            write_batch_stats(spark, out_dir, batch_id, *(obs[k].get["n"] for k in ("events", "metrics", "dead")))
         finally:
             df.unpersist()
 
@@ -60,6 +70,16 @@ def start_normalisation(messages: DataFrame, out_dir: str, checkpoint: str,
     return _trigger(w, available_now, cfg.max_batch_age_seconds).start()
 
 
+def write_batch_stats(spark: SparkSession, out_dir: str, batch_id: int, events: int, metrics: int,
+                      dead: int) -> None:
+    """AG9: one row of counts per micro-batch (size, emptiness), keyed by batch id."""
+    row = [(int(batch_id), int(events), int(metrics), int(dead), int(events) + int(metrics),
+            int(events) + int(metrics) == 0)]
+    (spark.createDataFrame(row, "batch_id BIGINT, events BIGINT, metrics BIGINT, dead_letters BIGINT, "
+                                "size BIGINT, is_empty BOOLEAN")
+     .write.mode("overwrite").partitionBy("batch_id").parquet(os.path.join(out_dir, "batch_stats")))
+
+
 def update_entity_catalogue(spark: SparkSession, out, base: str, batch_id: int) -> None:
     """ST10: merge this batch's entities into the latest stored version.
 
