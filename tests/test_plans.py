@@ -37,6 +37,8 @@ def test_entity_aggregation_is_partial(spark):
     ev = route_events(td.log_messages(td.load(spark, SF, "events")), "logs")
     p = _plan(ent.derive_entities(ent.entity_records(ev)))
     assert "partial_min" in p and "partial_max_by" in p
+    # raw rows meet a hash aggregate; only the reduced combinations are sorted
+    assert "HashAggregate(keys=[entity_id" in p
 
 
 def test_dedup_uses_aggregate_not_window(spark):

@@ -134,17 +134,25 @@ def filtered_counts(df: DataFrame, state: Column, keys: list[str], **extra: Colu
 
 
 def fingerprint_rollup(query_events: DataFrame) -> DataFrame:
-    """AG4: totals per query fingerprint."""
-    calls = attr("calls", "bigint")
-    total = attr("total_time_ms", "double")
-    mean = attr("mean_time_ms", "double")
-    return (query_events.where(attr("query_hash").isNotNull())
-            .groupBy(attr("query_hash").alias("query_hash"))
-            .agg(F.count(F.lit(1)).alias("samples"),
-                 F.sum(calls).alias("total_calls"),
-                 F.sum(total).alias("total_time_ms"),
-                 F.max(mean).alias("max_mean_time_ms"),
-                 F.min_by(attr("query"), F.col("timestamp")).alias("sample_query"))
+    """AG4: totals per query fingerprint.
+
+    First a hash aggregate per (fingerprint, text) — few distinct texts share a
+    fingerprint — then the sort-based ``min_by`` for the sample text runs on
+    those reduced rows only.
+    """
+    per_text = (query_events.where(attr("query_hash").isNotNull())
+                .groupBy(attr("query_hash").alias("query_hash"), attr("query").alias("query"))
+                .agg(F.count(F.lit(1)).alias("samples"),
+                     F.sum(attr("calls", "bigint")).alias("total_calls"),
+                     F.sum(attr("total_time_ms", "double")).alias("total_time_ms"),
+                     F.max(attr("mean_time_ms", "double")).alias("max_mean_time_ms"),
+                     F.min("timestamp").alias("first_ts")))
+    return (per_text.groupBy("query_hash")
+            .agg(F.sum("samples").alias("samples"),
+                 F.sum("total_calls").alias("total_calls"),
+                 F.sum("total_time_ms").alias("total_time_ms"),
+                 F.max("max_mean_time_ms").alias("max_mean_time_ms"),
+                 F.min_by("query", "first_ts").alias("sample_query"))
             .withColumn("weighted_mean_ms", F.try_divide(F.col("total_time_ms"), F.col("total_calls"))))
 
 
