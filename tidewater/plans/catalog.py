@@ -86,8 +86,27 @@ def metric_rows(spark, sf_dir):
     return route_events(td.otlp_metric_messages(events_table(spark, sf_dir)), "metrics")
 
 
-def pipeline(spark, sf_dir):
-    return process(td.raw_messages(events_table(spark, sf_dir)))
+def land_bronze(spark, messages, name="bronze"):
+    """Write the bronze messages once to the shared folder and read them back.
+
+    Queries that need several routes (events of three kinds plus metrics) then
+    scan landed messages per branch instead of rebuilding them per branch; the
+    write also cuts the lineage. Rows are sorted by topic so each branch's
+    topic predicate skips row groups of the other topics.
+    """
+    from tidewater.session import shared_dir
+    from tidewater.sources.files import read_messages
+    path = shared_dir(spark, name)
+    messages.sortWithinPartitions("topic").write.mode("overwrite").parquet(path)
+    return read_messages(spark, path)
+
+
+def pipeline(spark, sf_dir, land=False):
+    """All routes of the raw messages. ``land=True`` for queries that read both
+    events and metrics (four or more route branches), where landing once is
+    cheaper than rebuilding the messages per branch."""
+    msgs = td.raw_messages(events_table(spark, sf_dir))
+    return process(land_bronze(spark, msgs) if land else msgs)
 
 
 def _r(c, n=4):
@@ -168,14 +187,14 @@ def _entity_out(df):
 @register("derive_entities")
 def q_derive_entities(spark, sf_dir):
     """AG2: one row per entity from events and metrics."""
-    out = pipeline(spark, sf_dir)
+    out = pipeline(spark, sf_dir, land=True)
     return _entity_out(ent.derive_entities(ent.entity_records(out.events, out.metrics)))
 
 
 @register("upsert_entities")
 def q_upsert_entities(spark, sf_dir):
     """AG3: entities of the first half merged with entities of the second half."""
-    out = pipeline(spark, sf_dir)
+    out = pipeline(spark, sf_dir, land=True)
     rec = ent.entity_records(out.events, out.metrics)
     cut = F.lit("2024-01-15").cast("timestamp")
     stored = ent.derive_entities(rec.where(F.col("timestamp") < cut))
@@ -359,7 +378,7 @@ def q_join_full_outer(spark, sf_dir):
 @register("entity_lookup")
 def q_entity_lookup(spark, sf_dir):
     """JN3: events ⟕ entities (broadcast after a size check)."""
-    out = pipeline(spark, sf_dir)
+    out = pipeline(spark, sf_dir, land=True)
     ents = ent.derive_entities(ent.entity_records(out.events, out.metrics))
     j = ent.entity_lookup(out.events, ents)
     return j.groupBy("event_type", "entity_type").agg(F.count(F.lit(1)).alias("events"))
@@ -424,7 +443,7 @@ def q_topic_volume(spark, sf_dir):
 @register("alert_rollup")
 def q_alert_rollup(spark, sf_dir):
     """AG10: alerts per day, entity and rule."""
-    out = pipeline(spark, sf_dir)
+    out = pipeline(spark, sf_dir, land=True)
     r = an.alert_rollup(an.alert_rows(out.events, out.metrics), "1 day")
     return r.select(ntz("window_start").alias("window_start"), "entity_id", "rule", "alerts")
 
@@ -432,7 +451,7 @@ def q_alert_rollup(spark, sf_dir):
 @register("row_count")
 def q_row_count(spark, sf_dir):
     """AG11: rows of the silver tables."""
-    out = pipeline(spark, sf_dir)
+    out = pipeline(spark, sf_dir, land=True)
     return an.table_counts(events=out.events, metrics=out.metrics)
 
 
@@ -518,7 +537,7 @@ def q_insert_if_absent(spark, sf_dir):
 @register("processed_topics")
 def q_processed_topics(spark, sf_dir):
     """SK9: processed rows fanned out to their output topics."""
-    out = pipeline(spark, sf_dir)
+    out = pipeline(spark, sf_dir, land=True)
     kind = F.when(F.col("event_type") == "database_query", "queries").otherwise("logs")
     ev = out.events.select(sk.processed_topic(kind).alias("topic"))
     mt = out.metrics.select(sk.processed_topic(F.lit("metrics")).alias("topic"))
@@ -529,7 +548,7 @@ def q_processed_topics(spark, sf_dir):
 @register("validation_report")
 def q_validation_report(spark, sf_dir):
     """FP11: rule violations per silver table (validate_data on, keep mode)."""
-    out = pipeline(spark, sf_dir)
+    out = pipeline(spark, sf_dir, land=True)
     ev = out.events.select(F.lit("events").alias("table_name"), "violations")
     mt = out.metrics.select(F.lit("metrics").alias("table_name"), "violations")
     return (ev.unionByName(mt).groupBy("table_name")
@@ -602,7 +621,7 @@ def q_slow_query_stream(spark, sf_dir):
 @register("alert_stream")
 def q_alert_stream(spark, sf_dir):
     """ST8: alert messages per key and rule."""
-    out = pipeline(spark, sf_dir)
+    out = pipeline(spark, sf_dir, land=True)
     a = st.alert_stream(out.events, out.metrics)
     return (a.select("topic", "key", F.get_json_object("value", "$.rule").alias("rule"))
             .groupBy("topic", "key", "rule").agg(F.count(F.lit(1)).alias("messages")))
@@ -611,7 +630,7 @@ def q_alert_stream(spark, sf_dir):
 @register("table_roundtrip")
 def q_table_roundtrip(spark, sf_dir):
     """SK1/SK2/SK6 + FP16 read helper: write sorted, date-partitioned tables; read a day range back."""
-    out = pipeline(spark, sf_dir)
+    out = pipeline(spark, sf_dir, land=True)
     base = shared_dir(spark, "tables")
     sk.write_events(out.events, os.path.join(base, "events"), mode="overwrite")
     sk.write_metrics(out.metrics, os.path.join(base, "metrics"), mode="overwrite")
@@ -629,7 +648,7 @@ def q_table_roundtrip(spark, sf_dir):
 @register("entities_table")
 def q_entities_table(spark, sf_dir):
     """SK3/SK7: entities written in the contract shape (replacing the old set) and read back."""
-    out = pipeline(spark, sf_dir)
+    out = pipeline(spark, sf_dir, land=True)
     path = shared_dir(spark, "entities")
     sk.write_entities(ent.entities_json(ent.derive_entities(ent.entity_records(out.events, out.metrics))),
                       path)
