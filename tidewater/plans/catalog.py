@@ -675,3 +675,19 @@ def q_flatten_metrics_from(m):
                     "unit", F.col("tags")["severity"].alias("severity"),
                     F.col("tags")["database"].alias("database_tag"),
                     vget(F.col("metadata")["description"]).alias("description"))
+
+
+@register("join_text_table")
+def q_join_text_table(spark, sf_dir):
+    """SR9 + JN2: orders as a '|'-delimited text table with declared columns,
+    full outer joined with the Parquet customer table (two sources)."""
+    configure(spark)
+    path = shared_dir(spark, "orders-text")
+    (td.load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+     .write.mode("overwrite").option("sep", "|").csv(path))
+    o = src.read_delimited(spark, path, "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, "
+                                        "o_orderdate TIMESTAMP_NTZ", sep="|")
+    c = td.load(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    j = jn.full_outer(c, o, "c_custkey", "o_custkey")
+    return j.select("c_custkey", "c_name", "o_orderkey", "o_custkey",
+                    _r("o_totalprice", 2).alias("o_totalprice"))

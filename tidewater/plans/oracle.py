@@ -592,3 +592,6 @@ ORACLE["entities_table"] = ORACLE["derive_entities"]
 
 # decoding the protobuf form must give the same rows as the JSON form
 ORACLE["protobuf_metrics"] = ORACLE["flatten_metrics"]
+
+# the text copy of orders must join exactly like the Parquet one
+ORACLE["join_text_table"] = ORACLE["join_full_outer"]
