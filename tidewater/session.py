@@ -60,7 +60,8 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     read from the session; only when it is unset (local tests) do we point it
     at a private temp folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
