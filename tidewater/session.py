@@ -60,14 +60,17 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     read from the session; only when it is unset (local tests) do we point it
     at a private temp folder.
     """
-    base = (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: only the SQL conf is visible
+        sc = None
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and sc is not None:
+        base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     sub = f"{name or 'run'}-{uuid.uuid4().hex[:12]}"
     return os.path.join(base, sub) if "://" not in base else base.rstrip("/") + "/" + sub

@@ -63,8 +63,12 @@ def spread(df: DataFrame) -> DataFrame:
     JSON work downstream would run on one core. Large inputs arrive in many
     files/row groups and are left as they are (no shuffle is added).
     """
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the scan as it is
+        return df
+    return df.repartition(n) if parts < n else df
 
 
 def _base(events: DataFrame) -> DataFrame:
