@@ -25,10 +25,6 @@ ISO_PREFIX = r"^\s*\d{4}-\d{2}-\d{2}"
 NUMERIC_VARIANT = r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE|BOOLEAN)"
 
 
-def col_or(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 # --- variant access -----------------------------------------------------------
 
 def vget(v: Column, typ: str = "string", path: str = "$") -> Column:
@@ -106,8 +102,7 @@ def query_fingerprint(q: Column) -> Column:
 
 # --- SC4 key/value arrays → map ---------------------------------------------
 
-def kv_map(arr: Column, value: Column | None = None, keep_empty: bool = False,
-           with_int: bool = False) -> Column:
+def kv_map(arr: Column, keep_empty: bool = False, with_int: bool = False) -> Column:
     """OTLP ``[{key, value:{stringValue|string_value|intValue|int_value}}]`` → map.
 
     ``keep_empty``: keep keys whose value is missing as '' (log attributes);

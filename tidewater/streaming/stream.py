@@ -44,11 +44,11 @@ def start_normalisation(messages: DataFrame, out_dir: str, checkpoint: str,
 
     def batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        if df.isEmpty():  # SK4: an empty batch writes nothing but its counts
-            write_batch_stats(spark, out_dir, batch_id, 0, 0, 0)
-            return
         df = df.persist()  # the branches below read the batch once, not once each
         try:
+            if df.isEmpty():  # SK4: an empty batch writes nothing but its counts
+                write_batch_stats(spark, out_dir, batch_id, 0, 0, 0)
+                return
             out = process(df, cfg)
             # AG9: counts observed while writing, no extra pass over the batch
             obs = {k: Observation(f"{k}-{batch_id}") for k in ("events", "metrics", "dead")}
