@@ -1,8 +1,8 @@
 """FP1 routing and FP2 error isolation.
 
-The message text is parsed once into a variant (``try_parse_json``) and viewed
-as ``map<string,variant>``; every later field access reads that map, so JSON is
-never parsed twice per field. Instead of raising (which would drop a whole
+The message text is parsed once into ``map<string,variant>`` (``from_json``);
+every later field access reads that map, so JSON is never parsed twice per
+field. Instead of raising (which would drop a whole
 micro-batch), each message gets an explicit ``reason``; rows with a reason
 form the dead-letter output.
 """
@@ -32,12 +32,14 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     Each step is its own projection over the previous one, so the JSON text is
     parsed once and the payload converted once per message.
     """
-    parsed = (messages
-              .withColumn("_v", F.try_parse_json(F.col("value")))
-              .withColumn("_env", F.try_variant_get(F.col("_v"), "$", "map<string,variant>")))
-    return _barrier(parsed, is_json=F.col("_v").isNotNull(), env=F.col("_env"),
+    # JSON objects parse straight into a map (duplicate keys: last wins, as
+    # in Python); only rows that are not objects get the variant parse that
+    # tells "not JSON" from "JSON but not an object" (OR short-circuits).
+    parsed = messages.withColumn("_env", F.from_json(F.col("value"), "map<string,variant>"))
+    is_json = F.col("_env").isNotNull() | F.try_parse_json(F.col("value")).isNotNull()
+    return _barrier(parsed, is_json=is_json, env=F.col("_env"),
                     payload=F.try_variant_get(F.col("_env")["payload"], "$", "map<string,variant>"),
-                    drop=["_v", "_env"])
+                    drop=["_env"])
 
 
 def _barrier(df: DataFrame, drop: list[str] | None = None, **cols: Column) -> DataFrame:
