@@ -66,12 +66,11 @@ def write_entities(entities_json_df: DataFrame, path: str) -> None:
 def write_batch(events: DataFrame, metrics: DataFrame, events_path: str, metrics_path: str,
                 batch_id: int) -> None:
     """SK4: one micro-batch, two idempotent writes (dynamic overwrite of its batch partition)."""
-    spark = events.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     for df, path, contract, sort in ((events, events_path, events_contract, EVENTS_SORT),
                                      (metrics, metrics_path, metrics_contract, METRICS_SORT)):
         out = contract(df).withColumn("batch_id", F.lit(int(batch_id)))
         (out.sortWithinPartitions("event_date", *sort).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")  # only this batch's partitions
             .partitionBy("batch_id", "event_date").parquet(path))
 
 

@@ -58,7 +58,7 @@ def start_normalisation(messages: DataFrame, out_dir: str, checkpoint: str,
                            os.path.join(out_dir, "metrics"), batch_id)
             (out.dead_letter.observe(obs["dead"], F.count(F.lit(1)).alias("n"))
              .withColumn("batch_id", F.lit(int(batch_id)))
-             .write.mode("overwrite").partitionBy("batch_id")
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
              .parquet(os.path.join(out_dir, "dead_letter")))
             if entities:
                 update_entity_catalogue(spark, out, os.path.join(out_dir, "entities"), batch_id)
@@ -77,7 +77,8 @@ def write_batch_stats(spark: SparkSession, out_dir: str, batch_id: int, events:
             int(events) + int(metrics) == 0)]
     (spark.createDataFrame(row, "batch_id BIGINT, events BIGINT, metrics BIGINT, dead_letters BIGINT, "
                                 "size BIGINT, is_empty BOOLEAN")
-     .write.mode("overwrite").partitionBy("batch_id").parquet(os.path.join(out_dir, "batch_stats")))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+     .parquet(os.path.join(out_dir, "batch_stats")))
 
 
 def update_entity_catalogue(spark: SparkSession, out, base: str, batch_id: int) -> None:
