@@ -7,15 +7,25 @@ Compared outputs flatten maps into columns and use ``timestamp_ntz``.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.expr import vget
-from tidewater.plans.pipeline import route_events
-from tidewater.session import configure
+from tidewater.operators import analytics as an
+from tidewater.operators import entities as ent
+from tidewater.operators import joins as jn
+from tidewater.operators import quality as qa
+from tidewater.operators.route import prepare, route_counts
+from tidewater.plans.pipeline import process, route_events
+from tidewater.session import configure, shared_dir
+from tidewater.sinks import tables as sk
+from tidewater.sources import files as src
 from tidewater.sources import testdata as td
+from tidewater.sources.syslog import syslog_events
+from tidewater.streaming import stream as st
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -59,12 +69,6 @@ def q_normalize_queries(spark, sf_dir):
 
 # --- shared silver inputs -------------------------------------------------------
 
-from tidewater.operators import analytics as an  # noqa: E402
-from tidewater.operators import entities as ent  # noqa: E402
-from tidewater.operators.route import prepare, route_counts  # noqa: E402
-from tidewater.plans.pipeline import process  # noqa: E402
-from tidewater.sinks import tables as sk  # noqa: E402
-from tidewater.sources.syslog import syslog_events  # noqa: E402
 
 # Resource attributes the collector upserts on host logs (FP12).
 COLLECTOR_RESOURCE = {"service.name": "otel-collector", "deployment.environment": "development"}
@@ -94,11 +98,9 @@ def land_bronze(spark, messages, name="bronze"):
     write also cuts the lineage. Rows are sorted by topic so each branch's
     topic predicate skips row groups of the other topics.
     """
-    from tidewater.session import shared_dir
-    from tidewater.sources.files import read_messages
     path = shared_dir(spark, name)
     messages.sortWithinPartitions("topic").write.mode("overwrite").parquet(path)
-    return read_messages(spark, path)
+    return src.read_messages(spark, path)
 
 
 def pipeline(spark, sf_dir, land=False):
@@ -352,10 +354,6 @@ def q_statement_shaping(spark, sf_dir):
 
 # --- joins --------------------------------------------------------------------------
 
-from tidewater.operators import joins as jn  # noqa: E402
-from tidewater.operators import quality as qa  # noqa: E402
-
-
 
 @register("join_customer_orders")
 def q_join_customer_orders(spark, sf_dir):
@@ -558,12 +556,6 @@ def q_validation_report(spark, sf_dir):
 
 # --- streaming (run to completion with availableNow, results read back) -----------------
 
-import os  # noqa: E402
-
-from tidewater.session import shared_dir  # noqa: E402
-from tidewater.sources import files as src  # noqa: E402
-from tidewater.streaming import stream as st  # noqa: E402
-
 
 def _bronze_files(spark, sf_dir, name, messages):
     """Land bronze messages as Parquet files in the shared folder (the stream's input)."""
