@@ -85,10 +85,13 @@ def otlp_log_records(df: DataFrame, first_only: bool = False) -> DataFrame:
             .select("*", F.posexplode_outer(arr(F.col("sl.logRecords"))).alias("li", "rec")))
 
 
-def normalize_otlp_logs(df: DataFrame, first_only: bool = False) -> DataFrame:
-    """FP5: OTLP log records → ``syslog`` events."""
+def normalize_otlp_logs(df: DataFrame, first_only: bool = False,
+                        resource_upserts: dict[str, str] | None = None) -> DataFrame:
+    """FP5: OTLP log records → ``syslog`` events (``resource_upserts``: FP12)."""
     recs = otlp_log_records(df, first_only)
     res = kv_map(F.col("rl.resource.attributes"), keep_empty=True)
+    for k, v in (resource_upserts or {}).items():
+        res = F.map_concat(res, F.create_map(F.lit(k), F.lit(v)))
     attrs = kv_map(F.col("rec.attributes"), keep_empty=True)
     return recs.select(
         nanos_timestamp(F.col("rec.timeUnixNano"), F.col("ingest_ts")).alias("timestamp"),
@@ -122,12 +125,14 @@ class LogsProcessor(Processor):
 class HostLogsProcessor(Processor):
     route = "host_logs"
 
-    def __init__(self, config=None, first_only: bool = False):
+    def __init__(self, config=None, first_only: bool = False,
+                 resource_upserts: dict[str, str] | None = None):
         super().__init__(config)
         self.first_only = first_only
+        self.resource_upserts = resource_upserts
 
     def normalize(self, df: DataFrame) -> DataFrame:
-        return normalize_otlp_logs(df, self.first_only).select(*EVENT_FIELDS)
+        return normalize_otlp_logs(df, self.first_only, self.resource_upserts).select(*EVENT_FIELDS)
 
     def enrich(self, df: DataFrame) -> DataFrame:
         return enrich_logs(df)

@@ -40,9 +40,14 @@ def metric_points(df: DataFrame) -> DataFrame:
                      F.posexplode(F.coalesce(pts, F.array())).alias("pi", "p")))
 
 
-def normalize_metrics(df: DataFrame) -> DataFrame:
-    """FP7: metric data points → ``metrics`` rows (points without a number are skipped)."""
+def normalize_metrics(df: DataFrame, resource_upserts: dict[str, str] | None = None) -> DataFrame:
+    """FP7: metric data points → ``metrics`` rows (points without a number are skipped).
+
+    ``resource_upserts`` applies a collector-style resource upsert (FP12) first.
+    """
     p = metric_points(df)
+    if resource_upserts:
+        p = upsert_resource_attributes(p, resource_upserts, "res")
     as_int = F.coalesce(F.col("p.as_int"), F.col("p.asInt"))
     as_double = F.coalesce(F.col("p.as_double"), F.col("p.asDouble"))
     raw = F.when(F.coalesce(as_int, F.lit("")) != "", as_int).otherwise(as_double)
@@ -86,8 +91,12 @@ class MetricsProcessor(Processor):
     route = "metrics"
     kind = "metric"
 
+    def __init__(self, config=None, resource_upserts: dict[str, str] | None = None):
+        super().__init__(config)
+        self.resource_upserts = resource_upserts
+
     def normalize(self, df: DataFrame) -> DataFrame:
-        return normalize_metrics(df).select(*METRIC_FIELDS)
+        return normalize_metrics(df, self.resource_upserts).select(*METRIC_FIELDS)
 
     def enrich(self, df: DataFrame) -> DataFrame:
         return enrich_metrics(df)

@@ -18,7 +18,8 @@ from tidewater.operators import analytics as an
 from tidewater.operators import entities as ent
 from tidewater.operators import joins as jn
 from tidewater.operators import quality as qa
-from tidewater.operators.route import prepare, route_counts
+from tidewater.operators.metrics import MetricsProcessor
+from tidewater.operators.route import prepare, route_counts, routed
 from tidewater.plans.pipeline import process, route_events
 from tidewater.session import configure, shared_dir
 from tidewater.sinks import tables as sk
@@ -683,3 +684,11 @@ def q_join_text_table(spark, sf_dir):
     j = jn.full_outer(c, o, "c_custkey", "o_custkey")
     return j.select("c_custkey", "c_name", "o_orderkey", "o_custkey",
                     _r("o_totalprice", 2).alias("o_totalprice"))
+
+
+@register("collector_resource_metrics")
+def q_collector_resource_metrics(spark, sf_dir):
+    """FP12 on metrics: the collector's resource upsert applied before flattening."""
+    msgs = td.otlp_metric_messages(events_table(spark, sf_dir))
+    m = MetricsProcessor(resource_upserts=COLLECTOR_RESOURCE).process(routed(prepare(msgs), "metrics"))
+    return q_flatten_metrics_from(m)

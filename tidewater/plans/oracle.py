@@ -595,3 +595,13 @@ ORACLE["protobuf_metrics"] = ORACLE["flatten_metrics"]
 
 # the text copy of orders must join exactly like the Parquet one
 ORACLE["join_text_table"] = ORACLE["join_full_outer"]
+
+# the collector's upsert sets deployment.environment on every resource
+ORACLE["collector_resource_metrics"] = f"""
+{ALL}
+SELECT ts AS timestamp, entity_id, metric_name, round(metric_value, 4) AS metric_value, metric_type,
+  'postgresql' AS source, 'development' AS environment, unit,
+  CASE WHEN contains(metric_name, 'error') AND metric_value > 0 THEN 'warning' END AS severity,
+  database AS database_tag, 'Synthetic ' || metric_name AS description
+FROM m
+"""
