@@ -66,3 +66,18 @@ def test_protobuf_messages_through_pipeline(spark, bronze):
     r = route_events(decoded, "metrics").collect()[0]
     assert (r.entity_id, r.metric_name, r.metric_value, r.metric_type) == (
         "postgres", "postgresql.commits", 567.0, "counter")
+
+
+def test_otlp_log_documents(spark):
+    """SR5: a file of OTLP JSON log requests; every record of every request becomes an event."""
+    req = {"resourceLogs": [{"resource": {"attributes": [{"key": "host.name", "value": {"stringValue": "db1"}}]},
+                             "scopeLogs": [{"logRecords": [
+                                 {"timeUnixNano": "1697280000000000000", "body": {"stringValue": "a"}},
+                                 {"timeUnixNano": "1697280001000000000", "body": {"stringValue": "b"}}]}]}]}
+    d = _tmp()
+    with open(os.path.join(d, "logs.json"), "w") as f:
+        json.dump([req, req], f)
+    ev = route_events(files.read_json_documents(spark, d, "raw-host-logs"), "host_logs")
+    rows = ev.select("entity_id", "message", "event_type").collect()
+    assert sorted(r.message for r in rows) == ["a", "a", "b", "b"]
+    assert {(r.entity_id, r.event_type) for r in rows} == {("db1", "syslog")}
