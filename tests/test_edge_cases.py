@@ -184,3 +184,16 @@ def test_enrichment_off(bronze):
     rows = [("raw-logs", json.dumps({"tags": {"log_level": "error"}, "payload": {}}))]
     out = process(bronze(rows), ProcessorConfig(enable_enrichment=False))
     assert "requires_alert" not in out.events.collect()[0].tags
+
+
+def test_fp12_resource_upsert_on_host_logs(bronze):
+    from tidewater.operators.logs import HostLogsProcessor
+    doc = {"resourceLogs": [{"resource": {"attributes": [
+        {"key": "host.name", "value": {"stringValue": "h1"}},
+        {"key": "deployment.environment", "value": {"stringValue": "staging"}}]},
+        "scopeLogs": [{"logRecords": [{"timeUnixNano": TS_NS, "body": {"stringValue": "x"}}]}]}]}
+    p = routed(prepare(bronze([("raw-host-logs", json.dumps(doc))])), "host_logs")
+    plain = HostLogsProcessor().process(p).collect()[0]
+    upsert = HostLogsProcessor(resource_upserts={"deployment.environment": "development"}).process(p).collect()[0]
+    assert (plain.environment, upsert.environment) == ("staging", "development")
+    assert upsert.entity_id == "h1"
