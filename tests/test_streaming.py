@@ -43,3 +43,21 @@ def test_restart_processes_only_new_input(spark):
     ent = st.latest_entities(spark, os.path.join(out, "entities"))
     got = {r.entity_id: r.records for r in ent.collect()}
     assert got == {"a": 5, "b": 3}
+
+
+def test_processing_time_trigger_with_size_bound(spark):
+    """ST2: age trigger (processingTime) with the batch size bounded by files per trigger."""
+    from tidewater.operators.processor import ProcessorConfig
+    base = tempfile.mkdtemp(prefix="tidewater-stream-")
+    bronze, out, ckpt = (os.path.join(base, d) for d in ("bronze", "out", "ckpt"))
+    for k in range(3):
+        _land(spark, bronze, [_log(f"h{k}", i) for i in range(2)], 10 * k)
+    q = st.start_normalisation(files.read_messages_stream(spark, bronze, max_files_per_trigger=1), out, ckpt,
+                               config=ProcessorConfig(max_batch_age_seconds=1), entities=False)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    stats = spark.read.parquet(os.path.join(out, "batch_stats")).where("not is_empty")
+    assert stats.count() == 3  # one landed file per micro-batch
+    assert spark.read.parquet(os.path.join(out, "events")).count() == 6
