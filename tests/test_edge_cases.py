@@ -197,3 +197,22 @@ def test_fp12_resource_upsert_on_host_logs(bronze):
     upsert = HostLogsProcessor(resource_upserts={"deployment.environment": "development"}).process(p).collect()[0]
     assert (plain.environment, upsert.environment) == ("staging", "development")
     assert upsert.entity_id == "h1"
+
+
+def test_sc3_fingerprint_matches_python_split(spark):
+    """Whitespace handling of the fingerprint equals ``' '.join(s.lower().split())`` + SHA-256."""
+    import hashlib
+    import random
+
+    from tidewater.functions.expr import normalise_sql, query_fingerprint
+    rnd = random.Random(7)
+    spaces = [" ", "\t", "\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", " ",
+              " ", "　", " "]
+    words = ["SELECT", "from", "Users", "WHERE", "id", "=", "$1", "Ünïcode", "(x)"]
+    texts = ["".join(rnd.choice(spaces + words) for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "q STRING")
+    got = df.select("q", normalise_sql(F.col("q")).alias("n"), query_fingerprint(F.col("q")).alias("h")).collect()
+    for r in got:
+        want = " ".join(r.q.lower().split())
+        assert r.n == want, (r.q, r.n, want)
+        assert r.h == hashlib.sha256(want.encode()).hexdigest()[:16]
