@@ -7,16 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, line_dedup, quality_rules, url_filters
+import public_tokenizers
+
+from tidewater.llm import bpe, decontaminate, line_dedup, quality_rules, token_files, url_filters
 from tidewater.llm.common import table
 from tidewater.llm.oracle import ORACLE as ORACLE
-from tidewater.session import configure
+from tidewater.session import configure, shared_dir
 
 # The contract's URL rules (fixed values).
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, VOCABULARY).drop("text")
+    return bpe.decode(coded, VOCABULARY, text="decoded").select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    path = shared_dir(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, VOCABULARY)
+    return token_files.read_tokens(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -46,4 +69,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_decontaminate, op6_url_filters, op7_quality_rules, op10_line_dedup)}
+    f.__name__: f for f in (op2_bpe, op4_token_files, op5_decontaminate, op6_url_filters, op7_quality_rules, op10_line_dedup)}
