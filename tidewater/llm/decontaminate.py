@@ -51,37 +51,36 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
               size: int = SIZE) -> DataFrame:
-    """(doc_id, key, n_words, hits, wins): per document, hit starts with sizes and window texts.
+    """(doc_id, key, n_words, size, pos, item_ids): the hits, and one more row per document.
 
     One pass over the documents: each emits its windows with their positions, a
-    left join marks those of the benchmark, and the first row of each document is
-    kept whatever it matched, so documents without a hit stay in the result.
-    The broadcast side is the set of different windows; its size is measured
-    and beyond ``BROADCAST_BYTES`` the join shuffles instead.
+    left join marks those of the benchmark (with the items that hold them), and
+    the first row of each document stays whatever it matched (item_ids null), so
+    documents without a hit stay in the result. The broadcast side's bytes are
+    measured; beyond ``BROADCAST_BYTES`` the join shuffles instead.
     """
-    grams = benchmark_windows(benchmark, size=size).select("size", "win").distinct()
-    stats = grams.groupBy("size").agg(F.sum(F.octet_length("win") + 64).alias("bytes")).collect()
-    sizes = sorted(r["size"] for r in stats) or [size]  # at most ``size`` rows
+    grams = (benchmark_windows(benchmark, size=size).groupBy("size", "win")
+             .agg(F.sort_array(F.collect_set("item_id")).alias("item_ids")))
+    weight = F.octet_length("win") + F.octet_length(F.array_join("item_ids", ",")) + 64
+    stats = grams.groupBy("size").agg(F.sum(weight).alias("bytes")).collect()  # at most ``size`` rows
+    sizes = sorted(r["size"] for r in stats) or [size]
     small = sum(r["bytes"] for r in stats) <= BROADCAST_BYTES
-    known = grams.select(F.col("size").alias("known_size"), F.col("win").alias("known"))
     d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("key"),
                     words(F.col(text)).alias("w"))
     d = d.select("doc_id", "key", F.size("w").alias("n_words"), "w")
-    by_size = F.array(*[F.struct(F.lit(s).alias("size"), windows(F.col("w"), s).alias("wins")) for s in sizes]) \
-        if len(sizes) > 1 else None
-    if by_size is None:
-        out = d.select("doc_id", "key", "n_words", F.lit(sizes[0]).alias("size"),
+    if len(sizes) == 1:
+        out = d.select("doc_id", "key", "n_words", F.lit(0).alias("nth"), F.lit(sizes[0]).alias("size"),
                        F.posexplode_outer(windows(F.col("w"), sizes[0])).alias("pos", "win"))
-        first = F.coalesce(F.col("pos"), F.lit(0)) == 0
     else:
+        by_size = F.array(*[F.struct(F.lit(s).alias("size"), windows(F.col("w"), s).alias("wins"))
+                            for s in sizes])
         out = (d.select("doc_id", "key", "n_words", F.posexplode(by_size).alias("nth", "s"))
                .select("doc_id", "key", "n_words", "nth", F.col("s.size").alias("size"),
                        F.posexplode_outer("s.wins").alias("pos", "win")))
-        first = (F.col("nth") == 0) & (F.coalesce(F.col("pos"), F.lit(0)) == 0)
-    side = F.broadcast(known) if small else known
-    found = out.join(side, (F.col("win") == F.col("known")) & (F.col("size") == F.col("known_size")), "left")
-    return (found.where(F.col("known").isNotNull() | first)
-            .select("doc_id", "key", "n_words", "size", "pos", F.col("known").alias("win")))
+    found = out.join(F.broadcast(grams) if small else grams, ["size", "win"], "left")
+    first = (F.col("nth") == 0) & (F.coalesce("pos", F.lit(0)) == 0)
+    return (found.where(F.col("item_ids").isNotNull() | first)
+            .select("doc_id", "key", "n_words", "size", "pos", "item_ids"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -91,19 +90,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     ``spans`` lists the hit word ranges as (first, last), merged; a document's
     hits are bounded by its own words, so gathering them per document is safe.
     """
-    hits = find_hits(docs, benchmark, doc_id, text, size)
-    marks = F.collect_set(F.when(F.col("win").isNotNull(), F.struct("pos", "size")))
-    per_doc = hits.groupBy("doc_id", "key", "n_words").agg(marks.alias("marks"))
-    spans = per_doc.withColumn("spans", merge_spans(F.sort_array("marks"))).drop("marks")
-    items = (hits.where(F.col("win").isNotNull()).select("doc_id", "key", "n_words", "size", "win").distinct()
-             .join(benchmark_windows(benchmark, size=size), ["size", "win"])
-             .groupBy("doc_id", "key", "n_words").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids")))
-    joined = spans.alias("s").join(
-        items.alias("i"), F.col("s.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("s.key") == F.col("i.key")),
-        "left").select("s.*", F.coalesce("i.item_ids", F.array().cast("array<string>")).alias("item_ids"))
+    hit = F.col("item_ids").isNotNull()
+    per_doc = find_hits(docs, benchmark, doc_id, text, size).groupBy("doc_id", "key", "n_words").agg(
+        F.collect_set(F.when(hit, F.struct("pos", "size"))).alias("marks"),
+        F.collect_set("item_ids").alias("items"))
+    out = per_doc.select("doc_id", "key", F.col("n_words").cast("long").alias("n_words"),
+                         merge_spans(F.sort_array("marks")).alias("spans"),
+                         F.sort_array(F.array_distinct(F.flatten("items"))).alias("item_ids"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + (s["last"] - s["first"] + 1))
-    return joined.select("doc_id", "key", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
-                         "item_ids", "spans", (F.size("spans") > 0).alias("contaminated"))
+    return out.select("doc_id", "key", "n_words", n_hit.alias("n_hit"), "item_ids", "spans",
+                      (F.size("spans") > 0).alias("contaminated"))
 
 
 def merge_spans(marks: Column) -> Column:
