@@ -18,12 +18,14 @@ repeated results, and a column named like a result is replaced.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import sys
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -80,6 +82,16 @@ def split_words(text: str) -> list[str]:
     return [text[a:b] for _, (a, b) in library_splitter().pre_tokenize_str(text)]
 
 
+@contextmanager
+def paused_collection():
+    """No cycle collection meanwhile: the many short lists made here hold no cycles."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 class Encoder:
     """One vocabulary; ``encode`` and ``decode`` work on lists of texts."""
 
@@ -197,17 +209,18 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; the words that are new in this list are learnt together."""
-        split = [self.pieces(t) for t in texts]
-        need = set(chain.from_iterable(split))
-        new = need.difference(self.words)
-        if len(self.words) + len(new) > TABLE_WORDS:
-            self.words, self.older, new = {}, self.words, need
-        self.words.update([(w, self.older[w]) for w in new if w in self.older])
-        new = [w for w in new if w not in self.words]
-        self.words.update((w, np.uint32(self.special[w]).tobytes()) for w in new if w in self.special)
-        if new := [w for w in new if w not in self.special]:
-            self.learn(new)
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+        with paused_collection():
+            split = [self.pieces(t) for t in texts]
+            need = set(chain.from_iterable(split))
+            new = need.difference(self.words)
+            if len(self.words) + len(new) > TABLE_WORDS:
+                self.words, self.older, new = {}, self.words, need
+            self.words.update([(w, self.older[w]) for w in new if w in self.older])
+            new = [w for w in new if w not in self.words]
+            self.words.update((w, np.uint32(self.special[w]).tobytes()) for w in new if w in self.special)
+            if new := [w for w in new if w not in self.special]:
+                self.learn(new)
+            return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.tokens.__getitem__, ids.tolist())).decode("utf-8", "replace")

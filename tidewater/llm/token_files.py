@@ -21,6 +21,7 @@ without rows. Extra columns do not matter.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.bpe import split_words
+from tidewater.llm.bpe import byte_letters, paused_collection, split_words
 from tidewater.llm.common import shuffle_partitions
 
 END = 0
@@ -51,8 +52,8 @@ def pack_block(ids: np.ndarray) -> bytes:
     width = int(np.partition(diff, k := len(diff) * PERCENTILE // 100 - (PERCENTILE == 100))[k]).bit_length()
     places = np.flatnonzero(diff >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
     high = diff[places] >> np.uint32(width) if len(places) else np.empty(0, np.uint32)
-    bits = (diff[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1) if width else np.empty((len(ids), 0))
-    packed = np.packbits(bits.astype(np.uint8), bitorder="little")
+    bits = np.unpackbits(diff.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+    packed = np.packbits(bits[:, :width], bitorder="little")
     return (HEAD.pack(low, len(ids), width, 0, len(places)) + packed.tobytes()
             + places.astype("<u2").tobytes() + high.astype("<u4").tobytes())
 
@@ -87,8 +88,8 @@ class LibraryEncoder:
     """The tokenizer library behind a table of words already encoded.
 
     A text is cut where the library's pre-tokenizer cuts it and each different
-    piece is encoded by the library once; pieces are encoded independently there
-    too. The table keeps two generations of ``TABLE_WORDS`` words.
+    piece goes through the library's model once; pieces are encoded independently
+    there too. The table keeps two generations of ``TABLE_WORDS`` words.
     """
 
     def __init__(self, vocabulary: str):
@@ -96,10 +97,10 @@ class LibraryEncoder:
 
         import tokenizers
         self.library = tokenizers.Tokenizer.from_str(vocabulary)
-        self.library.no_truncation()
-        self.library.no_padding()
-        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.at_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+        self.model = self.library.model
+        self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.letters = {b: letter for letter, b in byte_letters().items()}
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -109,19 +110,21 @@ class LibraryEncoder:
         return [x for i, part in enumerate(self.at_special.split(text))
                 for x in ([part] if i % 2 else split_words(part))]
 
+    def piece(self, piece: str) -> bytes:
+        if piece in self.special:
+            return array("I", [self.special[piece]]).tobytes()
+        spelt = piece.encode().decode("latin-1").translate(self.letters)  # the byte-level alphabet
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.pieces(t) for t in texts]
-        need = set(chain.from_iterable(split))
-        if len(self.words) + len(need.difference(self.words)) > TABLE_WORDS:
-            self.words, self.older = {}, self.words
-        new = need.difference(self.words)
-        self.words.update([(w, self.older[w]) for w in new if w in self.older])
-        new = [w for w in new if w not in self.words]
-        for at in range(0, len(new), 2000):
-            part = new[at:at + 2000]
-            made = self.library.encode_batch_fast(part, add_special_tokens=False)
-            self.words.update((w, np.array(m.ids, "<u4").tobytes()) for w, m in zip(part, made))
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+        with paused_collection():
+            split = [self.pieces(t) for t in texts]
+            need = set(chain.from_iterable(split))
+            if len(self.words) + len(need.difference(self.words)) > TABLE_WORDS:
+                self.words, self.older = {}, self.words
+            for w in need.difference(self.words):
+                self.words[w] = self.older.get(w) or self.piece(w)
+            return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
 
 @cache
