@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidewater.llm import bpe, decontaminate, line_dedup, quality_rules, token_files, url_filters
+from tidewater.llm import bpe, decontaminate, language_id, line_dedup, lm_scoring, quality_rules, token_files, url_filters
 from tidewater.llm.common import table
 from tidewater.llm.oracle import ORACLE as ORACLE
 from tidewater.session import configure, shared_dir
@@ -61,6 +61,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    return language_id.identify(docs, held_out).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
+    return lm_scoring.score(table(spark, sf_dir, "documents"), held_out)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,4 +82,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe, op4_token_files, op5_decontaminate, op6_url_filters, op7_quality_rules, op10_line_dedup)}
+    f.__name__: f for f in (op2_bpe, op4_token_files, op5_decontaminate, op6_url_filters, op7_quality_rules, op8_language_id, op9_lm_scoring,
+                                op10_line_dedup)}
