@@ -147,3 +147,27 @@ def by_shard(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
     for s in range(1 << bits):
         if cuts[s] < cuts[s + 1]:
             yield s, slice(int(cuts[s]), int(cuts[s + 1]))
+
+
+class KeyIndex:
+    """Places of known keys: a bucket per hash, all lookups of an array at once."""
+
+    def __init__(self, keys: np.ndarray):
+        self.shift = U(64 - max(4, (4 * len(keys)).bit_length()))
+        slots = 1 << (64 - int(self.shift))
+        bucket = self._bucket(keys)
+        self.place = np.argsort(bucket, kind="stable")
+        self.keys = keys[self.place]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=slots))[:-1]]).astype(np.int32)
+
+    def _bucket(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * U(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key among the keys given at the start; all must be known."""
+        at = self.first[self._bucket(keys)]
+        open_ = np.flatnonzero(self.keys[at] != keys)
+        while len(open_):
+            at[open_] += 1
+            open_ = open_[self.keys[at[open_]] != keys[open_]]
+        return self.place[at]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidewater.llm import bpe, decontaminate, language_id, line_dedup, lm_scoring, quality_rules, token_files, url_filters
+from tidewater.llm import bpe, decontaminate, language_id, line_dedup, lm_scoring, quality_classifier, quality_rules, token_files, url_filters
 from tidewater.llm.common import table
 from tidewater.llm.oracle import ORACLE as ORACLE
 from tidewater.session import configure, shared_dir
@@ -22,6 +22,11 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -82,5 +87,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe, op4_token_files, op5_decontaminate, op6_url_filters, op7_quality_rules, op8_language_id, op9_lm_scoring,
+    f.__name__: f for f in (op1_quality_classifier, op2_bpe, op4_token_files, op5_decontaminate, op6_url_filters, op7_quality_rules, op8_language_id, op9_lm_scoring,
                                 op10_line_dedup)}
