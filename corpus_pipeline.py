@@ -7,12 +7,16 @@ next stage's documents.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, line_dedup, quality_rules
+from tidewater.llm import bpe, decontaminate, line_dedup, near_duplicates, quality_rules
 from tidewater.llm.common import table, written
 from tidewater.session import configure
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
@@ -24,13 +28,28 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(docs)
 
 
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class stays, the one of smallest id."""
+    return near_duplicates.keep_one(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
     return decontaminate.remove_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("quality_rules", quality), ("line_dedup", lines), ("decontaminate", decontaminated)]
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's token ids, and whether they decode to its text again."""
+    coded = bpe.encode(docs, VOCABULARY)
+    back = bpe.decode(coded, VOCABULARY, text="_decoded")
+    return (back.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+            .withColumn("round_trip", F.col("_decoded") == F.coalesce("text", F.lit(""))).drop("_decoded"))
+
+
+STAGES = [("quality_rules", quality), ("line_dedup", lines), ("near_duplicates", near_duplicate),
+          ("decontaminate", decontaminated), ("bpe", tokens)]
 
+# Sampling and exact merging are beyond SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidewater.llm import bpe, decontaminate, language_id, line_dedup, lm_scoring, quality_classifier, quality_rules, token_files, url_filters
+from tidewater.llm import (bpe, decontaminate, language_id, line_dedup, lm_scoring, near_duplicates,
+                           quality_classifier, quality_rules, token_files, url_filters)
 from tidewater.llm.common import table
 from tidewater.llm.oracle import ORACLE as ORACLE
 from tidewater.session import configure, shared_dir
@@ -37,6 +38,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return near_duplicates.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     path = shared_dir(spark, "tokens")
@@ -87,5 +93,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op2_bpe, op4_token_files, op5_decontaminate, op6_url_filters, op7_quality_rules, op8_language_id, op9_lm_scoring,
+    f.__name__: f for f in (op1_quality_classifier, op2_bpe, op3_near_duplicates, op4_token_files, op5_decontaminate, op6_url_filters, op7_quality_rules, op8_language_id, op9_lm_scoring,
                                 op10_line_dedup)}
