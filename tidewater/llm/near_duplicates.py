@@ -11,7 +11,7 @@ the corpus size, so that table is broadcast.
 Each text gets ``SAMPLES`` consistent weighted samples. Texts that agree in a band of
 ``ROWS`` samples share a bucket; bands are also joined pairwise into narrower buckets.
 Equal texts are collapsed first. In a bucket every text is compared with the bucket's
-centre only, so work is linear in the bucket. Candidate pairs are verified by the
+centres only, so work is linear in the bucket. Candidate pairs are verified by the
 weighted Jaccard similarity of their whole shingle sets, best candidate of each text
 first; pairs already in one class need no check. Rounds with other centres follow until
 a round finds no new link between classes. Classes are connected components.
@@ -40,6 +40,8 @@ SAMPLES, ROWS = 64, 4
 COMMON_SHARE = 1e-3
 IDF_GAIN = 0.2
 SKETCH_BITS, CELLS = 21, 4096
+CENTRES = 4  # of a bucket in each turn after the first
+EDGES_PER_FILE = 200_000
 ESTIMATE = 0.55  # candidates estimated below are dropped: five standard errors under SIMILARITY
 MAX_ROWS = 60_000
 _rng = np.random.default_rng(20_240_602)
@@ -222,21 +224,32 @@ def buckets(nodes: DataFrame) -> DataFrame:
     return nodes.where("sig is not null").select(F.explode(F.array(*every)).alias("bucket"), "key")
 
 
-def candidate_pairs(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """(a, b): texts and the centre of a bucket they share, of different classes.
+def candidate_pairs(members: DataFrame, turn: int, centres: int) -> DataFrame:
+    """(a, b): texts and a centre of a bucket they share, of different classes.
 
-    The centre is the text of smallest hash; turns hash differently. A centre's
-    class comes with it, and a bucket's members meet it in a join that Spark can split.
+    ``members`` is (bucket, key, label). The centres are the texts of smallest
+    hash under ``centres`` seeds that differ from turn to turn; a bucket's members
+    meet them in a join that Spark can split.
     """
-    named = members.join(labels, "key")
-    centre = (named.groupBy("bucket").agg(
-        F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), "key", "label")).alias("c"),
-        F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low <> high").select("bucket", F.col("c.key").alias("b"), F.col("c.label").alias("b_label")))
-    return (named.join(centre, "bucket").where("label <> b_label")
+    least = [F.min(F.struct(F.xxhash64("key", F.lit(turn * 16 + i)).alias("h"), "key", "label"))
+             for i in range(centres)]
+    centre = (members.groupBy("bucket").agg(
+        F.array(*least).alias("cs"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low <> high").select("bucket", F.explode(F.array_distinct(F.transform(
+            "cs", lambda c: F.struct(c["key"].alias("b"), c["label"].alias("b_label"))))).alias("c"))
+        .select("bucket", "c.*"))
+    return (members.join(centre, "bucket").where("label <> b_label")
             .select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct())
 
 
+def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with their labels, of the buckets that still hold several classes."""
+    named = members.select("bucket", "key").join(labels, "key")
+    several = (named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+               .where("low <> high").select("bucket"))
+    return written(named.join(several, "bucket", "left_semi").select("bucket", "key", "label"), "buckets")
+
+
 def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(a, b, estimate): pairs whose samples agree often enough."""
     sig = nodes.select("key", "sig")
@@ -320,7 +333,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(low, "u").where("v <> m")
                  .select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        edges = written(small, "star")
+        # stars never have more edges than before, so their number sizes the next files
+        edges = written(small.coalesce(max(1, state[0] // EDGES_PER_FILE)), "star")
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -345,30 +359,26 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     labels = written(members.select("key").distinct().select("key", F.col("key").alias("label")), "labels")
     vecs = written(vectors(docs, nodes.select("key", "doc_id").join(labels.select("key"), "key", "left_semi"),
                            common, doc_id, text), "vectors", "none")
-    tried = None
-    turn = 0
-    while True:
-        pairs = candidate_pairs(members, labels, turn)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(estimated(pairs, nodes), "pairs")
-        best = (pairs.groupBy("a").agg(F.max(F.struct("estimate", "b"))["b"].alias("b")))
-        first = written(verified(best, vecs), "links")
-        n_first = first.count()
-        if n_first:
-            labels = merged(labels, first)
-        named = labels.select("key", "label")
-        rest = (pairs.join(best, ["a", "b"], "left_anti")
-                .join(named.withColumnsRenamed({"key": "a", "label": "x"}), "a")
-                .join(named.withColumnsRenamed({"key": "b", "label": "y"}), "b").where("x <> y").select("a", "b"))
-        second = written(verified(rest, vecs), "links")
-        n_second = second.count()
-        if n_second:
-            labels = merged(labels, second)
-        if not n_first + n_second:
-            break
-        seen = pairs.select("a", "b")
-        tried = seen if tried is None else tried.unionByName(seen)
+    members = members.withColumn("label", F.col("key"))
+    turn, links = 0, 1
+    while links:
+        pairs = written(estimated(candidate_pairs(members, turn, CENTRES if turn else 1), nodes), "pairs")
+        if turn == 0:
+            # most links: the best candidate of each text; what then is one class needs no check
+            best = pairs.groupBy("a").agg(F.max(F.struct("estimate", "b"))["b"].alias("b"))
+            found = written(verified(best, vecs), "links")
+            labels = merged(labels, found)
+            pairs = (pairs.join(best, ["a", "b"], "left_anti")
+                     .join(labels.withColumnsRenamed({"key": "a", "label": "x"}), "a")
+                     .join(labels.withColumnsRenamed({"key": "b", "label": "y"}), "b").where("x <> y"))
+        found = written(verified(pairs.select("a", "b"), vecs), "links")
+        links = found.count()
+        if links:
+            labels = merged(labels, found)
+        if turn == 0:
+            links = 1  # other centres are tried at least once
+        if links:
+            members = unsettled(members, labels)
         turn += 1
     named = nodes.select("key", "doc_id").join(labels, "key", "left").select(
         "key", F.coalesce("label", "key").alias("label"), "doc_id")
