@@ -256,13 +256,13 @@ def dedup_first(df: DataFrame, key: str = "id", order: tuple[str, ...] = ("times
 
 def retention(df: DataFrame, as_of: str, days: dict[str, int] | None = None,
               topic_col: str = "topic", ts_col: str = "ingest_ts") -> DataFrame:
-    """SK10: keep rows younger than the retention of their topic."""
+    """SK10: keep rows younger than the retention of their topic; topics without one keep all."""
     days = days or RETENTION_DAYS
-    keep = None
+    keep = F.col(topic_col).isNull() | ~F.col(topic_col).isin(*days)
     for topic, d in days.items():
         cond = (F.col(topic_col) == topic) & (
             F.col(ts_col) >= F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(d)} DAYS"))
-        keep = cond if keep is None else keep | cond
+        keep = keep | cond
     return df.where(keep)
 
 

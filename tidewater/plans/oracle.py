@@ -516,7 +516,8 @@ FROM m
 
 _KEEP = " OR ".join(f"(topic = '{t}' AND ingest_ts >= TIMESTAMP '2024-01-30' - INTERVAL {d} DAY)"
                     for t, d in {"otel-metrics": 7, "raw-logs": 30, "raw-queries": 90,
-                                 "raw-host-logs": 7}.items())
+                                 "raw-host-logs": 7}.items()) + (
+    " OR topic IS NULL OR topic NOT IN ('otel-metrics', 'raw-logs', 'raw-queries', 'raw-host-logs')")
 ORACLE["retention"] = f"""
 WITH {BASE}, {EMSG},
 allm AS (

@@ -57,8 +57,8 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     ``spark.checkpoint.dir`` names storage every executor can reach. It is
-    read from the session; only when it is unset (local tests) do we point it
-    at a private temp folder.
+    read from the session. Where it is unset, a local master gets a private temp
+    folder; on a cluster that would be a folder per machine, so it is an error.
     """
     try:
         sc = spark.sparkContext
@@ -67,6 +67,8 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base and sc is not None:
         base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not base and (sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to storage that every executor reaches")
     if not base:
         base = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)

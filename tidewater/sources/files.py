@@ -49,18 +49,23 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 def read_topics_stream(spark: SparkSession, bootstrap_servers: str, topics: list[str],
                        starting_offsets: str = "earliest",
-                       max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """SR2: subscribe to the topics (needs the Kafka connector on the classpath)."""
+                       max_offsets_per_trigger: int | None = None,
+                       fail_on_data_loss: bool = True, text: bool = True) -> DataFrame:
+    """SR2: subscribe to the topics (needs the Kafka connector on the classpath).
+
+    Lost offsets end the query unless the caller chooses otherwise; ``text=False``
+    keeps the bytes, as the protobuf metrics topic needs (``otlp_proto.decode_messages``).
+    """
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap_servers)
          .option("subscribe", ",".join(topics))
          .option("startingOffsets", starting_offsets)
-         .option("failOnDataLoss", "false"))
+         .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     return r.load().select(
         "topic", "partition", "offset", F.col("key").cast("string").alias("key"),
-        F.col("value").cast("string").alias("value"), F.col("timestamp").alias("ingest_ts"))
+        F.col("value").cast("string" if text else "binary").alias("value"), F.col("timestamp").alias("ingest_ts"))
 
 
 def read_messages_stream(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -77,13 +82,3 @@ def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ",",
     """SR9: external delimited text table with declared columns."""
     return (spark.read.schema(schema).option("sep", sep).option("header", str(header).lower())
             .option("mode", "PERMISSIVE").csv(path))
-
-
-def scan_limit(df: DataFrame, n: int = 5, order: list[str] | None = None) -> DataFrame:
-    """SR7: first ``n`` rows; with ``order`` a deterministic top-n."""
-    return (df.orderBy(*order) if order else df).limit(n)
-
-
-def predicate_scan(df: DataFrame, event_type: str = "syslog", n: int = 5) -> DataFrame:
-    """SR8: ``event_type = …`` (pushed to the Parquet reader) + limit."""
-    return df.where(F.col("event_type") == event_type).limit(n)

@@ -15,14 +15,17 @@ RFC3164 = (r"^<(\d{1,3})>([A-Z][a-z]{2}\s+\d{1,2}\s\d{2}:\d{2}:\d{2})\s(\S+)\s"
 def parse_syslog(lines: DataFrame, value: str = "value") -> DataFrame:
     """Split lines into pri / facility / severity / time text / host / tag / pid / msg.
 
-    RFC 3164 carries no year; it is taken from ``ingest_ts``.
+    RFC 3164 carries no year; the one that puts the stamp nearest ``ingest_ts`` is taken.
     """
     v = F.col(value)
     g = lambda i: F.regexp_extract(v, RFC3164, i)
     pri = F.nullif(g(1), F.lit("")).try_cast("int")
     stamp = F.regexp_replace(g(2), r"\s+", " ")
-    ts = F.try_to_timestamp(F.concat_ws(" ", F.year("ingest_ts").cast("string"), stamp),
-                            F.lit("yyyy MMM d HH:mm:ss"))
+    years = [F.try_to_timestamp(F.concat_ws(" ", (F.year("ingest_ts") + d).cast("string"), stamp),
+                                F.lit("yyyy MMM d HH:mm:ss")) for d in (-1, 0, 1)]
+    away = [F.abs(F.unix_timestamp(t) - F.unix_timestamp("ingest_ts")) for t in years]
+    ts = F.array_min(F.filter(F.array(*[F.struct(a.alias("away"), t.alias("ts")) for a, t in zip(away, years)]),
+                              lambda x: x["ts"].isNotNull()))["ts"]
     return lines.select(
         "*", pri.alias("pri"), facility(pri).alias("facility"), severity(pri).alias("severity"),
         F.coalesce(ts, F.col("ingest_ts")).alias("ts"),
@@ -31,6 +34,11 @@ def parse_syslog(lines: DataFrame, value: str = "value") -> DataFrame:
         pri.isNotNull().alias("parsed"))
 
 
+def unparsed_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """The lines ``syslog_events`` cannot read, with the reason, for the dead letters."""
+    return parse_syslog(lines, value).where("not parsed").select(*lines.columns, F.lit("not_syslog").alias("reason"))
+
+
 def syslog_events(lines: DataFrame, resource_attributes: dict[str, str] | None = None) -> DataFrame:
     """Parsed syslog lines → events; ``resource_attributes`` are upserted (FP12)."""
     attrs = resource_attributes or {}
@@ -52,7 +60,8 @@ def syslog_events(lines: DataFrame, resource_attributes: dict[str, str] | None =
         tags.alias("tags"),
         F.transform_values(tags, lambda k, x: x.cast("variant")).alias("attributes"),
         F.lit(None).cast("string").alias("trace_id"),
-        row_id(F.lit("syslog"), F.col("offset")).alias("id"),
+        row_id(F.lit("syslog"), *(F.col(c) for c in ("topic", "partition") if c in lines.columns),
+               F.col("offset")).alias("id"),
         F.col("ingest_ts").alias("created_at"),
         F.lit(None).cast("string").alias("database"),
         F.lit("syslog").alias("topic"))
