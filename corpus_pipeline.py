@@ -49,7 +49,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality_rules", quality), ("line_dedup", lines), ("near_duplicates", near_duplicate),
           ("decontaminate", decontaminated), ("bpe", tokens)]
 
-# Sampling and exact merging are beyond SQL; tests hold run() against a brute-force version.
+# Sampling and exact merging are beyond SQL; tests/llm checks what run() must keep and drop.
 ORACLE_SQL = None
 
 
