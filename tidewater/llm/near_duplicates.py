@@ -10,11 +10,15 @@ the corpus size, so that table is broadcast.
 
 Each text gets ``SAMPLES`` consistent weighted samples. Texts that agree in a band of
 ``ROWS`` samples share a bucket; bands are also joined pairwise into narrower buckets.
-Equal texts are collapsed first. In a bucket every text is compared with the bucket's
-centres only, so work is linear in the bucket. Candidate pairs are verified by the
-weighted Jaccard similarity of their whole shingle sets, best candidate of each text
-first; pairs already in one class need no check. Rounds with other centres follow until
-a round finds no new link between classes. Classes are connected components.
+Equal texts are collapsed first. A bucket is dealt by hash into blocks of about
+``BLOCK`` texts, and all texts of a block are compared by their samples, in one task of
+bounded size. Each text proposes its closest partner and its closest among those before
+it, so proposals are linear in the bucket; they are verified by the weighted Jaccard
+similarity of their whole shingle sets. Buckets that then still hold several classes get
+a second look: texts with a likely partner outside their class meet in their block with
+their whole shingle sets, and every likely pair of different classes is verified there.
+Buckets of several blocks are dealt anew until a round finds no new link between
+classes. Classes are connected components.
 
 Defined results: every input row gets the smallest doc_id of its class. Null texts are
 classes of their own; blank texts match equal texts only. Rows equal in id and text are
@@ -40,9 +44,11 @@ SAMPLES, ROWS = 64, 4
 COMMON_SHARE = 1e-3
 IDF_GAIN = 0.2
 SKETCH_BITS, CELLS = 21, 4096
-CENTRES = 4  # of a bucket in each turn after the first
+BLOCK, LEAST_BLOCK = 2048, 64  # texts of a bucket compared in one task; fewer where they are long
+BLOCK_SHINGLES = 8_000_000
+SMALL = 16  # groups of at most so many texts are compared together
 EDGES_PER_FILE = 200_000
-ESTIMATE = 0.55  # candidates estimated below are dropped: five standard errors under SIMILARITY
+ESTIMATE = 0.62  # likely pairs; one of SIMILARITY falls below as rarely as it shares no band (2e-4)
 MAX_ROWS = 60_000
 _rng = np.random.default_rng(20_240_602)
 SLOTS = 1 << 16
@@ -193,7 +199,8 @@ def content_key(doc_id: str, text: str) -> Column:
 
 
 def sampled(docs: DataFrame, common, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, key, sig): each row's content key and its samples (null without shingles)."""
+    """(doc_id, key, sig, mini, size): each row's content key, its samples (null without
+    shingles), the last byte of each sample, and its number of shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
     src = docs.select(F.col(doc_id).alias("doc_id"), content_key(doc_id, text).alias("key"),
                       F.col(text).alias("text"))
@@ -203,17 +210,19 @@ def sampled(docs: DataFrame, common, doc_id: str = "doc_id", text: str = "text")
             for first, part in parts(b.column(2)):
                 row, keys, counts = shingles(part)
                 sig = samples(row, keys, weights(keys, counts, shared.value), len(part))
-                has = np.bincount(row, minlength=len(part)) > 0
+                size = np.bincount(row, minlength=len(part))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(first, len(part)), b.column(1).slice(first, len(part)),
-                     pa.array([s.tobytes() if ok else None for s, ok in zip(sig, has)], pa.binary())],
-                    ["doc_id", "key", "sig"])
+                     *(pa.array([s.tobytes() if n else None for s, n in zip(kind, size)], pa.binary())
+                       for kind in (sig, sig.astype(np.uint8))), pa.array(size, pa.int64())],
+                    ["doc_id", "key", "sig", "mini", "size"])
 
-    return src.mapInArrow(run, src.select("doc_id", "key").schema.add("sig", "binary"))
+    return src.mapInArrow(run, src.select("doc_id", "key").schema.add("sig", "binary").add("mini", "binary")
+                          .add("size", "long"))
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, key) of every node with samples: its bands, and pairs of neighbouring bands."""
+    """(bucket, key, size) of every node with samples: its bands, and pairs of neighbouring bands."""
     bands = SAMPLES // ROWS
     wide = 4 * ROWS
 
@@ -221,51 +230,158 @@ def buckets(nodes: DataFrame) -> DataFrame:
         return F.xxhash64(F.lit(i * 2 + n), F.expr(f"substring(sig, {i * wide + 1}, {n * wide})"))
 
     every = [part(i, 1) for i in range(bands)] + [part(i, 2) for i in range(0, bands, 2)]
-    return nodes.where("sig is not null").select(F.explode(F.array(*every)).alias("bucket"), "key")
-
-
-def candidate_pairs(members: DataFrame, turn: int, centres: int) -> DataFrame:
-    """(a, b): texts and a centre of a bucket they share, of different classes.
-
-    ``members`` is (bucket, key, label). The centres are the texts of smallest
-    hash under ``centres`` seeds that differ from turn to turn; a bucket's members
-    meet them in a join that Spark can split.
-    """
-    least = [F.min(F.struct(F.xxhash64("key", F.lit(turn * 16 + i)).alias("h"), "key", "label"))
-             for i in range(centres)]
-    centre = (members.groupBy("bucket").agg(
-        F.array(*least).alias("cs"), F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low <> high").select("bucket", F.explode(F.array_distinct(F.transform(
-            "cs", lambda c: F.struct(c["key"].alias("b"), c["label"].alias("b_label"))))).alias("c"))
-        .select("bucket", "c.*"))
-    return (members.join(centre, "bucket").where("label <> b_label")
-            .select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct())
-
-
-def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members, with their labels, of the buckets that still hold several classes."""
-    named = members.select("bucket", "key").join(labels, "key")
+    return nodes.where("sig is not null").select(F.explode(F.array(*every)).alias("bucket"), "key", "size")
+
+
+def shared_buckets(nodes: DataFrame) -> DataFrame:
+    """(bucket, key, blocks): the members of buckets of two and more, and the bucket's number of blocks."""
+    every = buckets(nodes)
+    n = F.count(F.lit(1))
+    blocks = F.greatest(F.ceil(n / BLOCK), F.least(F.ceil(F.sum("size") / BLOCK_SHINGLES), F.ceil(n / LEAST_BLOCK)))
+    several = every.groupBy("bucket").agg(n.alias("n"), blocks.alias("blocks")).where("n > 1")
+    return every.select("bucket", "key").join(several.select("bucket", "blocks"), "bucket")
+
+
+def dealt(members: DataFrame, salt: int) -> DataFrame:
+    """The members gathered block by block; ``salt`` deals split buckets anew."""
+    block = F.pmod(F.xxhash64("key", "bucket", F.lit(salt)), F.col("blocks"))
+    return (members.withColumn("block", block).repartition("bucket", "block")
+            .sortWithinPartitions("bucket", "block", "key"))
+
+
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole (bucket, block) groups of sorted input, with the groups' bounds."""
+    held = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        held = t if held is None else pa.concat_tables([held, t])
+        bounds = starts(held)
+        if len(bounds) > 2:
+            yield held.slice(0, bounds[-2]), bounds[:-1]
+            held = held.slice(bounds[-2])
+    if held is not None and len(held):
+        yield held, starts(held)
+
+
+def starts(t: pa.Table) -> np.ndarray:
+    one, two = t["bucket"].to_numpy(), t["block"].to_numpy()
+    new = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    return np.concatenate([[0], np.flatnonzero(new) + 1, [len(t)]]) if len(t) else np.zeros(1, np.int64)
+
+
+def agreement(mini: np.ndarray) -> np.ndarray:
+    """(n, n) share of equal samples, as counts; 0 on the diagonal."""
+    out = np.zeros((len(mini), len(mini)), np.uint8)
+    for column in np.ascontiguousarray(mini.T):
+        out += column[:, None] == column
+    np.fill_diagonal(out, 0)
+    return out
+
+
+def likely_pairs(mini: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, agreement) of all likely pairs i < j in each group: small groups together, others one by one."""
+    least = int(np.ceil(ESTIMATE * SAMPLES))
+    size = np.diff(bounds)
+    for n in range(2, SMALL + 1):
+        first = bounds[:-1][size == n]
+        x, y = np.triu_indices(n, 1)
+        step = max(1, 100_000 // len(x))
+        for at in range(0, len(first), step):
+            i, j = (np.add.outer(first[at:at + step], z).ravel() for z in (x, y))
+            agree = (mini[i] == mini[j]).sum(axis=1)
+            keep = agree >= least
+            if keep.any():
+                yield i[keep], j[keep], agree[keep]
+    for g in np.flatnonzero(size > SMALL):
+        agree = agreement(mini[bounds[g]:bounds[g + 1]])
+        i, j = np.nonzero(np.triu(agree >= least))
+        if len(i):
+            yield i + bounds[g], j + bounds[g], agree[i, j]
+
+
+def minis(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t["mini"].to_pylist()), np.uint8).reshape(-1, SAMPLES)
+
+
+def proposals(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b, estimate): of each block, every text with its closest partner, and with its closest
+    among the texts before it (which ties the texts of a block together)."""
+
+    def closest(one: np.ndarray, other: np.ndarray, agree: np.ndarray) -> np.ndarray:
+        order = np.lexsort((other, -agree, one))
+        one = one[order]
+        return order[np.append(True, one[1:] != one[:-1])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, bounds in groups(batches):
+            key = t["key"].combine_chunks()
+            for i, j, agree in likely_pairs(minis(t), bounds):
+                both = closest(np.append(i, j), np.append(j, i), np.append(agree, agree)) % len(i)
+                at = np.unique(np.append(both, closest(j, i, agree)))
+                yield pa.RecordBatch.from_arrays(
+                    [key.take(pa.array(i[at])), key.take(pa.array(j[at])), pa.array(agree[at] / SAMPLES)],
+                    ["a", "b", "estimate"])
+
+    found = dealt(members.join(nodes.select("key", "mini"), "key"), 0).mapInArrow(
+        run, "a binary, b binary, estimate double")
+    return found.distinct()
+
+
+def open_members(members: DataFrame, labels: DataFrame, nodes: DataFrame, salt: int) -> DataFrame:
+    """The members (with block, label, mini) that have a likely partner of another class in their block."""
+    named = members.join(labels, "key")
     several = (named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                .where("low <> high").select("bucket"))
-    return written(named.join(several, "bucket", "left_semi").select("bucket", "key", "label"), "buckets")
+    unsettled = dealt(named.join(several, "bucket", "left_semi").join(nodes.select("key", "mini"), "key"), salt)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, bounds in groups(batches):
+            label = t["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+            is_open = np.zeros(len(t), bool)
+            for i, j, _ in likely_pairs(minis(t), bounds):
+                differ = label[i] != label[j]
+                is_open[i[differ]] = is_open[j[differ]] = True
+            yield from t.filter(pa.array(is_open)).to_batches()
 
-def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b, estimate): pairs whose samples agree often enough."""
-    sig = nodes.select("key", "sig")
-    both = (pairs.join(sig.withColumnsRenamed({"key": "a", "sig": "x"}), "a")
-            .join(sig.withColumnsRenamed({"key": "b", "sig": "y"}), "b").select("a", "b", "x", "y"))
+    return unsettled.mapInArrow(run, unsettled.schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint32).reshape(-1, SAMPLES)
-                    for c in (b.column(2), b.column(3)))
-            agree = (x == y).mean(axis=1)
-            keep = pa.array(agree >= ESTIMATE)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(agree)],
-                                             ["a", "b", "estimate"]).filter(keep)
 
-    return both.mapInArrow(run, "a binary, b binary, estimate double")
+def links_between(members: DataFrame, vecs: DataFrame) -> DataFrame:
+    """(a, b): verified links between classes of the open members, found block by block."""
+    met = (members.join(vecs, "key").repartition("bucket", "block")
+           .sortWithinPartitions("bucket", "block", "key"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, bounds in groups(batches):
+            label = t["label"].combine_chunks().dictionary_encode().indices.to_numpy().copy()
+            key, vec = t["key"].combine_chunks(), t["vec"].combine_chunks()
+            for i, j, _ in likely_pairs(minis(t), bounds):
+                differ = label[i] != label[j]
+                i, j = i[differ], j[differ]
+                if not len(i):
+                    continue
+                order = np.argsort(i, kind="stable")
+                used, place = np.unique(np.append(i[order], j[order]), return_inverse=True)
+                compare = Comparison([vec[int(x)] for x in used])
+                links = []
+                for x, others in zip(*runs(place[:len(i)], place[len(i):])):
+                    others = others[label[used[others]] != label[used[x]]]
+                    if len(others):
+                        for y in others[compare(x, others) >= SIMILARITY]:
+                            if label[used[x]] != label[used[y]]:
+                                links.append((used[x], used[y]))
+                                label[label == label[used[y]]] = label[used[x]]
+                if links:
+                    a, b = zip(*links)
+                    yield pa.RecordBatch.from_arrays([key.take(pa.array(a)), key.take(pa.array(b))], ["a", "b"])
+
+    return met.mapInArrow(run, "a binary, b binary")
+
+
+def runs(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Each value of the sorted ``i`` and the parts of ``j`` that stand beside it."""
+    first = np.flatnonzero(np.append(True, i[1:] != i[:-1]))
+    return i[first], np.split(j, first[1:])
 
 
 def vectors(docs: DataFrame, wanted: DataFrame, common, doc_id: str, text: str) -> DataFrame:
@@ -289,17 +405,28 @@ def vectors(docs: DataFrame, wanted: DataFrame, common, doc_id: str, text: str)
     return src.mapInArrow(run, "key binary, vec binary")
 
 
-def similarity(x: bytes, y: bytes) -> float:
-    """Weighted Jaccard: sum of the smaller weights over the sum of the larger."""
-    def read(v: bytes) -> tuple[np.ndarray, np.ndarray]:
-        n = len(v) // 6
-        return np.frombuffer(v, np.uint32, n), np.frombuffer(v, np.float16, n, 4 * n).astype(np.float64)
+class Comparison:
+    """Weighted Jaccard among vectors: sum of the smaller weights over the sum of the larger."""
+
+    def __init__(self, vecs: list[pa.Scalar]):
+        data = [v.as_buffer() for v in vecs]
+        n = np.array([len(d) // 6 for d in data])
+        keys = np.concatenate([np.frombuffer(d, np.uint32, m) for d, m in zip(data, n)])
+        weight = np.concatenate([np.frombuffer(d, np.float16, m, 4 * m) for d, m in zip(data, n)]).astype(np.float64)
+        known, ids = np.unique(keys, return_inverse=True)
+        cuts = np.cumsum(n)[:-1]
+        self.ids, self.weight = np.split(ids, cuts), np.split(weight, cuts)
+        self.total = np.array([w.sum() for w in self.weight])
+        self.dense = np.zeros(len(known))
 
-    (a, u), (b, v) = read(x), read(y)
-    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    same = b[at] == a
-    low = np.minimum(u[same], v[at[same]]).sum()
-    return low / (u.sum() + v.sum() - low)
+    def __call__(self, x: int, others: np.ndarray) -> np.ndarray:
+        self.dense[self.ids[x]] = self.weight[x]
+        weight = np.concatenate([self.weight[y] for y in others])
+        smaller = np.minimum(self.dense[np.concatenate([self.ids[y] for y in others])], weight)
+        first = np.cumsum([0, *(len(self.ids[y]) for y in others[:-1])])
+        low = np.add.reduceat(smaller, first)
+        self.dense[self.ids[x]] = 0
+        return low / (self.total[x] + self.total[others] - low)
 
 
 def verified(pairs: DataFrame, vecs: DataFrame) -> DataFrame:
@@ -309,7 +436,7 @@ def verified(pairs: DataFrame, vecs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [similarity(x.as_py(), y.as_py()) >= SIMILARITY for x, y in zip(b.column(2), b.column(3))]
+            keep = [Comparison([x, y])(0, np.array([1]))[0] >= SIMILARITY for x, y in zip(b.column(2), b.column(3))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(
                 pa.array(keep, pa.bool_()))
 
@@ -351,35 +478,30 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """(doc_id, key, class_id), one row per row: class_id is the smallest doc_id of the class."""
     common = common_shingles(docs, text)
     rows = written(sampled(docs, common, doc_id, text), "samples")
-    nodes = written(rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), "texts")
-    # buckets of one text alone cannot give a pair
-    every = buckets(nodes)
-    shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = written(every.join(shared, "bucket"), "buckets")
+    nodes = written(rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"), *(
+        F.first(c).alias(c) for c in ("sig", "mini", "size"))), "texts")
+    members = written(shared_buckets(nodes), "buckets")
     labels = written(members.select("key").distinct().select("key", F.col("key").alias("label")), "labels")
     vecs = written(vectors(docs, nodes.select("key", "doc_id").join(labels.select("key"), "key", "left_semi"),
                            common, doc_id, text), "vectors", "none")
-    members = members.withColumn("label", F.col("key"))
-    turn, links = 0, 1
-    while links:
-        pairs = written(estimated(candidate_pairs(members, turn, CENTRES if turn else 1), nodes), "pairs")
-        if turn == 0:
-            # most links: the best candidate of each text; what then is one class needs no check
-            best = pairs.groupBy("a").agg(F.max(F.struct("estimate", "b"))["b"].alias("b"))
-            found = written(verified(best, vecs), "links")
-            labels = merged(labels, found)
-            pairs = (pairs.join(best, ["a", "b"], "left_anti")
-                     .join(labels.withColumnsRenamed({"key": "a", "label": "x"}), "a")
-                     .join(labels.withColumnsRenamed({"key": "b", "label": "y"}), "b").where("x <> y"))
-        found = written(verified(pairs.select("a", "b"), vecs), "links")
-        links = found.count()
-        if links:
-            labels = merged(labels, found)
-        if turn == 0:
-            links = 1  # other centres are tried at least once
-        if links:
-            members = unsettled(members, labels)
-        turn += 1
+    # most links: the best proposal of each text; what then is one class needs no check
+    pairs = written(proposals(members, nodes), "pairs")
+    best = pairs.groupBy("a").agg(F.max(F.struct("estimate", "b"))["b"].alias("b"))
+    labels = merged(labels, written(verified(best, vecs), "links"))
+    rest = (pairs.join(best, ["a", "b"], "left_anti")
+            .join(labels.withColumnsRenamed({"key": "a", "label": "x"}), "a")
+            .join(labels.withColumnsRenamed({"key": "b", "label": "y"}), "b").where("x <> y"))
+    labels = merged(labels, written(verified(rest.select("a", "b"), vecs), "links"))
+    # what is likely and not yet one class is verified pair by pair, split buckets until nothing is new
+    salt = 1
+    while True:
+        likely = written(open_members(members, labels, nodes, salt), "open")
+        links = written(links_between(likely, vecs), "links")
+        if links.isEmpty():
+            break
+        labels = merged(labels, links)
+        members = members.where("blocks > 1")
+        salt += 1
     named = nodes.select("key", "doc_id").join(labels, "key", "left").select(
         "key", F.coalesce("label", "key").alias("label"), "doc_id")
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
