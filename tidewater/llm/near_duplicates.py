@@ -50,6 +50,7 @@ SMALL = 16  # groups of at most so many texts are compared together
 EDGES_PER_FILE = 200_000
 ESTIMATE = 0.62  # likely pairs; one of SIMILARITY falls below as rarely as it shares no band (2e-4)
 MAX_ROWS = 60_000
+BITMAP_BITS = 26
 _rng = np.random.default_rng(20_240_602)
 SLOTS = 1 << 16
 # For sample k a shingle draws r ~ Gamma(2), c ~ Gamma(2), beta ~ U(0,1) from a slot hashed by k.
@@ -384,25 +385,50 @@ def runs(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     return i[first], np.split(j, first[1:])
 
 
+def bitmap(rows: DataFrame, slot: Column) -> np.ndarray:
+    """2**BITMAP_BITS bits, those of the rows' slots set; of the same size for any corpus."""
+    width = 1 << 15
+
+    def bits(t: pa.Table) -> pa.Table:
+        out = np.zeros(width, bool)
+        out[t["place"].to_numpy()] = True
+        return pa.table({"part": t["part"].slice(0, 1), "bits": pa.array([np.packbits(out).tobytes()], pa.binary())})
+
+    slots = rows.select(slot.alias("slot")).distinct().select(
+        F.floor(F.col("slot") / width).cast("int").alias("part"), (F.col("slot") % width).cast("int").alias("place"))
+    whole = np.zeros((1 << BITMAP_BITS) // width * (width // 8), np.uint8)
+    for r in slots.groupBy("part").applyInArrow(bits, "part int, bits binary").collect():
+        whole[r["part"] * (width // 8):(r["part"] + 1) * (width // 8)] = np.frombuffer(r["bits"], np.uint8)
+    return whole
+
+
 def vectors(docs: DataFrame, wanted: DataFrame, common, doc_id: str, text: str) -> DataFrame:
-    """(key, vec): 32-bit shingle keys and weights of the wanted (key, doc_id) documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)
-    src = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-           .join(wanted, "doc_id").where(content_key("doc_id", "text") == F.col("key")).select("key", "text"))
+    """(key, vec): 32-bit shingle keys and weights of the wanted (key, doc_id) documents.
+
+    A broadcast bitmap of fixed size holds back most other texts before the join, which is exact.
+    """
+    slot = F.pmod(F.xxhash64("key", "doc_id"), F.lit(1 << BITMAP_BITS))
+    context = docs.sparkSession.sparkContext
+    shared, marked = context.broadcast(common), context.broadcast(bitmap(wanted, slot))
+    src = docs.select(F.col(doc_id).alias("doc_id"), content_key(doc_id, text).alias("key"),
+                      F.col(text).alias("text")).withColumn("slot", slot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, part in parts(b.column(1)):
+            at = b.column(3).to_numpy()
+            b = b.filter(pa.array((marked.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+            for first, part in parts(b.column(2)):
                 row, keys, counts = shingles(part)
                 w = weights(keys, counts, shared.value).astype(np.float32)
                 short = (keys >> U(16)).astype(np.uint32)
                 cuts = np.searchsorted(row, np.arange(len(part) + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first, len(part)),
+                    [b.column(0).slice(first, len(part)), b.column(1).slice(first, len(part)),
                      pa.array([short[s:e].tobytes() + w[s:e].astype(np.float16).tobytes()
-                               for s, e in zip(cuts, cuts[1:])], pa.binary())], ["key", "vec"])
+                               for s, e in zip(cuts, cuts[1:])], pa.binary())], ["doc_id", "key", "vec"])
 
-    return src.mapInArrow(run, "key binary, vec binary")
+    made = src.mapInArrow(run, src.select("doc_id", "key").schema.add("vec", "binary"))
+    return made.join(wanted, ["doc_id", "key"], "left_semi").select("key", "vec")
 
 
 class Comparison:
