@@ -6,7 +6,9 @@ proposal is the BPE encoding exactly when each adjacent pair of its tokens is
 what BPE makes of the pair's own bytes (a lone token: of its own bytes), so all
 pairs of the batch are tested at once against a table of judged pairs, and pairs
 not met before are judged by exact merging. Words with a failing pair are merged
-exactly. Memory is bounded: the word and pair tables are emptied at a fixed size.
+exactly. Memory is bounded: texts are taken in steps of about ``STEP_BYTES``, the word
+and pair tables are emptied at a fixed size and at the end of each task, so that workers
+kept for later stages hold the vocabulary alone.
 
 Token ids travel as binary: little-endian unsigned 32-bit integers.
 
@@ -33,6 +35,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tokenizers
 from pyspark.sql import DataFrame
@@ -42,6 +45,7 @@ CONTROL = re.compile("[\x1c-\x1f]")
 NO_RANK = 1 << 60
 TABLE_WORDS = 250_000  # two generations of this size
 TABLE_PAIRS = 2_000_000
+STEP_BYTES = 1 << 20  # a longer text is a step of its own
 
 
 def byte_letters() -> dict[str, int]:
@@ -116,6 +120,10 @@ class Encoder:
         self.at_special = regex.compile(
             "(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the tables of words and pairs."""
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
@@ -237,6 +245,17 @@ def encoder(vocabulary: str) -> Encoder:
     return _encoders[key]
 
 
+def steps(values: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, number) of runs of about ``STEP_BYTES`` of values."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        limit = (ends[at - 1] if at else 0) + STEP_BYTES
+        stop = max(at + 1, int(np.searchsorted(ends, limit, "right")))
+        yield at, stop - at
+        at = stop
+
+
 def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` plus ``ids``. The vocabulary (1.5 MB) is read here and broadcast."""
     return _mapped(docs, vocabulary_path, text, ids, "binary", pa.binary(), lambda enc, values:
@@ -256,11 +275,14 @@ def _mapped(docs, vocabulary_path, source, result, kind, arrow, convert) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(words.value)
-        for b in batches:
-            cols = [b.column(i) for i in range(len(names))]
-            for at in range(0, max(b.num_rows, 1), 500):
-                part = [c.slice(at, 500) for c in cols]
-                made = pa.array(convert(enc, b.column(len(names)).slice(at, 500).to_pylist()), arrow)
-                yield pa.RecordBatch.from_arrays([*part, made], [*names, result])
+        try:
+            for b in batches:
+                source = b.column(len(names))
+                for at, n in steps(source):
+                    part = [b.column(i).slice(at, n) for i in range(len(names))]
+                    made = pa.array(convert(enc, source.slice(at, n).to_pylist()), arrow)
+                    yield pa.RecordBatch.from_arrays([*part, made], [*names, result])
+        finally:
+            enc.forget()
 
     return src.mapInArrow(run, docs.select(*names).schema.add(result, kind))
