@@ -39,8 +39,11 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's token ids, and whether they decode to its text again."""
-    coded = bpe.encode(docs, VOCABULARY)
+    """Every document's token ids, and whether they decode to its text again.
+
+    The ids are written first: one Python worker a task, not an encoder and a decoder at once.
+    """
+    coded = written(bpe.encode(docs, VOCABULARY), "pipeline-ids")
     back = bpe.decode(coded, VOCABULARY, text="_decoded")
     return (back.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
             .withColumn("round_trip", F.col("_decoded") == F.coalesce("text", F.lit(""))).drop("_decoded"))
