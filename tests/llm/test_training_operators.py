@@ -183,3 +183,40 @@ def test_pipeline_keeps_clean_documents_once(spark, texts):
     alone = {d for d, n in Counter(classes[d] for d in base).items() if n == 1}
     assert set(ids) <= base
     assert {d for d in base - dirty if classes[d] in alone} <= set(ids)
+
+
+def near_copies(rng, groups, copies, words=200):
+    """Texts of one large group: all share most words, the copies of a group more."""
+    base = [f"w{i}" for i in range(words)]
+    out = []
+    for g in range(groups):
+        own = base[:176] + [f"g{g}x{i}" for i in range(24)]
+        for c in range(copies):
+            t = list(own)
+            for at in rng.choice(170, 4 * (c > 0), replace=False):
+                t[at] = f"c{g}y{c}z{at}"
+            out.append(" ".join(t))
+    return out
+
+
+def weighted_jaccard(a, b):
+    low = sum((a & b).values())
+    return low / (sum(a.values()) + sum(b.values()) - low)
+
+
+def test_near_duplicates_of_split_buckets_all_meet(spark, monkeypatch):
+    """Buckets of many blocks of one text or a few: every similar pair must still end in one class."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", 1)
+    monkeypatch.setattr(near_duplicates, "IDF_GAIN", 0.0)  # weights are counts
+    texts = near_copies(np.random.default_rng(5), 100, 2)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    near_duplicates.written(docs, "first")  # sets the shared folder
+    found = {r.doc_id: r.class_id for r in near_duplicates.classes(docs).collect()}
+    bags = []
+    for t in texts:
+        w = t.split()
+        bags.append(Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4)))
+    similar = [(i, j) for i in range(len(texts)) for j in range(i) if weighted_jaccard(bags[i], bags[j]) >= 0.8]
+    print(len(similar), Counter(found.values()).most_common(4))
+    assert len(similar) >= 90
+    assert [(i, j) for i, j in similar if found[i] != found[j]] == []

@@ -18,7 +18,8 @@ similarity of their whole shingle sets. Buckets that then still hold several cla
 a second look: texts with a likely partner outside their class meet in their block with
 their whole shingle sets, and every likely pair of different classes is verified there.
 Buckets of several blocks are dealt anew until a round finds no new link between
-classes. Classes are connected components.
+classes; those that still hold several classes then compare every pair of blocks that
+can hold a pair of different classes. Classes are connected components.
 
 Defined results: every input row gets the smallest doc_id of its class. Null texts are
 classes of their own; blank texts match equal texts only. Rows equal in id and text are
@@ -46,6 +47,7 @@ IDF_GAIN = 0.2
 SKETCH_BITS, CELLS = 21, 4096
 BLOCK, LEAST_BLOCK = 2048, 64  # texts of a bucket compared in one task; fewer where they are long
 BLOCK_SHINGLES = 8_000_000
+BOTH = 2  # side of the rows of a block that meets itself
 SMALL = 16  # groups of at most so many texts are compared together
 EDGES_PER_FILE = 200_000
 ESTIMATE = 0.62  # likely pairs; one of SIMILARITY falls below as rarely as it shares no band (2e-4)
@@ -246,8 +248,39 @@ def shared_buckets(nodes: DataFrame) -> DataFrame:
 def dealt(members: DataFrame, salt: int) -> DataFrame:
     """The members gathered block by block; ``salt`` deals split buckets anew."""
     block = F.pmod(F.xxhash64("key", "bucket", F.lit(salt)), F.col("blocks"))
-    return (members.withColumn("block", block).repartition("bucket", "block")
-            .sortWithinPartitions("bucket", "block", "key"))
+    return gathered(members.withColumn("block", block).withColumn("side", F.lit(BOTH)))
+
+
+def gathered(blocks: DataFrame) -> DataFrame:
+    return blocks.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "key")
+
+
+def block_pairs(named: DataFrame) -> DataFrame:
+    """The members (with label) of buckets of several classes, in half blocks, once for each pair of
+    half blocks they belong to: ``block`` names the pair, ``side`` which of the two the row is of.
+
+    The largest class of a bucket is dealt apart from the rest. Its members need not meet each
+    other, so a bucket of n with m members outside that class makes about n * m / BLOCK rows.
+    """
+    sizes = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.first("blocks").alias("blocks"))
+    whole = (sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n"),
+                                         F.first("blocks").alias("blocks"), F.count(F.lit(1)).alias("classes"))
+             .where("classes > 1"))
+    halves = 2 * F.col("blocks") / F.col("n")
+    cut = whole.select("bucket", F.col("main.label").alias("main"),
+                       F.ceil((F.col("n") - F.col("main.n")) * halves).alias("others"),
+                       F.ceil(F.col("main.n") * halves).alias("mains"))
+    place = F.xxhash64("key", "bucket", F.lit("pair"))
+    at = F.when(F.col("label") == F.col("main"), F.col("others") + F.pmod(place, F.col("mains"))).otherwise(
+        F.pmod(place, F.col("others")))
+    is_main = F.col("at") >= F.col("others")
+    partners = F.sequence(F.lit(0).cast("long"), F.when(is_main, F.col("others")).otherwise(
+        F.col("others") + F.col("mains")) - 1)
+    met = (named.join(cut, "bucket").withColumn("at", at).withColumn("other", F.explode(partners))
+           .withColumn("block", F.least("at", "other") * F.lit(1 << 31) + F.greatest("at", "other"))
+           .withColumn("side", F.when(F.col("at") == F.col("other"), BOTH)
+                       .otherwise((F.col("at") > F.col("other")).cast("int"))))
+    return met.select(*named.columns, "block", "side")
 
 
 def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -270,17 +303,18 @@ def starts(t: pa.Table) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(new) + 1, [len(t)]]) if len(t) else np.zeros(1, np.int64)
 
 
-def agreement(mini: np.ndarray) -> np.ndarray:
-    """(n, n) share of equal samples, as counts; 0 on the diagonal."""
-    out = np.zeros((len(mini), len(mini)), np.uint8)
-    for column in np.ascontiguousarray(mini.T):
-        out += column[:, None] == column
-    np.fill_diagonal(out, 0)
+def agreement(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """(len(one), len(two)) share of equal samples, as counts."""
+    out = np.zeros((len(one), len(two)), np.uint8)
+    for x, y in zip(np.ascontiguousarray(one.T), np.ascontiguousarray(two.T)):
+        out += x[:, None] == y
     return out
 
 
-def likely_pairs(mini: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(i, j, agreement) of all likely pairs i < j in each group: small groups together, others one by one."""
+def likely_pairs(mini: np.ndarray, bounds: np.ndarray,
+                 side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, agreement) of all likely pairs in each group: small groups together, others one by one.
+    Groups of two sides are compared across, those of ``BOTH`` within (i < j)."""
     least = int(np.ceil(ESTIMATE * SAMPLES))
     size = np.diff(bounds)
     for n in range(2, SMALL + 1):
@@ -294,10 +328,12 @@ def likely_pairs(mini: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndar
             if keep.any():
                 yield i[keep], j[keep], agree[keep]
     for g in np.flatnonzero(size > SMALL):
-        agree = agreement(mini[bounds[g]:bounds[g + 1]])
-        i, j = np.nonzero(np.triu(agree >= least))
+        of = side[bounds[g]:bounds[g + 1]]
+        one, two = (bounds[g] + np.flatnonzero(of != x) for x in (1, 0))
+        agree = agreement(mini[one], mini[two])
+        i, j = np.nonzero(np.triu(agree >= least, 1) if of[0] == BOTH else agree >= least)
         if len(i):
-            yield i + bounds[g], j + bounds[g], agree[i, j]
+            yield one[i], two[j], agree[i, j]
 
 
 def minis(t: pa.Table) -> np.ndarray:
@@ -316,7 +352,7 @@ def proposals(members: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, bounds in groups(batches):
             key = t["key"].combine_chunks()
-            for i, j, agree in likely_pairs(minis(t), bounds):
+            for i, j, agree in likely_pairs(minis(t), bounds, t["side"].to_numpy()):
                 both = closest(np.append(i, j), np.append(j, i), np.append(agree, agree)) % len(i)
                 at = np.unique(np.append(both, closest(j, i, agree)))
                 yield pa.RecordBatch.from_arrays(
@@ -328,18 +364,23 @@ def proposals(members: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.distinct()
 
 
-def open_members(members: DataFrame, labels: DataFrame, nodes: DataFrame, salt: int) -> DataFrame:
-    """The members (with block, label, mini) that have a likely partner of another class in their block."""
+def open_members(members: DataFrame, labels: DataFrame, nodes: DataFrame, salt: int | None) -> DataFrame:
+    """The members (with block, side, label, mini) that have a likely partner of another class in their
+    block, or without ``salt`` in any block of their bucket."""
     named = members.join(labels, "key")
-    several = (named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-               .where("low <> high").select("bucket"))
-    unsettled = dealt(named.join(several, "bucket", "left_semi").join(nodes.select("key", "mini"), "key"), salt)
+    mini = nodes.select("key", "mini")
+    if salt is None:
+        unsettled = gathered(block_pairs(named.join(mini, "key")))
+    else:
+        several = (named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                   .where("low <> high").select("bucket"))
+        unsettled = dealt(named.join(several, "bucket", "left_semi").join(mini, "key"), salt)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, bounds in groups(batches):
             label = t["label"].combine_chunks().dictionary_encode().indices.to_numpy()
             is_open = np.zeros(len(t), bool)
-            for i, j, _ in likely_pairs(minis(t), bounds):
+            for i, j, _ in likely_pairs(minis(t), bounds, t["side"].to_numpy()):
                 differ = label[i] != label[j]
                 is_open[i[differ]] = is_open[j[differ]] = True
             yield from t.filter(pa.array(is_open)).to_batches()
@@ -356,7 +397,7 @@ def links_between(members: DataFrame, vecs: DataFrame) -> DataFrame:
         for t, bounds in groups(batches):
             label = t["label"].combine_chunks().dictionary_encode().indices.to_numpy().copy()
             key, vec = t["key"].combine_chunks(), t["vec"].combine_chunks()
-            for i, j, _ in likely_pairs(minis(t), bounds):
+            for i, j, _ in likely_pairs(minis(t), bounds, t["side"].to_numpy()):
                 differ = label[i] != label[j]
                 i, j = i[differ], j[differ]
                 if not len(i):
@@ -518,16 +559,20 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
             .join(labels.withColumnsRenamed({"key": "a", "label": "x"}), "a")
             .join(labels.withColumnsRenamed({"key": "b", "label": "y"}), "b").where("x <> y"))
     labels = merged(labels, written(verified(rest.select("a", "b"), vecs), "links"))
-    # what is likely and not yet one class is verified pair by pair, split buckets until nothing is new
-    salt = 1
+    # what is likely and not yet one class is verified pair by pair; split buckets are dealt anew until
+    # nothing is new, which leaves few classes, then all their blocks meet
+    salt, split = 1, members.where("blocks > 1")
     while True:
         likely = written(open_members(members, labels, nodes, salt), "open")
         links = written(links_between(likely, vecs), "links")
         if links.isEmpty():
             break
         labels = merged(labels, links)
-        members = members.where("blocks > 1")
+        members = split
         salt += 1
+    links = written(links_between(written(open_members(split, labels, nodes, None), "open"), vecs), "links")
+    if not links.isEmpty():
+        labels = merged(labels, links)
     named = nodes.select("key", "doc_id").join(labels, "key", "left").select(
         "key", F.coalesce("label", "key").alias("label"), "doc_id")
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
