@@ -217,6 +217,17 @@ def test_near_duplicates_of_split_buckets_all_meet(spark, monkeypatch):
         w = t.split()
         bags.append(Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4)))
     similar = [(i, j) for i in range(len(texts)) for j in range(i) if weighted_jaccard(bags[i], bags[j]) >= 0.8]
-    print(len(similar), Counter(found.values()).most_common(4))
     assert len(similar) >= 90
     assert [(i, j) for i, j in similar if found[i] != found[j]] == []
+
+
+def test_near_duplicates_of_heavy_shingles_and_null_ids(spark):
+    """A shingle of more than 65,504 repeats, and texts that only have rows without an id."""
+    heavy = "a " * 70_000
+    words = [f"n{i}" for i in range(300)]
+    rows = [(1, heavy + "b"), (2, heavy + "c"), (None, " ".join(words)), (None, " ".join(words)),
+            (7, " ".join(words[:299]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    near_duplicates.written(docs, "first")  # sets the shared folder
+    found = sorted((r.class_id or 0, r.doc_id or 0) for r in near_duplicates.classes(docs).collect())
+    assert found == [(1, 1), (1, 2), (7, 0), (7, 0), (7, 7)]

@@ -447,6 +447,7 @@ def vectors(docs: DataFrame, wanted: DataFrame, common, doc_id: str, text: str)
     """(key, vec): 32-bit shingle keys and weights of the wanted (key, doc_id) documents.
 
     A broadcast bitmap of fixed size holds back most other texts before the join, which is exact.
+    Rows equal in key and doc_id give one vector: one a task, then one of all.
     """
     slot = F.pmod(F.xxhash64("key", "doc_id"), F.lit(1 << BITMAP_BITS))
     context = docs.sparkSession.sparkContext
@@ -455,9 +456,15 @@ def vectors(docs: DataFrame, wanted: DataFrame, common, doc_id: str, text: str)
                       F.col(text).alias("text")).withColumn("slot", slot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for b in batches:
             at = b.column(3).to_numpy()
             b = b.filter(pa.array((marked.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+            new = np.zeros(len(b), bool)
+            for i, row in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                new[i] = row not in seen
+                seen.add(row)
+            b = b.filter(pa.array(new))
             for first, part in parts(b.column(2)):
                 row, keys, counts = shingles(part)
                 w = weights(keys, counts, shared.value).astype(np.float32)
@@ -465,11 +472,14 @@ def vectors(docs: DataFrame, wanted: DataFrame, common, doc_id: str, text: str)
                 cuts = np.searchsorted(row, np.arange(len(part) + 1))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(first, len(part)), b.column(1).slice(first, len(part)),
-                     pa.array([short[s:e].tobytes() + w[s:e].astype(np.float16).tobytes()
+                     pa.array([short[s:e].tobytes() + w[s:e].tobytes()
                                for s, e in zip(cuts, cuts[1:])], pa.binary())], ["doc_id", "key", "vec"])
 
     made = src.mapInArrow(run, src.select("doc_id", "key").schema.add("vec", "binary"))
-    return made.join(wanted, ["doc_id", "key"], "left_semi").select("key", "vec")
+    # inside a struct a null id equals a null id
+    ident = F.struct("doc_id").alias("id")
+    return (made.select("key", ident, "vec").join(wanted.select("key", ident), ["key", "id"], "left_semi")
+            .dropDuplicates(["key", "id"]).select("key", "vec"))
 
 
 class Comparison:
@@ -477,9 +487,9 @@ class Comparison:
 
     def __init__(self, vecs: list[pa.Scalar]):
         data = [v.as_buffer() for v in vecs]
-        n = np.array([len(d) // 6 for d in data])
+        n = np.array([len(d) // 8 for d in data])
         keys = np.concatenate([np.frombuffer(d, np.uint32, m) for d, m in zip(data, n)])
-        weight = np.concatenate([np.frombuffer(d, np.float16, m, 4 * m) for d, m in zip(data, n)]).astype(np.float64)
+        weight = np.concatenate([np.frombuffer(d, np.float32, m, 4 * m) for d, m in zip(data, n)]).astype(np.float64)
         known, ids = np.unique(keys, return_inverse=True)
         cuts = np.cumsum(n)[:-1]
         self.ids, self.weight = np.split(ids, cuts), np.split(weight, cuts)
