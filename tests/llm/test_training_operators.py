@@ -231,3 +231,29 @@ def test_near_duplicates_of_heavy_shingles_and_null_ids(spark):
     near_duplicates.written(docs, "first")  # sets the shared folder
     found = sorted((r.class_id or 0, r.doc_id or 0) for r in near_duplicates.classes(docs).collect())
     assert found == [(1, 1), (1, 2), (7, 0), (7, 0), (7, 7)]
+
+
+def test_lm_scoring_counts_rare_ngrams(spark, texts, monkeypatch):
+    """No n-gram is too rare for the filter: scores follow brute-force levels of all counts."""
+    monkeypatch.setattr(lm_scoring, "MIN_SHARE", 1e-3, raising=False)
+
+    def tokens(t):
+        return [None, *re.findall(r"[^\x20\x09-\x0D]+", t.encode().lower().decode()), None]
+
+    def middle(count):
+        return (3 * 2 ** (count.bit_length() - 1) - 1) / 2 if count else 0.0
+
+    seqs = {d: tokens(t) for d, t in texts.items()}
+    trained = [s for d, s in seqs.items() if zlib.crc32(str(d).encode()) % 5 != 1]
+    one, two = Counter(w for s in trained for w in s[1:]), Counter(p for s in trained for p in zip(s, s[1:]))
+    size = sum(one.values()) + 0.5 * (len(one) + 1)
+    got, want = [], []
+    for r in queries.op9_lm_scoring(spark, SF).collect():
+        p = 0.0
+        for c, w in zip(seqs[r.doc_id], seqs[r.doc_id][1:]):
+            before, rest = middle(one[c]), (middle(one[w]) + 0.5) / size
+            p += math.log10(0.6 * min(middle(two[c, w]) / before, 1.0) + 0.4 * rest if before else rest)
+        got.append(r.score / r.n_tokens)
+        want.append(p / r.n_tokens)
+    error = np.abs(np.array(got) - np.array(want))
+    assert np.median(error) < 0.05  # the filter's false positives

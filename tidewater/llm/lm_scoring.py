@@ -2,18 +2,15 @@
 
 Training counts unigrams and bigrams of all training documents: tasks count
 their own, packed key sets go to shards of the key space, a shard sums them. An
-n-gram of count c, if it makes up at least ``MIN_SHARE`` of the training tokens,
-enters its shard's segment of the filter once for each level up to 1 +
-floor(log2(c)). No more than 1 / MIN_SHARE unigrams and as many bigrams can
-reach that share, and an entry costs ``BITS`` bits per level, so the broadcast
-filter has a fixed bound at any corpus size. Workers probe levels upwards until
-one is missing, take the level's middle as the count and interpolate bigram and
-unigram estimates.
-
-The base score needs exact counts: documents are dealt into blocks, each block
-sends its different words to the shards and gets back their training counts;
-nothing is broadcast for it. The texts are shuffled once (both uses share the
-exchange). Word keys are 64-bit hashes.
+n-gram of count c enters its shard's segment of the filter once for each level up
+to 1 + floor(log2(c)), at ``BITS`` bits per level; the segments are written and
+stay in their shards. Probing goes up the levels until one is missing; the level's
+middle is the count, and bigram and unigram estimates are interpolated.
+
+Documents are dealt into blocks. Each block sends its different words and bigrams
+to the shards and gets back their levels, and for the base score, which needs exact
+counts, the words' training counts; nothing is broadcast. The texts are shuffled
+once (both uses share the exchange). Word keys are 64-bit hashes.
 
 Defined results: a null or blank text consists of its end token. A null doc_id
 counts as an empty one when documents are dealt into training and held out.
@@ -35,7 +32,6 @@ from tidewater.llm.arrays import (U, by_shard, chunks, mix, pack_keys, pack_numb
 from tidewater.llm.common import shuffle_partitions, written
 
 END = 0x5851F42D4C957F2D  # the end token's key
-MIN_SHARE = 1e-8
 BITS = 8
 PROBES = 3
 LEVELS = 48
@@ -91,78 +87,44 @@ def segment(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
     return np.packbits(bits, bitorder="little"), size
 
 
-class Filter:
-    """The whole filter: the segments of all (kind, shard), laid end to end."""
-
-    def __init__(self, bits: int, sizes: np.ndarray, data: bytes, tokens: int, types: int):
-        self.bits, self.sizes, self.tokens, self.types = bits, sizes, tokens, types
-        self.data = data
-        self.starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-
-    def levels(self, kind: int, keys: np.ndarray) -> np.ndarray:
-        """How many levels of each key the filter holds, probing upwards until one is missing."""
-        data = np.frombuffer(self.data, np.uint8)
-        place = kind << self.bits
-        shard = place + (keys >> U(64 - self.bits)).astype(np.int64) if self.bits else np.full(len(keys), place)
-        start, size = self.starts[shard], self.sizes[shard].astype(U)
-        found = np.zeros(len(keys), np.int64)
-        alive = np.flatnonzero(size > 0)
-        for level in range(1, LEVELS):
-            for i in range(PROBES):
-                at = start[alive] + (probe(keys[alive], level, i) % size[alive]).astype(np.int64)
-                alive = alive[(data[at >> 3] >> (at & 7)) & 1 == 1]
-            if not len(alive):
-                break
-            found[alive] = level
-        return found
+def probed(keys: np.ndarray, data: bytes, size: int) -> np.ndarray:
+    """How many levels of each key a segment holds, probing upwards until one is missing."""
+    bits = np.frombuffer(data, np.uint8)
+    found = np.zeros(len(keys), np.uint8)
+    alive = np.arange(len(keys))
+    for level in range(1, LEVELS):
+        for i in range(PROBES):
+            at = (probe(keys[alive], level, i) % U(size)).astype(np.int64)
+            alive = alive[(bits[at >> 3] >> (at & 7)) & 1 == 1]
+        if not len(alive):
+            break
+        found[alive] = level
+    return found
 
 
 def counts_of(levels: np.ndarray) -> np.ndarray:
     """The middle of a level's counts: 1, 2.5, 5.5, ... and 0 for none."""
-    return np.where(levels > 0, (3 * np.exp2(np.maximum(levels, 1) - 1) - 1) / 2, 0.0)
+    return np.where(levels > 0, (3 * np.exp2(np.maximum(levels, 1).astype(float) - 1) - 1) / 2, 0.0)
 
 
-def train(texts: DataFrame, text: str = "text", shards: int | None = None) -> Filter:
-    """Count all of ``texts`` and gather the filter (bounded, see the module) on the driver."""
-    spark = texts.sparkSession
-    bits = shard_bits(shards or shuffle_partitions(spark))
-
+def train(texts: DataFrame, bits: int, text: str = "text") -> tuple[DataFrame, int, int]:
+    """Count all of ``texts``: the filter's segments (kind, shard, size, data), tokens and types."""
     def merge(table: pa.Table) -> pa.Table:
         keys, counts = summed(np.concatenate([unpack_keys(k.as_py()) for k in table["keys"]]),
                               np.concatenate([unpack_numbers(c.as_py()) for c in table["counts"]]).astype(np.int64))
+        data, size = segment(keys, counts)
         return pa.table({"kind": table["kind"].slice(0, 1), "shard": table["shard"].slice(0, 1),
-                         "tokens": [int(counts.sum())], "types": [len(keys)],
-                         "keys": pa.array([pack_keys(keys)], pa.binary()),
-                         "counts": pa.array([pack_numbers(counts.astype(np.uint64))], pa.binary())})
+                         "tokens": [int(counts.sum())], "types": [len(keys)], "size": [size],
+                         "data": pa.array([data.tobytes()], pa.binary())})
 
     packed = "kind int, shard int, keys binary, counts binary"
     merged = (texts.select(text).mapInArrow(local_counts(bits), packed)
               .groupBy("kind", "shard").applyInArrow(
-                  merge, "kind int, shard int, tokens long, types long, keys binary, counts binary"))
-    merged = written(merged, "lm-counts", "none")
+                  merge, "kind int, shard int, tokens long, types long, size long, data binary"))
+    merged = written(merged, "lm-filter", "none")
     total = merged.where("kind = 0").agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"),
                                          F.coalesce(F.sum("types"), F.lit(0)).alias("types")).first()
-    least = MIN_SHARE * total["tokens"]
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                keys, counts = unpack_keys(r["keys"]), unpack_numbers(r["counts"])
-                often = counts >= least
-                data, size = segment(keys[often], counts[often])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["kind"]], pa.int32()), pa.array([r["shard"]], pa.int32()),
-                     pa.array([size], pa.int64()), pa.array([data.tobytes()], pa.binary())],
-                    ["kind", "shard", "size", "data"])
-
-    rows = merged.select("kind", "shard", "keys", "counts").mapInArrow(
-        build, "kind int, shard int, size long, data binary").collect()
-    sizes = np.zeros(2 << bits, np.int64)
-    parts = [b""] * (2 << bits)
-    for r in rows:
-        at = (r["kind"] << bits) + r["shard"]
-        sizes[at], parts[at] = r["size"], bytes(r["data"])
-    return Filter(bits, sizes, b"".join(parts), total["tokens"], total["types"])
+    return merged.select("kind", "shard", "size", "data"), total["tokens"], total["types"]
 
 
 def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text",
@@ -171,55 +133,71 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     spark = docs.sparkSession
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
                       F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    model = train(src.where("not held_out"))
-    shared = spark.sparkContext.broadcast(
-        (model.bits, model.sizes, model.data, model.tokens, model.types))
+    bits = shard_bits(shuffle_partitions(spark))
+    segments, tokens, types = train(src.where("not held_out"), bits)
     n_blocks = blocks or 2 * shuffle_partitions(spark)
-    bits, size = model.bits, model.tokens + 0.5 * (model.types + 1)
+    size = tokens + 0.5 * (types + 1)
     dealt = src.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int"))
 
     def block_words(table: pa.Table) -> pa.Table:
-        """The block's different words and their counts in its training documents."""
-        seen, trained = [np.array([END], U)], [np.empty(0, U)]
+        """The block's different words, their counts in its training documents, and its different pairs."""
+        seen, trained, pairs = [np.array([END], U)], [np.empty(0, U)], [np.empty(0, U)]
         train_row = ~table["held_out"].to_numpy()
         for first, part in chunks(table["text"]):
             seq, owner = with_ends(*word_hashes(part), len(part), END)
             seen.append(np.unique(seq[1:]))
+            pairs.append(np.unique(pair_keys(seq[:-1], seq[1:])))
             trained.append(seq[1:][train_row[first + owner]])
         keys = np.unique(np.concatenate(seen))
         counts = np.zeros(len(keys), np.uint32)
         words, n = np.unique(np.concatenate(trained), return_counts=True)
         counts[np.searchsorted(keys, words)] = n
-        rows = [(s, pack_keys(keys[at]), pack_numbers(counts[at])) for s, at in by_shard(keys, bits)]
+        pairs = np.unique(np.concatenate(pairs))
+        rows = [(0, s, pack_keys(keys[at]), pack_numbers(counts[at])) for s, at in by_shard(keys, bits)]
+        rows += [(1, s, pack_keys(pairs[at]), None) for s, at in by_shard(pairs, bits)]
         block = table["block"][0].as_py()
-        return pa.table({"shard": pa.array([r[0] for r in rows], pa.int32()),
+        return pa.table({"kind": pa.array([r[0] for r in rows], pa.int32()),
+                         "shard": pa.array([r[1] for r in rows], pa.int32()),
                          "block": pa.array([block] * len(rows), pa.int32()),
-                         "keys": pa.array([r[1] for r in rows], pa.binary()),
-                         "counts": pa.array([r[2] for r in rows], pa.binary())})
-
-    def totals(table: pa.Table) -> pa.Table:
-        """Back to each block: its words' counts over all training documents, in key order."""
-        keys = [unpack_keys(k.as_py()) for k in table["keys"]]
-        counts = [unpack_numbers(c.as_py()).astype(np.int64) for c in table["counts"]]
-        every, summed_counts = summed(np.concatenate(keys), np.concatenate(counts))
-        made = [pack_numbers(summed_counts[np.searchsorted(every, k)].astype(np.uint64)) for k in keys]
-        return pa.table({"block": table["block"], "shard": table["shard"], "counts": pa.array(made, pa.binary())})
-
-    def scored(docs: pa.Table, words: pa.Table) -> pa.Table:
-        filt = Filter(*shared.value)
-        order = np.argsort(words["shard"].to_numpy())
-        known = np.concatenate([unpack_numbers(words["counts"][int(i)].as_py()) for i in order])
+                         "keys": pa.array([r[2] for r in rows], pa.binary()),
+                         "counts": pa.array([r[3] for r in rows], pa.binary())})
+
+    def answers(table: pa.Table, segment: pa.Table) -> pa.Table:
+        """Back to each block, in key order: its n-grams' levels, and its words' counts over all
+        training documents."""
+        counts = [None] * len(table)
+        if len(table) and table["kind"][0].as_py() == 0:
+            keys = [unpack_keys(k.as_py()) for k in table["keys"]]
+            own = [unpack_numbers(c.as_py()).astype(np.int64) for c in table["counts"]]
+            every, total = summed(np.concatenate(keys), np.concatenate(own))
+            counts = [pack_numbers(total[np.searchsorted(every, k)].astype(np.uint64)) for k in keys]
+        levels = []
+        for k in table["keys"]:
+            k = unpack_keys(k.as_py())
+            levels.append(pack_numbers(probed(k, segment["data"][0].as_py(), segment["size"][0].as_py())
+                                       if len(segment) else np.zeros(len(k), np.uint8)))
+        return pa.table({"block": table["block"], "kind": table["kind"], "shard": table["shard"],
+                         "levels": pa.array(levels, pa.binary()), "counts": pa.array(counts, pa.binary())})
+
+    def scored(docs: pa.Table, found: pa.Table) -> pa.Table:
+        def column(kind: int, name: str) -> np.ndarray:
+            at = np.flatnonzero(found["kind"].to_numpy() == kind)
+            at = at[np.argsort(found["shard"].to_numpy()[at])]
+            return np.concatenate([unpack_numbers(found[name][int(i)].as_py()) for i in at])
+
+        known = column(0, "counts")
         parts = [(first, len(p), *with_ends(*word_hashes(p), len(p), END)) for first, p in chunks(docs["text"])]
         keys = np.unique(np.concatenate([np.array([END], U), *[seq for _, _, seq, _ in parts]]))
         log_exact = np.log10(known + 0.5) - np.log10(size)
-        unigram = counts_of(filt.levels(0, keys))
+        unigram, pair_levels = counts_of(column(0, "levels")), column(1, "levels")
+        every = np.unique(np.concatenate([np.unique(pair_keys(seq[:-1], seq[1:])) for _, _, seq, _ in parts]))
         out = {c: np.zeros(len(docs), t) for c, t in (
             ("n_tokens", np.int64), ("n_known", np.int64), ("base", np.float64), ("score", np.float64))}
         for first, n, seq, owner in parts:
             at = np.searchsorted(keys, seq)
             word, context = at[1:], at[:-1]
             pairs, where = np.unique(pair_keys(seq[:-1], seq[1:]), return_inverse=True)
-            pair = counts_of(filt.levels(1, pairs))[where]
+            pair = counts_of(pair_levels[np.searchsorted(every, pairs)])[where]
             before = unigram[context]
             share = np.where(before > 0, np.minimum(pair / np.maximum(before, 1), 1.0), 0.0)
             weight = np.where(before > 0, WEIGHT, 0.0)
@@ -230,11 +208,13 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
             out["base"][rows] = np.bincount(owner, log_exact[word], minlength=n)
             out["score"][rows] = np.bincount(owner, np.log10(p), minlength=n)
         return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": out["n_tokens"],
-                         "n_known": out["n_known"], "train_tokens": np.full(len(docs), filt.tokens),
+                         "n_known": out["n_known"], "train_tokens": np.full(len(docs), tokens),
                          "base_score": out["base"], "score": out["score"]})
 
-    lists = dealt.groupBy("block").applyInArrow(block_words, "shard int, block int, keys binary, counts binary")
-    back = lists.groupBy("shard").applyInArrow(totals, "block int, shard int, counts binary")
+    lists = dealt.groupBy("block").applyInArrow(
+        block_words, "kind int, shard int, block int, keys binary, counts binary")
+    back = lists.groupBy("kind", "shard").cogroup(segments.groupBy("kind", "shard")).applyInArrow(
+        answers, "block int, kind int, shard int, levels binary, counts binary")
     kind = docs.select(F.col(doc_id)).schema[0].dataType.simpleString()
     return dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         scored, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
