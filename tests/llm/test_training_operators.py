@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -257,3 +258,8 @@ def test_lm_scoring_counts_rare_ngrams(spark, texts, monkeypatch):
         want.append(p / r.n_tokens)
     error = np.abs(np.array(got) - np.array(want))
     assert np.median(error) < 0.05  # the filter's false positives
+
+
+def test_language_id_subwords_of_short_chunks():
+    for text, runs in (("", [0, 0, 0]), ("a", [0, 0, 0]), ("ab", [1, 0, 0]), ("abc", [2, 1, 0]), ("abcd", [3, 2, 1])):
+        assert [int((o[1] - o[0]).sum()) for _, o in language_id.subwords(pa.array([text]))] == runs

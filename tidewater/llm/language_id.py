@@ -44,7 +44,7 @@ def subwords(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     raw = FOLD[raw].astype(np.uint32)
     key = raw.copy()
     for size in range(2, max(SIZES) + 1):
-        key[:len(raw) - size + 1] |= raw[size - 1:] << np.uint32(8 * (size - 1))
+        key[:max(len(raw) - size + 1, 0)] |= raw[size - 1:] << np.uint32(8 * (size - 1))
         if size in SIZES:
             bucket = (key ^ np.uint32(size * 0x85EBCA6B & 0xFFFFFFFF)) * np.uint32(0x9E3779B1)
             bucket ^= bucket >> np.uint32(15)
