@@ -91,9 +91,111 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone)
 FROM marked GROUP BY rn
 """.replace("{key}", LOWERED.format(f"trim(raw, {BLANK})"))
 
+def crc_tables() -> str:
+    """CTEs ``crc0`` .. ``crc8`` and ``crc``, the list of the 256 byte values' remainders.
+
+    3988292384 is the reflected polynomial of CRC-32 (fixed value).
+    """
+    out = ["crc0 AS (SELECT i, i AS c FROM (SELECT unnest(generate_series(0, 255)) AS i))"]
+    for k in range(8):
+        out.append(f"crc{k + 1} AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END AS c "
+                   f"FROM crc{k})")
+    return ",\n".join([*out, "crc AS (SELECT list(c ORDER BY i) AS t FROM crc8)"])
+
+
+def tree_levels(name: str, levels: int) -> str:
+    """CTEs ``{name}1`` .. from ``{name}0`` (tree, i, n, h): a tree's nodes level by level, and
+    ``{name}_s0`` ..: the texts left and right of a node in its run. A lone node stays as it is."""
+    out = []
+    run = "OVER (PARTITION BY tree, i // 8 ORDER BY i ROWS BETWEEN"
+    for k in range(levels):
+        out.append(f"{name}_s{k} AS (SELECT tree, i, n, coalesce(string_agg(h, '') {run} UNBOUNDED PRECEDING AND 1 "
+                   f"PRECEDING), '') AS l, coalesce(string_agg(h, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') "
+                   f"AS r FROM {name}{k})")
+        out.append(f"{name}{k + 1} AS (SELECT tree, i // 8 AS i, (any_value(n) + 7) // 8 AS n, CASE WHEN any_value(n) = 1 "
+                   f"THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {name}{k} "
+                   f"GROUP BY tree, i // 8)")
+    return ",\n".join(out)
+
+
+def folds(name: str, source: str, at: str, levels: int, tree: str) -> str:
+    """CTEs ``{name}_f1`` ..: rows of ``source`` with proof ``p`` and folded digest ``f`` a level on."""
+    out = []
+    for k in range(levels):
+        before = source if k == 0 else f"{name}_f{k}"
+        out.append(f"{name}_f{k + 1} AS (SELECT d.* EXCLUDE (p, f), d.p || s.l || s.r AS p, CASE WHEN s.n = 1 THEN d.f "
+                   f"ELSE sha256(s.l || d.f || s.r) END AS f FROM {before} d JOIN {name}_s{k} s "
+                   f"ON s.tree = d.{tree} AND s.i = d.{at} // {8 ** k})")
+    return ",\n".join(out)
+
+
+def spelt(field: str) -> str:
+    text = f"CAST({field} AS VARCHAR)"
+    return f"coalesce(CAST(strlen({text}) AS VARCHAR) || ':' || {text}, '-')"
+
+
+# Levels enough for 8**7 documents of a language and 8**3 languages.
+DOC_LEVELS, LANG_LEVELS = 7, 3
+OP11 = f"""
+WITH {crc_tables()},
+leafs AS (SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree,
+                 sha256({" || ".join(map(spelt, ("doc_id", "source", "lang", "n_chars", "text")))}) AS leaf,
+                 sha256({" || ".join(map(spelt, ("doc_id", "source", "lang", "n_chars", LOWERED.format("text"))))}) AS low,
+                 xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                     lambda x: CAST(ascii(x) AS BIGINT))), lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295) AS crc
+          FROM documents, crc),
+docs AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS i,
+                count(*) OVER (PARTITION BY tree) AS n FROM leafs),
+node0 AS (SELECT tree, i, n, leaf AS h FROM docs),
+{tree_levels("node", DOC_LEVELS)},
+top0 AS (SELECT '^' AS tree, tree AS lang_tree, row_number() OVER (ORDER BY tree) - 1 AS i,
+                count(*) OVER () AS n, h FROM node{DOC_LEVELS}),
+{tree_levels("top", LANG_LEVELS)},
+start AS (SELECT d.doc_id, d.tree, d.leaf, d.i, '^' AS top, u.i AS place, u.h AS subroot, g.h AS root, '' AS p,
+                 CASE WHEN d.crc % 3 = 0 THEN d.low ELSE d.leaf END AS f
+          FROM docs d JOIN top0 u ON u.lang_tree = d.tree CROSS JOIN top{LANG_LEVELS} g),
+{folds("node", "start", "i", DOC_LEVELS, "tree")},
+{folds("top", f"node_f{DOC_LEVELS}", "place", LANG_LEVELS, "top")}
+SELECT doc_id, leaf, subroot, root, sha256(p) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM top_f{LANG_LEVELS}
+"""
+
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS rn, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({text}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+           FROM (SELECT lang, source, coalesce(text, '') AS text FROM documents)),
+tok AS (SELECT rn, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM tok GROUP BY lang, term HAVING count(DISTINCT rn) >= 30),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+cnt AS (SELECT lang, source, term, count(*) AS c FROM tok JOIN kept USING (lang, term) GROUP BY lang, source, term),
+every AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c
+          FROM grp g JOIN kept k ON g.lang = k.lang
+          LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+tot AS (SELECT lang, source, sum(c) AS n FROM every GROUP BY lang, source),
+p AS (SELECT e.lang, e.source, e.term, e.c, CAST(1 + (1000000000 * CAST(e.c + 5 AS HUGEINT)) // (t.n + 5 * s.v) AS BIGINT) AS p
+      FROM every e JOIN tot t ON e.lang = t.lang AND e.source = t.source JOIN size s ON s.lang = e.lang),
+q AS (SELECT lang, term, CAST(1 + (1000000000 * CAST(c + 5 AS HUGEINT)) // (n + 5 * v) AS BIGINT) AS q
+      FROM (SELECT lang, term, sum(c) AS c FROM cnt GROUP BY lang, term)
+      JOIN (SELECT lang, sum(c) AS n FROM cnt GROUP BY lang) USING (lang) JOIN size USING (lang)),
+dist AS (SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pair AS (SELECT a.lang, a.source, b.source AS item, coalesce(dist.value, 0) AS value
+         FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN dist ON dist.lang = a.lang AND dist.source = a.source AND dist.item = b.source),
+part AS (SELECT lang, source, 'pair' AS part, item, value FROM pair
+         UNION ALL SELECT p.lang, p.source, 'term', p.term, p.p - q.q
+         FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.c > 0 AND p.p > q.q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+           FROM part)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+""".replace("{text}", LOWERED.format("text"))
+
 ORACLE: dict[str, str] = {
     "op5_decontaminate": OP5.replace("{docs}", "documents"),
     "op6_url_filters": OP6,
     "op7_quality_rules": OP7.replace("{docs}", "documents"),
     "op10_line_dedup": OP10.replace("{docs}", "documents"),
+    "op11_merkle_manifest": OP11,
+    "op12_source_divergence": OP12,
 }

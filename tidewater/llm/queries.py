@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidewater.llm import (bpe, decontaminate, language_id, line_dedup, lm_scoring, near_duplicates,
-                           quality_classifier, quality_rules, token_files, url_filters)
+from tidewater.llm import (bpe, decontaminate, divergence, language_id, line_dedup, lm_scoring, merkle,
+                           near_duplicates, quality_classifier, quality_rules, sentence_pieces, token_files,
+                           url_filters)
 from tidewater.llm.common import table
 from tidewater.llm.oracle import ORACLE as ORACLE
 from tidewater.session import configure, shared_dir
@@ -21,6 +22,7 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
 
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +94,30 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated(docs).select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    given = merkle.leaf(*(merkle.lowered(F.col(f)) if f == "text" else F.col(f) for f in merkle.FIELDS))
+    return merkle.manifest(docs, F.when(tampered, given)).drop("idx")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentence_pieces.encode(docs, PIECES).drop("text")
+    return sentence_pieces.decode(coded, PIECES, text="decoded").select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op2_bpe, op3_near_duplicates, op4_token_files, op5_decontaminate, op6_url_filters, op7_quality_rules, op8_language_id, op9_lm_scoring,
-                                op10_line_dedup)}
+    f.__name__: f for f in (op1_quality_classifier, op2_bpe, op3_near_duplicates, op4_token_files, op5_decontaminate,
+                            op6_url_filters, op7_quality_rules, op8_language_id, op9_lm_scoring, op10_line_dedup,
+                            op11_merkle_manifest, op12_source_divergence, op13_sentencepiece)}
