@@ -60,9 +60,7 @@ nl AS (SELECT DISTINCT rn, doc_id, source, text, lower(trim(raw, {blank})) AS li
        WHERE trim(raw, {blank}) <> ''),
 freq AS (SELECT source, line, count(DISTINCT text) AS docs, arg_min(text, doc_id) AS first_text
          FROM nl GROUP BY source, line),
-hosts AS (SELECT source, count(DISTINCT coalesce(text, chr(1) || 'null')) AS host_docs FROM d GROUP BY source),
-often AS (SELECT f.source, f.line, f.first_text FROM freq f JOIN hosts h ON f.source IS NOT DISTINCT FROM h.source
-          WHERE f.docs > 10 AND f.docs > 0.2 * h.host_docs),
+often AS (SELECT source, line, first_text FROM freq WHERE docs > 10),
 gone AS (SELECT nl.rn, sum(length(nl.line)) AS removed FROM nl JOIN often o
          ON nl.source IS NOT DISTINCT FROM o.source AND nl.line = o.line AND nl.text <> o.first_text GROUP BY nl.rn),
 tot AS (SELECT rn, sum(length(line)) AS total FROM nl GROUP BY rn),
@@ -74,7 +72,7 @@ m AS (SELECT d.rn, d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
       FROM d LEFT JOIN dup USING (rn) LEFT JOIN rep USING (rn) LEFT JOIN gone USING (rn) LEFT JOIN tot USING (rn))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND removed <= 0.5 * total AS kept
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * removed <= 30 * total AS kept
 FROM m
 """.replace("{blank}", BLANK)
 

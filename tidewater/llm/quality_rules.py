@@ -1,16 +1,18 @@
 """Quality rules: base measures and cross-document line frequency per host.
 
 A document's lines are normalised (white space stripped at both ends, lower
-case) and hashed; a line found in more than ``max(min_docs, max_share x
-documents of the host)`` different documents of one host is boilerplate there.
-Boilerplate is removed from every document but the first that holds it, and a
-document that loses more than ``max_removed`` of its line characters is
-depleted and rejected. Everything runs on built-in column functions.
+case) and hashed; a line found in more than ``min_docs`` different documents of
+one host is boilerplate there, however many documents the host has. Boilerplate
+is removed from every document but the first that holds it, and a document that
+loses more than ``max_removed`` percent of its line characters is depleted and rejected.
+Everything runs on built-in column functions.
 
 Defined results: a null or blank text has no words and fails the base rule.
 Documents are told apart by their text, so exact copies count once per host and
-get the same line statistics; a null host is a host of its own. Repeated rows
-give one result row each. Extra columns of the input do not matter.
+get the same line statistics; of documents with the smallest id the one of
+smallest hash is the first; a null host is a host of its own. Repeated rows
+give one result row each, an empty table gives none, texts of any length are
+taken whole. Extra columns of the input do not matter.
 """
 
 from __future__ import annotations
@@ -24,8 +26,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 NOT_SYMBOLS = r"[^#*$%&|<>]+"
 LINE_MIN_DOCS = 10
-LINE_MAX_SHARE = 0.2
-MAX_REMOVED = 0.5
+MAX_REMOVED_PERCENT = 30
 
 
 def repeated_words(words: Column) -> Column:
@@ -85,7 +86,7 @@ def content_key(text: str = "text") -> Column:
 
 
 def frequent_lines(docs: DataFrame, host: str = "source", text: str = "text", doc_id: str = "doc_id",
-                   min_docs: int = LINE_MIN_DOCS, max_share: float = LINE_MAX_SHARE) -> DataFrame:
+                   min_docs: int = LINE_MIN_DOCS) -> DataFrame:
     """(host, line, first_key): hashes of the boilerplate lines of each host.
 
     ``line`` is the hash, ``first_key`` the content key of the first document
@@ -97,12 +98,7 @@ def frequent_lines(docs: DataFrame, host: str = "source", text: str = "text", do
     seen = lines.groupBy("host", "line", "key").agg(F.min("id").alias("id"))
     counts = seen.groupBy("host", "line").agg(
         F.count(F.lit(1)).alias("docs"), F.min(F.struct("id", "key"))["key"].alias("first_key"))
-    sizes = (docs.select(F.col(host).alias("host"), content_key(text).alias("key")).distinct()
-             .groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")))
-    often = counts.where(F.col("docs") > min_docs)
-    return (often.alias("l").join(sizes.alias("s"), F.col("l.host").eqNullSafe(F.col("s.host")))
-            .where(F.col("docs") > max_share * F.col("host_docs"))
-            .select("l.host", "line", "first_key"))
+    return counts.where(F.col("docs") > min_docs).select("host", "line", "first_key")
 
 
 def document_lines(docs: DataFrame, host: str, text: str, doc_id: str) -> DataFrame:
@@ -123,13 +119,12 @@ def line_chars(text: Column) -> Column:
 
 
 def removed_lines(docs: DataFrame, host: str = "source", text: str = "text", doc_id: str = "doc_id",
-                  min_docs: int = LINE_MIN_DOCS, max_share: float = LINE_MAX_SHARE) -> DataFrame:
+                  min_docs: int = LINE_MIN_DOCS) -> DataFrame:
     """(host, id, key, line, chars): the boilerplate lines each document loses.
 
-    Few lines are boilerplate (at most lines-per-document / ``max_share`` of a
-    host), so the runtime size of that side decides how it is joined.
+    The runtime size of the boilerplate side decides how it is joined.
     """
-    often = frequent_lines(docs, host, text, doc_id, min_docs, max_share)
+    often = frequent_lines(docs, host, text, doc_id, min_docs)
     lines = document_lines(docs, host, text, doc_id)
     return (lines.alias("d").join(often.alias("f"), (F.col("d.line") == F.col("f.line"))
                                   & F.col("d.host").eqNullSafe(F.col("f.host")))
@@ -137,24 +132,42 @@ def removed_lines(docs: DataFrame, host: str = "source", text: str = "text", doc
             .select("d.*").distinct())
 
 
+def lost_lines(docs: DataFrame, **params) -> DataFrame:
+    """(host, id, key, lost, removed): each document's boilerplate lines (at most its own) and their characters."""
+    return removed_lines(docs, **params).groupBy("host", "id", "key").agg(
+        F.collect_set("line").alias("lost"), F.sum("chars").alias("removed"))
+
+
+def without_lines(text: Column, lost: Column) -> Column:
+    """A text without the lines whose hashes are ``lost`` (null: none)."""
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(
+        lost, F.xxhash64(F.lower(F.btrim(x, F.lit(SPACE_CHARS)))))), "\n")
+    return F.when(lost.isNull(), text).otherwise(kept)
+
+
 def clean_lines(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` with the boilerplate lines taken out of the text column (named ``text``)."""
-    lost = (removed_lines(docs, **params).groupBy("id", "key")
-            .agg(F.collect_set("line").alias("_lost")))  # at most a document's own lines
-    keyed = docs.withColumn("_key", content_key("text"))
-    out = keyed.join(lost, F.col("doc_id").eqNullSafe(F.col("id"))
-                     & (F.col("_key") == F.col("key")), "left")
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(
-        F.col("_lost"), F.xxhash64(F.lower(F.btrim(x, F.lit(SPACE_CHARS)))))), "\n")
-    return out.withColumn("text", F.when(F.col("_lost").isNull(), F.col("text")).otherwise(left)) \
-        .select(*docs.columns)
+    """``docs`` with the boilerplate lines taken out of ``text``; no document is rejected."""
+    return _cleaned(docs, docs.select(F.struct("*").alias("_row"), content_key("text").alias("_key")), params, None)
+
+
+def _cleaned(docs: DataFrame, rows: DataFrame, params: dict, rejected: Column | None) -> DataFrame:
+    """The (``_row``, ``_key``, ..) of ``rows`` with lines taken out, but those ``rejected``; n_chars in step."""
+    out = rows.join(lost_lines(docs, **params), (F.col("_key") == F.col("key"))
+                    & F.col("_row.doc_id").eqNullSafe(F.col("id"))
+                    & F.col("_row.source").eqNullSafe(F.col("host")), "left")
+    if rejected is not None:
+        out = out.where(~F.coalesce(rejected, F.lit(False)))
+    text = without_lines(F.col("_row.text"), F.col("lost"))
+    fresh = {"text": text, "n_chars": F.when(F.col("lost").isNull(), F.col("_row.n_chars"))
+             .otherwise(F.length(text)) if "n_chars" in docs.columns else None}
+    return out.select(*[(fresh[f.name].cast(f.dataType) if f.name in fresh else F.col("_row")[f.name]).alias(f.name)
+                        for f in docs.schema])
 
 
 def judge(docs: DataFrame, host: str = "source", text: str = "text", doc_id: str = "doc_id",
-          min_docs: int = LINE_MIN_DOCS, max_share: float = LINE_MAX_SHARE,
-          max_removed: float = MAX_REMOVED) -> DataFrame:
+          min_docs: int = LINE_MIN_DOCS, max_removed: int = MAX_REMOVED_PERCENT) -> DataFrame:
     """Every row of ``docs`` with the base measures, ``removed_chars``, ``line_chars`` and ``kept``."""
-    removed = (removed_lines(docs, host, text, doc_id, min_docs, max_share)
+    removed = (removed_lines(docs, host, text, doc_id, min_docs)
                .groupBy("host", "id", "key").agg(F.sum("chars").alias("removed")))
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), F.col(text).alias("text"),
                        content_key(text).alias("key"), line_chars(F.col(text)).alias("line_chars"))
@@ -164,19 +177,16 @@ def judge(docs: DataFrame, host: str = "source", text: str = "text", doc_id: str
                                    & F.col("b.host").eqNullSafe(F.col("r.host")), "left")
               .select("b.*", F.coalesce("r.removed", F.lit(0)).alias("removed_chars")))
     return joined.withColumn("kept", ~F.col("base_failed")
-                             & (F.col("removed_chars") <= max_removed * F.col("line_chars")))
+                             & (100 * F.col("removed_chars") <= max_removed * F.col("line_chars")))
 
 
-def keep_documents(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns.
+def keep_documents(docs: DataFrame, max_removed: int = MAX_REMOVED_PERCENT, **params) -> DataFrame:
+    """The documents that are kept, with their own columns and without their boilerplate lines.
 
-    The base rule is a filter; the few documents that boilerplate removal
-    depletes leave by an anti join, so texts are never joined with measures.
+    The base rule is a filter; documents that lose too much leave by the join that
+    brings each document its lost lines, so a text is shuffled once.
     """
-    gone = (removed_lines(docs, **params).groupBy("id", "key").agg(F.sum("chars").alias("removed"))
-            .where(F.col("removed") > 0))
-    base = base_measures(docs.select(F.col("*"), F.struct("*").alias("_row"), content_key("text").alias("_key"),
+    base = base_measures(docs.select("text", F.struct("*").alias("_row"), content_key("text").alias("_key"),
                                      line_chars(F.col("text")).alias("_chars")), "text")
-    left = base.where(~F.col("base_failed")).select("_row", "_key", "_chars", F.col("_row.doc_id").alias("_id"))
-    return left.join(gone, (F.col("_key") == F.col("key")) & F.col("_id").eqNullSafe(F.col("id"))
-                     & (F.col("removed") > MAX_REMOVED * F.col("_chars")), "left_anti").select("_row.*")
+    left = base.where(~F.col("base_failed")).select("_row", "_key", "_chars")
+    return _cleaned(docs, left, params, 100 * F.col("removed") > max_removed * F.col("_chars"))
