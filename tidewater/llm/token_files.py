@@ -24,7 +24,7 @@ import struct
 from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, filterfalse
 from pathlib import Path
 
 import numpy as np
@@ -45,43 +45,86 @@ HEAD = struct.Struct("<IHBBH")
 SEGMENT_SCHEMA = ("shard int, segment int, first long, doc_ids array<long>, lengths array<long>, payload binary")
 
 
-def pack_block(ids: np.ndarray) -> bytes:
-    """One block of at most 65,535 ids."""
-    low = int(ids.min())
-    diff = (ids - np.uint32(low)).astype(np.uint32)
-    width = int(np.partition(diff, k := len(diff) * PERCENTILE // 100 - (PERCENTILE == 100))[k]).bit_length()
-    places = np.flatnonzero(diff >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
-    high = diff[places] >> np.uint32(width) if len(places) else np.empty(0, np.uint32)
-    bits = np.unpackbits(diff.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
-    packed = np.packbits(bits[:, :width], bitorder="little")
-    return (HEAD.pack(low, len(ids), width, 0, len(places)) + packed.tobytes()
-            + places.astype("<u2").tobytes() + high.astype("<u4").tobytes())
-
-
-def unpack_block(data: memoryview) -> np.ndarray:
-    low, n, width, _, odd = HEAD.unpack_from(data)
-    at, size = HEAD.size, (n * width + 7) // 8
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little")
-    padded = np.zeros((n, 32), np.uint8)
-    padded[:, :width] = bits.reshape(n, width)
-    ids = np.packbits(padded, axis=1, bitorder="little").view("<u4").reshape(n).copy()
-    at += size
-    places = np.frombuffer(data, "<u2", odd, at)
-    ids[places] |= np.frombuffer(data, "<u4", odd, at + 2 * odd) << np.uint32(width)
-    return ids + np.uint32(low)
+def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of 64-bit values below 2**width as rows of little-endian bit strings.
+
+    64 values of one width fill ``width`` words exactly, so each of the 64 places is one
+    shift over all runs of all rows.
+    """
+    runs = values.reshape(-1, 64)
+    words = np.zeros((len(runs), width), "<u8")
+    for j in range(64 if width else 0):
+        word, shift = divmod(j * width, 64)
+        words[:, word] |= runs[:, j] << np.uint64(shift)
+        if shift + width > 64:
+            words[:, word + 1] |= runs[:, j] >> np.uint64(64 - shift)
+    return words.reshape(len(values), -1).view(np.uint8)
+
+
+def unpack_bits(packed: np.ndarray, width: int, n: int) -> np.ndarray:
+    """The first ``n`` values of each row of ``pack_bits``."""
+    words = packed.view("<u8").reshape(-1, width)
+    runs = np.zeros((len(words), 64), np.uint64)
+    for j in range(64):
+        word, shift = divmod(j * width, 64)
+        runs[:, j] = words[:, word] >> np.uint64(shift)
+        if shift + width > 64:
+            runs[:, j] |= words[:, word + 1] << np.uint64(64 - shift)
+    return (runs.reshape(len(packed), -1) & np.uint64((1 << width) - 1))[:, :n].astype(np.uint32)
+
+
+def pack_blocks(ids: np.ndarray) -> list[bytes]:
+    """One block for each row; rows of one width are packed together."""
+    n = ids.shape[1]
+    low = ids.min(axis=1)
+    diff = ids - low[:, None]
+    at = n * PERCENTILE // 100 - (PERCENTILE == 100)
+    widths = np.frexp(np.partition(diff, at, axis=1)[:, at].astype(float))[1]
+    out: list[bytes] = [b""] * len(ids)
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == width)
+        mine = diff[rows].astype(np.uint64)
+        padded = np.zeros((len(rows), -(-n // 64) * 64), np.uint64)
+        padded[:, :n] = mine & np.uint64((1 << width) - 1)
+        bits, high = pack_bits(padded, width), (mine >> np.uint64(width)).astype("<u4")
+        for row, packed, rest in zip(rows.tolist(), bits, high):
+            places = np.flatnonzero(rest)
+            out[row] = (HEAD.pack(int(low[row]), n, width, 0, len(places)) + packed[:(n * width + 7) // 8].tobytes()
+                        + places.astype("<u2").tobytes() + rest[places].tobytes())
+    return out
 
 
 def pack(ids: np.ndarray) -> bytes:
-    blocks = [pack_block(ids[i:i + BLOCK]) for i in range(0, len(ids), BLOCK)]
+    whole = len(ids) // BLOCK * BLOCK
+    blocks = pack_blocks(ids[:whole].reshape(-1, BLOCK)) if whole else []
+    if whole < len(ids):
+        blocks += pack_blocks(ids[None, whole:])
     starts = 8 + 4 * len(blocks) + np.cumsum([0, *map(len, blocks)])[:-1]
     return struct.pack("<II", len(ids), len(blocks)) + starts.astype("<u4").tobytes() + b"".join(blocks)
 
 
 def unpack(payload: bytes) -> np.ndarray:
-    _, n = struct.unpack_from("<II", payload)
-    view = memoryview(payload)
+    """All ids of a payload; blocks of equal length and width are unpacked together."""
+    total, n = struct.unpack_from("<II", payload)
     starts = np.frombuffer(payload, "<u4", n, 8).tolist()
-    return np.concatenate([unpack_block(view[s:]) for s in starts]) if n else np.empty(0, np.uint32)
+    heads = [HEAD.unpack_from(payload, s) for s in starts]
+    ids = np.empty((n, BLOCK), np.uint32)
+    kinds: dict[tuple[int, int], list[int]] = {}
+    for i, (_, size, width, _, _) in enumerate(heads):
+        kinds.setdefault((size, width), []).append(i)
+    for (size, width), rows in kinds.items():
+        bytes_ = (size * width + 7) // 8
+        packed = np.zeros((len(rows), -(-size // 64) * 8 * width), np.uint8)
+        for k, i in enumerate(rows):
+            packed[k, :bytes_] = np.frombuffer(payload, np.uint8, bytes_, starts[i] + HEAD.size)
+        values = unpack_bits(packed, width, size) if width else np.zeros((len(rows), size), np.uint32)
+        for k, i in enumerate(rows):
+            low, odd = heads[i][0], heads[i][4]
+            at = starts[i] + HEAD.size + bytes_
+            places = np.frombuffer(payload, "<u2", odd, at)
+            values[k, places] |= np.frombuffer(payload, "<u4", odd, at + 2 * odd) << np.uint32(width)
+            ids[i, :size] = values[k] + np.uint32(low)
+    return ids.reshape(-1)[:total]
 
 
 class LibraryEncoder:
@@ -119,10 +162,10 @@ class LibraryEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         with paused_collection():
             split = [self.pieces(t) for t in texts]
-            need = set(chain.from_iterable(split))
-            if len(self.words) + len(need.difference(self.words)) > TABLE_WORDS:
-                self.words, self.older = {}, self.words
-            for w in need.difference(self.words):
+            new = set(filterfalse(self.words.__contains__, chain.from_iterable(split)))
+            if len(self.words) + len(new) > TABLE_WORDS:
+                self.words, self.older, new = {}, self.words, set(chain.from_iterable(split))
+            for w in new:
                 self.words[w] = self.older.get(w) or self.piece(w)
             return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
@@ -145,11 +188,10 @@ def write_tokens(docs: DataFrame, path: str, vocabulary_path: str, doc_id: str =
         ids, parts, held = [], [], 0
 
         def row() -> pa.RecordBatch:
-            lengths = [len(p) // 4 for p in parts]
             payload = pack(np.frombuffer(b"".join(parts), "<u4"))
-            return pa.RecordBatch.from_pylist([{
-                "shard": shard, "segment": segment, "first": first, "doc_ids": ids,
-                "lengths": lengths, "payload": payload}], schema=arrow)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v], t) for v, t in zip((shard, segment, first, ids, [len(p) // 4 for p in parts], payload),
+                                                  arrow.types)], schema=arrow)
 
         for b in batches:
             for at in range(0, b.num_rows, 500):
