@@ -263,3 +263,15 @@ def test_lm_scoring_counts_rare_ngrams(spark, texts, monkeypatch):
 def test_language_id_subwords_of_short_chunks():
     for text, runs in (("", [0, 0, 0]), ("a", [0, 0, 0]), ("ab", [1, 0, 0]), ("abc", [2, 1, 0]), ("abcd", [3, 2, 1])):
         assert [int((o[1] - o[0]).sum()) for _, o in language_id.subwords(pa.array([text]))] == runs
+
+
+def test_language_id_sample_is_bounded_whatever_the_copies(spark):
+    """A hot text counts once, a language gives no more than its share, languages share the total."""
+    rows = [("hot copy of a text", "en")] * 3000 + [(f"text {i}", "en") for i in range(3000)] + \
+        [(f"texte {i}", "fr") for i in range(40)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    keyed = docs.select("lang", language_id.F.xxhash64("text", "lang").alias("key"))
+    for total, want in ((50_000, {"en": 100, "fr": 40}), (60, {"en": 30, "fr": 30})):
+        got = Counter(r.lang for r in language_id.sample_keys(keyed, 100, total).collect())
+        assert got == want
+    assert language_id.sample_keys(keyed.limit(0), 100).count() == 0

@@ -3,15 +3,16 @@
 A text's subwords are its runs of 2, 3 and 4 bytes (A-Z lower-cased), hashed
 into ``BUCKETS``. Their embeddings are averaged over the whole text and a linear
 softmax gives the language. Both layers are trained by stochastic gradient
-descent in numpy on a sample of at most about ``PER_LANGUAGE`` labelled texts of
-each language, chosen by a hash. A tenth of the sample is kept apart to fit the
+descent in numpy on a sample of at most ``PER_LANGUAGE`` different labelled texts of
+each language, and ``SAMPLE`` in all, chosen by a hash. A tenth of the sample is kept apart to fit the
 softmax temperature and the rejection level: a text whose calibrated score is
 below the level that ``KEEP`` of the right answers reach is marked rejected.
 Scoring reads whole texts and is one map over the documents.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and
 rejected, as is every text when there is nothing to learn from. Equal texts get
-equal results; ties between languages go to the first in alphabetical order.
+equal results; ties between languages go to the first in alphabetical order. Texts of
+any length are read whole; columns named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewater.llm.arrays import FOLD, chunks, text_bytes
 
@@ -30,6 +32,7 @@ SIZES = (2, 3, 4)
 BUCKETS = 1 << 14
 DIMENSIONS = 16
 PER_LANGUAGE = 1200
+SAMPLE = 50_000  # texts of all languages together
 EPOCHS = 4
 BATCH = 16
 RATE = 4.0
@@ -109,19 +112,33 @@ def features(docs: DataFrame) -> list:
     return docs.select("lang", "text").mapInArrow(run, "lang string, buckets binary, weights binary").collect()
 
 
+def sample_keys(rows: DataFrame, per_language: int, total: int = SAMPLE) -> DataFrame:
+    """At most ``per_language`` different (lang, key) of each language and ``total`` in all, by smallest hash.
+
+    Copies of a text have one key, so a hot text is taken once. Only keys under some four
+    times the wanted share of the hash range are ranked, so the ranking stays as small as
+    the sample however many texts a language has.
+    """
+    keys = rows.distinct()
+    sizes = {r["lang"]: r["n"] for r in keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return keys
+    wanted = max(1, min(per_language, total // len(sizes)))
+    bound = F.create_map(*[F.lit(x) for k, n in sizes.items()
+                           for x in (k, int(min(1.0, 4 * (wanted + 25) / n) * (1 << 31)))])
+    spot = F.col("key").bitwiseAND(F.lit((1 << 31) - 1))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(spot, "key"))
+    return (keys.where(spot < F.element_at(bound, F.col("lang")))
+            .withColumn("_rank", rank).where(F.col("_rank") <= wanted).drop("_rank"))
+
+
 def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", per_language: int = PER_LANGUAGE,
           seed: int = 7) -> Model | None:
     """Train on a hash sample of ``labelled``; None if it holds no text with a language."""
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where(
-        "lang is not null and text is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes:
-        return None
-    # share of each language's rows that the sample takes, as a bound on a 31-bit hash
-    bound = F.create_map(*[F.lit(x) for k, n in sizes.items()
-                           for x in (k, int(min(1.0, per_language / n) * (1 << 31)))])
-    picked = rows.where(F.xxhash64("text", "lang").bitwiseAND(F.lit((1 << 31) - 1))
-                        < F.element_at(bound, F.col("lang")))
+        "lang is not null and text is not null").withColumn("key", F.xxhash64("text", "lang"))
+    picked = rows.join(F.broadcast(sample_keys(rows.select("lang", "key"), per_language)), ["lang", "key"]) \
+        .dropDuplicates(["lang", "key"])
     found = features(picked)
     languages = sorted({r["lang"] for r in found})
     if not languages:
