@@ -27,7 +27,7 @@ import codecs
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, filterfalse
 from pathlib import Path
 
 import ahocorasick
@@ -45,7 +45,9 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of model files (fixed
 BPE_MODEL = 2
 UNKNOWN_TEXT = " ⁇ "  # what the unknown id decodes to (fixed value)
 TABLE_WORDS = 200_000
-TABLE_PAIRS = 2_000_000
+TABLE_PAIRS = 1_000_000
+SLOT_BITS = 20
+LONG_CUT = 64  # longer cuts backtrack alone
 STEP = 1 << 20  # bytes of text, or ids, taken at once; a longer row is a step of its own
 
 codecs.register_error("piece_bytes", lambda e: ("�" * (e.end - e.start), e.end))
@@ -89,8 +91,13 @@ class Pieces:
         self.shorter = [-1] * len(self.text)
         for t, i in self.ids.items():
             self.shorter[i] = next((self.ids[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in self.ids), -1)
+        self.shorter = np.array(self.shorter)
+        self.sizes = np.append(self.size, 0)  # the last one: no piece
         self.joined = joined
         self.cuts = self._cuts()
+        self.pairs: dict[int, bool] = {}
+        self.slot_keys = np.full(1 << SLOT_BITS, -1, np.int64)
+        self.slot_fits = np.zeros(1 << SLOT_BITS, bool)
         self.forget()
 
     def _cuts(self) -> re.Pattern:
@@ -113,10 +120,9 @@ class Pieces:
         return re.compile(f" +[{lead}]*[{inside}]*|[{lead}]+[{inside}]*|[{inside}]+|[^{lead}{inside} ]+")
 
     def forget(self) -> None:
-        """Empty the tables of cuts (two generations) and pairs."""
+        """Empty the table of cuts (two generations); judged pairs stay."""
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.pairs: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """The model's merging of a short text: best score first, leftmost of equals."""
@@ -135,12 +141,12 @@ class Pieces:
         want = [self.text[right]] if left < 0 else [self.text[left], self.text[right]]
         if len(self.pairs) >= TABLE_PAIRS:
             self.pairs.clear()
-        known = self.pairs[left * len(self.text) + right] = self.merged("".join(want)) == want
+        known = self.pairs[(left + 1) * len(self.text) + right] = self.merged("".join(want)) == want
         return known
 
     def backtracked(self, word: str) -> list[int]:
         """Pieces of a cut whose characters all are pieces."""
-        n, size, shorter, known, many = len(word), self.size, self.shorter, self.pairs.get, len(self.text)
+        n, size, shorter, known, many = len(word), self.size, self.shorter.tolist(), self.pairs.get, len(self.text)
         longest = [-1] * n
         for last, piece in self.automaton.iter(word):  # ends ascend: the last one entered is the longest
             longest[last + 1 - size[piece]] = piece
@@ -151,7 +157,7 @@ class Pieces:
             while piece >= 0:
                 end = at + size[piece]
                 if not failed[end >> 3] >> (end & 7) & 1:
-                    good = known(left * many + piece)
+                    good = known((left + 1) * many + piece)
                     if good or (good is None and self.fits(left, piece)):
                         break
                 piece = shorter[piece]
@@ -166,24 +172,93 @@ class Pieces:
                 piece = longest[at] if at < n else -1
         return out
 
-    def word(self, word: str) -> bytes:
-        if word[0] in self.joined or word[0] == " ":
-            return array("I", self.backtracked(word)).tobytes()
+    def fitting(self, keys: np.ndarray) -> np.ndarray:
+        """``fits`` of many pairs; judged pairs stand in a table of one slot a hash."""
+        slot = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        strange = np.flatnonzero(self.slot_keys[slot] != keys)
+        out = self.slot_fits[slot]
+        if len(strange):
+            many = len(self.text)
+            new, where = np.unique(keys[strange], return_inverse=True)
+            good = np.fromiter((k if (k := self.pairs.get(key)) is not None else self.fits(key // many - 1, key % many)
+                                for key in new.tolist()), bool, len(new))[where]
+            out[strange] = good
+            self.slot_keys[slot[strange]], self.slot_fits[slot[strange]] = keys[strange], good
+        return out
+
+    def learn(self, words: list[str]) -> None:
+        """Enter cuts of pieces into the table: all backtrack together, a step of each at a time."""
+        whole = "\0".join(words) + "\0"  # no piece holds it, so no match crosses a cut
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes + 1) - 1
+        starts = ends - sizes
+        longest = np.full(len(whole), -1, np.int64)
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(whole)), np.int64).reshape(-1, 2)
+        longest[found[:, 0] + 1 - self.sizes[found[:, 1]]] = found[:, 1]  # ends ascend: the longest one stays
+        failed = np.zeros(len(whole) + 1, bool)
+        placed = np.full(len(whole) + 1, -1, np.int64)  # the piece laid from a place
+        before = np.zeros(len(whole) + 1, np.int64)  # where the piece that ends in a place begins
+        first, last, at = starts, ends, starts.copy()
+        left, piece = np.full(len(words), -1, np.int64), longest[starts]
+        many = len(self.text)
+        while len(at):
+            end = at + self.sizes[piece]
+            open_ = (piece >= 0) & ~failed[np.where(piece >= 0, end, 0)]
+            some = np.flatnonzero(open_)
+            open_[some] = self.fitting((left[some] + 1) * many + piece[some])
+            lay, back = np.flatnonzero(open_), np.flatnonzero(piece < 0)
+            short = np.flatnonzero(~open_ & (piece >= 0))
+            placed[at[lay]], before[end[lay]] = piece[lay], at[lay]
+            piece[short] = self.shorter[piece[short]]
+            failed[at[back]] = True
+            at[lay], left[lay] = end[lay], piece[lay]
+            piece[lay] = longest[at[lay]]
+            at[back] = before[at[back]]
+            piece[back] = placed[at[back]]
+            left[back] = np.where(at[back] > first[back], placed[before[at[back]]], -1)
+            going = at < last
+            if not going.all():
+                first, last, at, left, piece = (x[going] for x in (first, last, at, left, piece))
+        laid = np.zeros(len(whole), bool)
+        at, first = ends, starts
+        while len(at):
+            at = before[at]
+            laid[at] = True
+            going = at > first
+            at, first = at[going], first[going]
+        places = np.flatnonzero(laid)
+        raw = placed[places].astype("<u4").tobytes()
+        cuts = (4 * np.searchsorted(places, ends)).tolist()
+        self.words.update(zip(words, (raw[a:b] for a, b in zip([0, *cuts], cuts))))
+
+    def spelt(self, word: str) -> bytes:
+        """A cut of characters that never join: pieces of their own, or bytes."""
         ids = chain.from_iterable([self.ids[c]] if c in self.ids else [self.byte_ids[b] for b in c.encode()]
                                   for c in word)
         return array("I", ids).tobytes()
 
+    def enter(self, words: list[str]) -> None:
+        together = []
+        for w in words:
+            if w[0] != " " and w[0] not in self.joined:
+                self.words[w] = self.spelt(w)
+            elif len(w) > LONG_CUT:
+                self.words[w] = array("I", self.backtracked(w)).tobytes()
+            else:
+                together.append(w)
+        if together:
+            self.learn(together)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, the end id last, as little-endian unsigned 32-bit integers."""
         first, end = " " if self.prefixed else "", array("I", [self.end]).tobytes()
         with paused_collection():
             split = [self.cuts.findall(first + t.replace(SPACE, " ")) if t else [] for t in texts]
-            need = set(chain.from_iterable(split))
-            new = need.difference(self.words)
+            new = set(filterfalse(self.words.__contains__, chain.from_iterable(split)))
             if len(self.words) + len(new) > TABLE_WORDS:
-                self.words, self.older, new = {}, self.words, need
-            for w in new:
-                self.words[w] = self.older.get(w) or self.word(w)
+                self.words, self.older, new = {}, self.words, set(chain.from_iterable(split))
+            self.words.update([(w, self.older[w]) for w in new if w in self.older])
+            self.enter([w for w in new if w not in self.older])
             return [b"".join(map(self.words.__getitem__, words)) + end for words in split]
 
     def decode(self, ids: list[int]) -> str:
