@@ -37,9 +37,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewater.llm.common import ascii_lower, written
+from tidewater.llm.arrays import FOLD, chunks, text_bytes
+from tidewater.llm.common import written
 
-NOT_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+IS_TERM = np.zeros(256, bool)  # ASCII letters and the bytes of other characters
+IS_TERM[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 MIN_DF = 30
 SCALE = 1_000_000_000
 PRIOR = 5
@@ -50,8 +52,44 @@ SOURCES = 128
 TERMS = 1024
 
 
-def terms(text: Column) -> Column:
-    return F.filter(F.split(ascii_lower(text), NOT_TERM), lambda t: t != "")
+def term_lists(texts: pa.Array, langs: pa.Array) -> pa.Array:
+    """The terms of each text, in order, each behind its language and ``MARK``.
+
+    Terms are cut from the column's bytes at once: term bytes move up to make room for
+    the prefixes, which are laid in language by language.
+    """
+    raw, offsets = text_bytes(texts)
+    inside = IS_TERM[raw]
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[offsets] = True
+    starts = np.flatnonzero(inside & (edge[:-1] | ~np.append(False, inside[:-1])[:len(raw)]))
+    ends = np.flatnonzero(inside & (edge[1:] | ~np.append(inside[1:], False)[:len(raw)])) + 1
+    row = np.searchsorted(offsets, starts, "right") - 1
+    codes = langs.dictionary_encode()
+    prefixes = [(x + MARK).encode() for x in codes.dictionary.to_pylist()]
+    code = codes.indices.to_numpy(zero_copy_only=False)[row] if len(row) else row
+    room = np.array([len(x) for x in prefixes], np.int64)[code] if len(row) else row
+    sizes = ends - starts
+    bounds = np.concatenate([[0], np.cumsum(sizes + room)])
+    data = np.empty(bounds[-1], np.uint8)
+    data[np.arange(sizes.sum()) + np.repeat(np.cumsum(room), sizes)] = FOLD[raw[inside]]
+    for i, prefix in enumerate(prefixes):
+        at = bounds[:-1][code == i]
+        for k, byte in enumerate(prefix):
+            data[at + k] = byte
+    words = pa.StringArray.from_buffers(len(row), pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(texts) + 1)).astype(np.int32)), words)
+
+
+def tagged_terms(docs: DataFrame) -> DataFrame:
+    """(lang, source, terms) of documents (lang, source, text)."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, part in chunks(b.column(2)):
+                langs, sources = (b.column(i).slice(first, len(part)) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([langs, sources, term_lists(part, langs)], ["lang", "source", "terms"])
+
+    return docs.select("lang", "source", "text").mapInArrow(cut, "lang string, source string, terms array<string>")
 
 
 def vectors(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame]:
@@ -61,8 +99,7 @@ def vectors(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame]:
     CountVectorizer refuses; no document holds it.
     """
     spark = docs.sparkSession
-    tagged = docs.select("lang", "source", F.transform(
-        terms(F.col("text")), lambda t: F.concat(F.col("lang"), F.lit(MARK), t)).alias("terms"))
+    tagged = tagged_terms(docs)
     blank = spark.range(min_df).select(F.lit("").alias("lang"), F.lit("").alias("source"),
                                        F.array(F.lit(MARK)).alias("terms"))
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=LARGEST_INT) \
