@@ -103,7 +103,7 @@ def test_k9_replay_gives_same_id(bronze):
 
 def test_k14_k15_defaults(bronze):
     rows = [("raw-logs", json.dumps({"payload": {}})),
-            ("raw-host-logs", json.dumps({"something": 1})),
+            ("raw-host-logs", json.dumps({"resourceLogs": [{"scopeLogs": [{"logRecords": [{}]}]}]})),
             ("otel-metrics", _metric([{"as_int": "1"}]).replace('"host.name"', '"other"'))]
     out = process(bronze(rows))
     ev = {r.event_type: r for r in out.events.collect()}

@@ -16,8 +16,13 @@ def _plan(df):
 def test_parse_once_per_message(spark):
     ev = route_events(td.query_messages(td.load(spark, SF, "events")), "queries")
     p = _plan(ev)
-    # one map parse; the variant parse only sits behind the short-circuit for non-objects
-    assert p.count("from_json(") == 1 and p.count("parseJson") == 1
+    # one map parse; the typed parses sit behind the route
+    assert p.count("THEN from_json(MapType(") == 1
+    assert p.count("from_json(") == 3 == p.count("THEN from_json(")
+    for route, messages in (("metrics", td.otlp_metric_messages), ("host_logs", td.otlp_log_messages)):
+        # messages of one OTLP topic: the typed parse is the only one
+        p = _plan(route_events(messages(td.load(spark, SF, "events")), route))
+        assert p.count("from_json(") == 1
 
 
 def test_filter_pushed_to_parquet(spark):

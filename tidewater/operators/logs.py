@@ -11,7 +11,6 @@ from tidewater.functions.expr import (ALERT_LEVELS, DEFAULT_ENVIRONMENT, DEFAULT
                                       empty_str_map, empty_variant_map, iso_timestamp, kv_map,
                                       nanos_timestamp, py_str, row_id, vget)
 from tidewater.operators.processor import EVENT_FIELDS, Processor
-from tidewater.schemas import OTLP_LOGS
 
 # Message templates by payload event type.
 DEADLOCK_TEMPLATE = "Detected %s deadlock(s)."
@@ -72,17 +71,17 @@ def otlp_log_records(df: DataFrame, first_only: bool = False) -> DataFrame:
     """Explode OTLP logs messages to one row per log record.
 
     ``first_only`` keeps only element 0 at each level (the reference's reading).
-    A missing array yields one record of defaults, like an empty dict would.
+    A message without any record is a dead letter, so a missing array yields none.
     """
-    doc = F.from_json(F.col("value"), OTLP_LOGS)
+    doc = F.col("host_logs_doc")
 
     def arr(c):
         return F.slice(c, 1, 1) if first_only else c
 
     return (df.select("topic", "partition", "offset", "ingest_ts", doc.alias("doc"))
-            .select("*", F.posexplode_outer(arr(F.col("doc.resourceLogs"))).alias("ri", "rl"))
-            .select("*", F.posexplode_outer(arr(F.col("rl.scopeLogs"))).alias("si", "sl"))
-            .select("*", F.posexplode_outer(arr(F.col("sl.logRecords"))).alias("li", "rec")))
+            .select("*", F.posexplode(arr(F.col("doc.resourceLogs"))).alias("ri", "rl"))
+            .select("*", F.posexplode(arr(F.col("rl.scopeLogs"))).alias("si", "sl"))
+            .select("*", F.posexplode(arr(F.col("sl.logRecords"))).alias("li", "rec")))
 
 
 def normalize_otlp_logs(df: DataFrame, first_only: bool = False,

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidewater.functions.expr import (DEFAULT_ENVIRONMENT, DEFAULT_SOURCE, UNKNOWN_METRIC_HOST,
                                       add_tag, kv_map, nanos_timestamp, row_id, to_number)
 from tidewater.operators.processor import METRIC_FIELDS, Processor
-from tidewater.schemas import OTLP_RESOURCE_METRICS
 
 
 def _points(kind: Column) -> Column:
@@ -16,12 +15,12 @@ def _points(kind: Column) -> Column:
 
 
 def metric_points(df: DataFrame) -> DataFrame:
-    """One row per (resource, scope, metric, data point) of ResourceMetrics messages.
+    """One row per (resource, scope, metric, data point) of prepared ResourceMetrics messages.
 
     Resource attributes are reduced to a map before the explode, so the wide
     nested document is not copied onto every point row.
     """
-    doc = F.from_json(F.col("value"), OTLP_RESOURCE_METRICS)
+    doc = F.col("metrics_doc")
     base = df.select("topic", "partition", "offset", "ingest_ts",
                      kv_map(doc["resource"]["attributes"], with_int=True).alias("res"),
                      F.coalesce(doc["scope_metrics"], doc["scopeMetrics"]).alias("scopes"))

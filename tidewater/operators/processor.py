@@ -53,9 +53,19 @@ def metric_rules() -> list[tuple[str, Column]]:
 
 
 class Processor:
-    """Base processor: subclass and override ``normalize`` / ``enrich``."""
+    """Base processor: subclass and override ``normalize`` / ``enrich``.
+
+    A processor of a new route names its ``route`` and the ``topics`` that select it;
+    their text arrives unparsed in ``value``, and ``reason`` gives the dead-letter reason
+    of what it cannot read (NULL: processable).
+    """
 
     kind = "event"
+    route = ""
+    topics: tuple[str, ...] = ()
+
+    def reason(self) -> Column:
+        return F.lit(None).cast("string")
 
     def __init__(self, config: ProcessorConfig | None = None):
         self.config = config or ProcessorConfig()

@@ -1,10 +1,11 @@
 """FP1 routing and FP2 error isolation.
 
-The message text is parsed once into ``map<string,variant>`` (``from_json``);
-every later field access reads that map, so JSON is never parsed twice per
-field. Instead of raising (which would drop a whole
-micro-batch), each message gets an explicit ``reason``; rows with a reason
-form the dead-letter output.
+A message is parsed once. Envelopes (queries, logs) become ``map<string,variant>``;
+messages of the OTLP routes are parsed straight into their typed document, and only
+one without a data point or log record gets a variant parse that tells why. Instead
+of raising (which would drop a whole micro-batch), each message that stores nothing
+gets an explicit ``reason``; rows with a reason form the dead-letter output, so
+stored messages and dead letters add up to the input.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.expr import is_vnull, is_vnumber, is_vstring, vget, vkind
+from tidewater.schemas import OTLP_LOGS, OTLP_RESOURCE_METRICS
 
 # Topic names and the routes they select.
 TOPIC_ROUTES = {
@@ -22,21 +24,27 @@ TOPIC_ROUTES = {
     "raw-queries": "queries",
 }
 ROUTES = ["metrics", "logs", "host_logs", "queries"]
+DOCUMENT_ROUTES = {"metrics": OTLP_RESOURCE_METRICS, "host_logs": OTLP_LOGS}
+DOCUMENT_TOPICS = [t for t, r in TOPIC_ROUTES.items() if r in DOCUMENT_ROUTES]
 IGNORED = "ignored"
+UNROUTED = "unrouted"
 SAMPLE_CHARS = 200
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
+def parse_messages(messages: DataFrame, raw_topics: list[str] | None = None) -> DataFrame:
     """Add ``env`` (the envelope as ``map<string,variant>``), ``payload`` and ``is_json``.
 
     Each step is its own projection over the previous one, so the JSON text is
-    parsed once and the payload converted once per message.
+    parsed once and the payload converted once per message. Messages of the OTLP
+    topics have no envelope and wait for their typed parse; ``raw_topics`` hold
+    text of another form and are not parsed at all.
     """
     # JSON objects parse straight into a map (duplicate keys: last wins, as
     # in Python); only rows that are not objects get the variant parse that
     # tells "not JSON" from "JSON but not an object" (OR short-circuits).
-    parsed = messages.withColumn("_env", F.from_json(F.col("value"), "map<string,variant>"))
-    is_json = F.col("_env").isNotNull() | F.try_parse_json(F.col("value")).isNotNull()
+    later = F.coalesce(F.col("topic").isin(*DOCUMENT_TOPICS, *(raw_topics or [])), F.lit(False))
+    parsed = messages.withColumn("_env", F.when(~later, F.from_json(F.col("value"), "map<string,variant>")))
+    is_json = later | F.col("_env").isNotNull() | F.try_parse_json(F.col("value")).isNotNull()
     return _barrier(parsed, is_json=is_json, env=F.col("_env"),
                     payload=F.try_variant_get(F.col("_env")["payload"], "$", "map<string,variant>"),
                     drop=["_env"])
@@ -54,12 +62,12 @@ def _barrier(df: DataFrame, drop: list[str] | None = None, **cols: Column) -> Da
     return df.select(*keep, F.inline(packed))
 
 
-def route_column(topic: Column, env: Column) -> Column:
+def route_column(topic: Column, env: Column, topics: dict[str, str] | None = None) -> Column:
     """Topic first; without a known topic, by content (FP1)."""
     t = F.coalesce(topic, F.lit(""))
     data_type = vget(env["data_type"])
     expr = None
-    for name, route in TOPIC_ROUTES.items():
+    for name, route in (topics or TOPIC_ROUTES).items():
         expr = F.when(t == name, F.lit(route)) if expr is None else expr.when(t == name, F.lit(route))
     return (expr
             .when(F.coalesce(F.map_contains_key(env, "scope_metrics"), F.lit(False)), F.lit("metrics"))
@@ -68,6 +76,39 @@ def route_column(topic: Column, env: Column) -> Column:
             .otherwise(F.lit(IGNORED)))
 
 
+def has_points(doc: Column) -> Column:
+    """Whether a ResourceMetrics document holds a data point with a value."""
+    def valued(points: Column) -> Column:
+        return F.exists(points, lambda p: F.coalesce(p["as_int"], p["asInt"], p["as_double"], p["asDouble"]).isNotNull())
+
+    def in_metric(m: Column) -> Column:
+        return valued(F.coalesce(*(m[k][spelling] for k in ("gauge", "sum", "histogram")
+                                   for spelling in ("data_points", "dataPoints"))))
+    scopes = F.coalesce(doc["scope_metrics"], doc["scopeMetrics"])
+    return F.coalesce(F.exists(scopes, lambda s: F.coalesce(F.exists(s["metrics"], lambda m: F.coalesce(
+        in_metric(m), F.lit(False))), F.lit(False))), F.lit(False))
+
+
+def has_records(doc: Column) -> Column:
+    """Whether an OTLP logs document holds a log record."""
+    return F.coalesce(F.exists(doc["resourceLogs"], lambda r: F.coalesce(F.exists(
+        r["scopeLogs"], lambda s: F.coalesce(F.size(s["logRecords"]) > 0, F.lit(False))), F.lit(False))), F.lit(False))
+
+
+def document_reason(value: Column, keys: list[str], empty: str) -> Column:
+    """Why a document of an OTLP route stores nothing; ``keys`` are the spellings of its array."""
+    whole = F.try_parse_json(value)
+    fields = F.try_variant_get(whole, "$", "map<string,variant>")
+    found = F.coalesce(*(fields[k] for k in keys))
+    items = F.try_variant_get(found, "$", "array<variant>")
+    return (F.when(whole.isNull(), F.lit("not_json"))
+            .when(fields.isNull(), F.lit("not_object"))
+            .when(found.isNull(), F.lit(f"missing:{keys[0]}"))
+            .when(items.isNull(), F.lit(f"bad_type:{keys[0]}"))
+            .when(F.size(items) == 0, F.lit(f"empty:{keys[0]}"))
+            .otherwise(F.lit(empty)))
+
+
 def _present(m: Column, key: str) -> Column:
     return F.coalesce(F.map_contains_key(m, key), F.lit(False))
 
@@ -93,8 +134,13 @@ def _flat_tags(env: Column) -> Column:
     return tags.isNotNull() & ~F.coalesce(nested, F.lit(False))
 
 
-def reason_column(route: Column, env: Column, is_json: Column, payload: Column) -> Column:
-    """First failed rule for a message, or NULL when it is processable."""
+def reason_column(route: Column, env: Column, is_json: Column, payload: Column, value: Column,
+                  documents: dict[str, Column], checks: dict[str, Column] | None = None) -> Column:
+    """First failed rule for a message, or NULL when it is processable.
+
+    ``documents`` are the typed parses of the OTLP routes, ``checks`` the reasons that
+    added routes give themselves.
+    """
     envelope_nulls = [_null_field(env, k) for k in ("host", "source", "environment", "payload", "tags")]
     logs_rules = envelope_nulls + [
         _bad_type(payload.isNotNull(), env, "payload"),
@@ -107,46 +153,55 @@ def reason_column(route: Column, env: Column, is_json: Column, payload: Column)
         _bad_type(is_vstring(payload["query"]), payload, "query"),
         _bad_type(is_vnumber(payload["mean_time_ms"]), payload, "mean_time_ms"),
     ]
-    host_logs_rules = [
-        F.when(F.coalesce(F.size(F.try_variant_get(env["resourceLogs"], "$", "array<variant>")) == 0,
-                          F.lit(False)), F.lit("empty:resourceLogs")),
-    ]
 
-    def first(rules):
-        return F.coalesce(*rules) if rules else F.lit(None)
-
-    return (F.when(~is_json, F.lit("not_json"))
+    out = F.when(~is_json, F.lit("not_json"))
+    for name, check in (checks or {}).items():
+        out = out.when(route == name, check)
+    return (out.when(route == "metrics", F.when(~has_points(documents["metrics"]), document_reason(
+                value, ["scope_metrics", "scopeMetrics"], "no_points")))
+            .when(route == "host_logs", F.when(~has_records(documents["host_logs"]), document_reason(
+                value, ["resourceLogs"], "empty:logRecords")))
             .when(env.isNull(), F.lit("not_object"))
-            .when(route == "logs", first(logs_rules))
-            .when(route == "queries", first(query_rules))
-            .when(route == "host_logs", first(host_logs_rules)))
+            .when(route == IGNORED, F.lit(UNROUTED))
+            .when(route == "logs", F.coalesce(*logs_rules))
+            .when(route == "queries", F.coalesce(*query_rules)))
+
 
+def prepare(messages: DataFrame, topics: dict[str, str] | None = None,
+            checks: dict[str, Column] | None = None) -> DataFrame:
+    """Bronze messages → parsed, routed, with a dead-letter ``reason``.
 
-def prepare(messages: DataFrame) -> DataFrame:
-    """Bronze messages → parsed, routed, with a dead-letter ``reason``."""
-    p = parse_messages(messages)
-    p = p.withColumn("_route", route_column(F.col("topic"), F.col("env")))
-    return _barrier(p, route=F.col("_route"),
-                    reason=reason_column(F.col("_route"), F.col("env"), F.col("is_json"),
-                                         F.col("payload")),
-                    drop=["_route"])
+    ``topics`` and ``checks`` add routes to the built-in ones: the topics that select
+    them (their text is not parsed here) and the reason why a message is not processable.
+    """
+    extra = topics or {}
+    p = parse_messages(messages, list(extra))
+    p = p.withColumn("_route", route_column(F.col("topic"), F.col("env"), {**TOPIC_ROUTES, **extra}))
+    p = _barrier(p, route=F.col("_route"), drop=["_route"], **{f"{r}_doc": F.when(
+        F.col("_route") == r, F.from_json(F.col("value"), shape)) for r, shape in DOCUMENT_ROUTES.items()})
+    return _barrier(p, reason=reason_column(
+        F.col("route"), F.col("env"), F.col("is_json"), F.col("payload"), F.col("value"),
+        {r: F.col(f"{r}_doc") for r in DOCUMENT_ROUTES}, checks))
 
 
-def topic_prefilter(route: str) -> Column:
+def topic_prefilter(route: str, topics: dict[str, str] | None = None) -> Column:
     """Cheap bronze predicate: the route's own topics or topics routed by content.
 
     It only reads ``topic``, so Catalyst pushes it below the parse (through the
     generator barriers, down to the scan); each route branch then parses only
     its own messages instead of every topic's.
     """
-    own = [t for t, r in TOPIC_ROUTES.items() if r == route]
-    known = F.coalesce(F.col("topic").isin(*TOPIC_ROUTES), F.lit(False))
+    every = {**TOPIC_ROUTES, **(topics or {})}
+    own = [t for t, r in every.items() if r == route]
+    if route not in TOPIC_ROUTES.values():
+        return F.col("topic").isin(*own)
+    known = F.coalesce(F.col("topic").isin(*every), F.lit(False))
     return F.col("topic").isin(*own) | ~known
 
 
-def routed(prepared: DataFrame, route: str) -> DataFrame:
+def routed(prepared: DataFrame, route: str, topics: dict[str, str] | None = None) -> DataFrame:
     """Processable messages of one route."""
-    return prepared.where(topic_prefilter(route) & (F.col("route") == route)
+    return prepared.where(topic_prefilter(route, topics) & (F.col("route") == route)
                           & F.col("reason").isNull())
 
 

@@ -14,32 +14,52 @@ from pyspark.sql import functions as F
 from tidewater.schemas import MESSAGES_DDL
 
 
-def _bronze(df: DataFrame, topic, value: str = "value") -> DataFrame:
-    """Files carry no offsets: the file path stands in for the partition and a
-    content hash for the offset (K9), so a re-read yields the same ids."""
+COPIES = 10_000  # copies of a line that one row spells out
+
+
+def _bronze(df: DataFrame, topic, value: str, number: str) -> DataFrame:
+    """Files carry no offsets: the file path stands in for the partition, and a hash of the text and
+    of its number among equal ones for the offset (K9), so a re-read yields the same ids."""
     t = F.lit(topic) if isinstance(topic, str) or topic is None else topic
+    first = F.xxhash64(F.col(value))
     return df.select(
         t.cast("string").alias("topic"),
-        F.hash(F.col("_metadata.file_path")).alias("partition"),
-        F.xxhash64(F.col(value)).alias("offset"),
+        F.hash(F.col("_path")).alias("partition"),
+        F.when(F.col(number) == 0, first).otherwise(F.xxhash64(F.col(value), F.col(number))).alias("offset"),
         F.lit(None).cast("string").alias("key"),
         F.col(value).alias("value"),
-        F.col("_metadata.file_modification_time").alias("ingest_ts"))
+        F.col("_time").alias("ingest_ts"))
+
+
+FILE = ["_metadata.file_path as _path", "_metadata.file_modification_time as _time"]
 
 
 def read_json_lines(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
-    """SR1: one JSON message per line (no topic → routed by content)."""
-    return _bronze(spark.read.text(path), topic)
+    """SR1: one JSON message per line (no topic → routed by content).
+
+    Equal lines of a file are different messages: they are counted (with a partial count
+    in each task) and numbered from 0, which no split of the file changes. A line with
+    many copies is spelt out by rows of ``COPIES``, dealt out anew.
+    """
+    lines = spark.read.text(path).selectExpr(*FILE, "value")
+    counted = lines.groupBy("_path", "_time", "value").agg(F.count(F.lit(1)).alias("copies"))
+    few = counted.where(F.col("copies") <= COPIES).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("number"))
+    runs = counted.where(F.col("copies") > COPIES).select("*", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))).alias("at")).repartition("at", "value")
+    many = runs.select("_path", "_time", "value", "copies", F.explode(F.sequence(
+        F.col("at"), F.least(F.col("copies"), F.col("at") + COPIES) - 1)).alias("number"))
+    return _bronze(few.unionByName(many), topic, "value", "number")
 
 
 def read_json_documents(spark: SparkSession, path: str, topic: str) -> DataFrame:
     """SR4/SR5: files holding one JSON document each, either an object or an
     array of objects (e.g. a list of ResourceMetrics); every object becomes a
     message. ``from_json`` to ``array<string>`` hands back each element's text."""
-    raw = spark.read.text(path, wholetext=True)
+    raw = spark.read.text(path, wholetext=True).selectExpr(*FILE, "value")
     doc = F.trim(F.col("value"))
     elems = F.when(doc.startswith("["), F.from_json(doc, "array<string>")).otherwise(F.array(doc))
-    return _bronze(raw.select("_metadata", F.explode(elems).alias("msg")), topic, "msg")
+    return _bronze(raw.select("_path", "_time", F.posexplode(elems).alias("number", "msg")), topic, "msg", "number")
 
 
 def read_messages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

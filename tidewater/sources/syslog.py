@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.expr import DEFAULT_ENVIRONMENT, facility, row_id, severity
+from tidewater.operators.processor import EVENT_FIELDS, Processor
 
 # Fixed value: <PRI>Mmm dd HH:MM:SS host tag[pid]: message
 RFC3164 = (r"^<(\d{1,3})>([A-Z][a-z]{2}\s+\d{1,2}\s\d{2}:\d{2}:\d{2})\s(\S+)\s"
@@ -34,6 +35,25 @@ def parse_syslog(lines: DataFrame, value: str = "value") -> DataFrame:
         pri.isNotNull().alias("parsed"))
 
 
+SYSLOG_TOPIC = "syslog"
+
+
+class SyslogProcessor(Processor):
+    """Lines on the syslog topic; what is no RFC 3164 line is a dead letter."""
+    route = "syslog"
+    topics = (SYSLOG_TOPIC,)
+
+    def __init__(self, config=None, resource_attributes: dict[str, str] | None = None):
+        super().__init__(config)
+        self.resource_attributes = resource_attributes
+
+    def reason(self):
+        return F.when(~F.coalesce(F.col("value").rlike(RFC3164), F.lit(False)), F.lit("not_syslog"))
+
+    def normalize(self, df: DataFrame) -> DataFrame:
+        return syslog_events(df, self.resource_attributes).select(*EVENT_FIELDS)
+
+
 def unparsed_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """The lines ``syslog_events`` cannot read, with the reason, for the dead letters."""
     return parse_syslog(lines, value).where("not parsed").select(*lines.columns, F.lit("not_syslog").alias("reason"))

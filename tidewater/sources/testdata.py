@@ -34,7 +34,7 @@ METRIC_NAMES = {
 }
 METRIC_UNITS = {"view": "blocks", "click": "blocks", "purchase": "commits",
                 "signup": "rollbacks", "error": "errors"}
-SYSLOG_TAGS = ["sshd", "cron", "kernel", "sudo"]
+SYSLOG_TAGS = ["nginx", "chronyd", "systemd", "dockerd"]
 CHUNK = 1000          # event ids per OTLP message group
 NOT_JSON_MOD = 97     # truncated JSON
 NULL_PAYLOAD_MOD = 101
@@ -56,24 +56,13 @@ def _case(key: Column, mapping: dict, default=None) -> Column:
     return out.otherwise(F.lit(default))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan yields too few tasks.
+def _base(events: DataFrame) -> DataFrame:
+    """Columns every message shape uses.
 
-    A small table stored as one row group is read by a single task, and the
-    JSON work downstream would run on one core. Large inputs arrive in many
-    files/row groups and are left as they are (no shuffle is added).
+    Rows are dealt out by id first: an ``events`` file of one row group would otherwise
+    put the whole JSON work into one task, and these rows are much slimmer than their messages.
     """
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the scan as it is
-        return df
-    return df.repartition(n) if parts < n else df
-
-
-def _base(events: DataFrame) -> DataFrame:
-    """Columns every message shape uses."""
-    events = spread(events)
+    events = events.repartition("event_id")
     eid, uid = F.col("event_id"), F.col("user_id")
     ts = F.col("ts").cast("timestamp")
     iso = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
