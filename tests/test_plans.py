@@ -1,8 +1,11 @@
 """Plan-shape checks: pushdown, single parse, partial aggregation, no raw-row windows."""
 
+import pytest
+
 from tidewater.operators import analytics as an
 from tidewater.operators import entities as ent
 from tidewater.operators.joins import orders_per_customer
+from tidewater.plans.catalog import QUERIES
 from tidewater.plans.pipeline import route_events
 from tidewater.sources import testdata as td
 
@@ -64,3 +67,54 @@ def test_topk_is_take_ordered(spark):
     from tidewater.sinks.tables import db_queries
     p = _plan(an.top_statements_by_calls(db_queries(ev), 10))
     assert "TakeOrderedAndProject" in p
+
+
+STORED = ["filter_entity_since", "filter_source_type", "filter_metric_entity", "filter_time_between",
+          "filter_slow_1000", "filter_logs_combined", "filter_slow_queries", "filter_poor_cache", "filter_high_volume",
+          "filter_errors_deadlocks", "statement_shaping", "topk_total_time", "topk_calls", "scan_limit",
+          "syslog_scan_limit", "fingerprint_rollup", "regression", "rollup", "derived_ratios", "trace_correlation",
+          "db_queries_view", "db_logs_view", "db_metrics_view"]
+
+
+@pytest.mark.parametrize("name", STORED)
+def test_analyses_read_one_stored_table(spark, name):
+    p = _plan(QUERIES[name](spark, SF))
+    assert p.count("FileScan parquet") == 1
+    assert "from_json" not in p and "parseJson" not in p and "variant_get" not in p
+
+
+def test_predicates_reach_the_stored_tables(spark):
+    """Names of partition and row-group predicates in each plan."""
+    wanted = {
+        "filter_entity_since": ["EqualTo(entity_id,host-3)", "GreaterThan(timestamp", "(event_date#"],
+        "filter_source_type": ["EqualTo(source,postgresql)", "EqualTo(event_type,database_query)"],
+        "filter_metric_entity": ["EqualTo(metric_name,postgresql.commits)", "EqualTo(entity_id,host-2)"],
+        "filter_time_between": ["GreaterThanOrEqual(timestamp", "LessThanOrEqual(timestamp", "(event_date#"],
+        "filter_slow_1000": ["GreaterThan(mean_time_ms,1000.0)"], "filter_high_volume": ["GreaterThan(calls,10000)"],
+        "filter_poor_cache": ["LessThan(cache_hit_ratio,0.8)"],
+        "filter_logs_combined": ["EqualTo(entity_id,host-1)", "EqualTo(log_level,error)", "(event_date#"],
+        "syslog_scan_limit": ["EqualTo(event_type,syslog)"]}
+    for name, parts in wanted.items():
+        p = _plan(QUERIES[name](spark, SF))
+        pushed = p[p.index("PartitionFilters"):]
+        assert [x for x in parts if x not in pushed] == [], name
+
+
+def test_stored_tables_hold_bloom_filters(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tidewater.plans import catalog
+    catalog.stored(spark, SF)
+    base = catalog._stored[spark.sparkContext.applicationId, SF]
+    for table in ("events", "metrics"):
+        column = pq.ParquetFile(glob.glob(f"{base}/{table}/event_date=*/*.parquet")[0]).metadata.row_group(0)
+        stats = {column.column(i).path_in_schema: column.column(i) for i in range(column.num_columns)}
+        assert stats["entity_id"].statistics.has_min_max
+        assert table == "metrics" or "log_level" in stats
+
+
+def test_copies_go_before_the_parse(spark):
+    p = _plan(QUERIES["dedup_by_id"](spark, SF))
+    assert p.index("partial_min_by") < p.rindex("partial_min(struct(") and p.index("from_json") < p.rindex("partial_min(struct(")

@@ -32,7 +32,7 @@ def test_time_range_reader_prunes_partitions(spark):
     ev = route_events(td.query_messages(td.load(spark, SF, "events")), "queries")
     path = os.path.join(tempfile.mkdtemp(prefix="tidewater-sink-"), "events")
     sk.write_events(ev, path, mode="overwrite")
-    df = sk.read_events_between(spark, path, "2024-01-05 00:00:00", "2024-01-06 23:59:59")
+    df = sk.read_table(spark, path, "2024-01-05 00:00:00", "2024-01-06 23:59:59")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert df.count() == ev.where("timestamp between '2024-01-05 00:00:00' and '2024-01-06 23:59:59'").count()

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.expr import vget
+from tidewater.sinks.tables import typed_events, typed_metrics
 
 # Thresholds and retention documented for the topics.
 SLOW_QUERY_MS = 100.0
@@ -31,14 +31,6 @@ RETENTION_DAYS = {"otel-metrics": 7, "raw-logs": 30, "raw-queries": 90, "raw-hos
 ERROR_LEVELS = ["error"]
 
 
-def attr(name: str, typ: str = "string", column: str = "attributes") -> Column:
-    return vget(F.col(column)[name], typ)
-
-
-def tag(name: str) -> Column:
-    return F.col("tags")[name]
-
-
 # --- filters (FP13-FP20) ------------------------------------------------------
 
 def events_for_entity_since(events: DataFrame, entity_id: str, since: str) -> DataFrame:
@@ -89,9 +81,8 @@ def logs_combined(db_logs: DataFrame, since: str, host: str, level: str) -> Data
 
 def errors_and_deadlocks(events: DataFrame) -> DataFrame:
     """FP20: error-level log events and deadlock reports."""
-    return events.where((F.col("event_type") == "log")
-                        & (tag("log_level").isin(*ERROR_LEVELS)
-                           | (F.coalesce(attr("event_type"), F.lit("")) == "deadlocks")))
+    return typed_events(events).where((F.col("event_type") == "log")
+                                      & (F.col("log_level").isin(*ERROR_LEVELS) | (F.col("payload_type") == "deadlocks")))
 
 
 def shape_statements(db_queries: DataFrame) -> DataFrame:
@@ -140,12 +131,12 @@ def fingerprint_rollup(query_events: DataFrame) -> DataFrame:
     fingerprint — then the sort-based ``min_by`` for the sample text runs on
     those reduced rows only.
     """
-    per_text = (query_events.where(attr("query_hash").isNotNull())
-                .groupBy(attr("query_hash").alias("query_hash"), attr("query").alias("query"))
+    per_text = (typed_events(query_events).where(F.col("query_hash").isNotNull())
+                .groupBy("query_hash", F.col("query_text").alias("query"))
                 .agg(F.count(F.lit(1)).alias("samples"),
-                     F.sum(attr("calls", "bigint")).alias("total_calls"),
-                     F.sum(attr("total_time_ms", "double")).alias("total_time_ms"),
-                     F.max(attr("mean_time_ms", "double")).alias("max_mean_time_ms"),
+                     F.sum("calls").alias("total_calls"),
+                     F.sum("total_time_ms").alias("total_time_ms"),
+                     F.max("mean_time_ms").alias("max_mean_time_ms"),
                      F.min("timestamp").alias("first_ts")))
     return (per_text.groupBy("query_hash")
             .agg(F.sum("samples").alias("samples"),
@@ -200,10 +191,9 @@ def regression(query_events: DataFrame, bucket: str = "1 day",
     Raw rows are first reduced to one row per (entity, fingerprint, bucket);
     the running window then sees one row per bucket, whatever the input size.
     """
-    b = (query_events.where(attr("query_hash").isNotNull())
-         .groupBy("entity_id", attr("query_hash").alias("query_hash"),
-                  F.window("timestamp", bucket).start.alias("bucket"))
-         .agg(F.count(F.lit(1)).alias("samples"), F.sum(attr("mean_time_ms", "double")).alias("sum_mean")))
+    b = (typed_events(query_events).where(F.col("query_hash").isNotNull())
+         .groupBy("entity_id", "query_hash", F.window("timestamp", bucket).start.alias("bucket"))
+         .agg(F.count(F.lit(1)).alias("samples"), F.sum("mean_time_ms").alias("sum_mean")))
     prior = Window.partitionBy("entity_id", "query_hash").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     b = (b.withColumn("hist_sum", F.sum("sum_mean").over(prior))
@@ -226,13 +216,12 @@ def topic_volume(messages: DataFrame, width: str = "1 hour") -> DataFrame:
 def alert_rows(events: DataFrame, metrics: DataFrame) -> DataFrame:
     """The alert stream (ST8/SK9 input): one row per triggered enrichment rule."""
     ev_rules = F.filter(F.array(
-        F.when(tag("requires_alert") == "true", F.lit("requires_alert")),
-        F.when(tag("category") == "database_concurrency", F.lit("database_concurrency")),
-        F.when(tag("performance") == "slow", F.lit("slow_query"))), lambda x: x.isNotNull())
-    m_rules = F.filter(F.array(F.when(tag("severity") == "warning", F.lit("metric_warning"))),
-                       lambda x: x.isNotNull())
-    ev = events.select("timestamp", "entity_id", F.explode(ev_rules).alias("rule"))
-    mt = metrics.select("timestamp", "entity_id", F.explode(m_rules).alias("rule"))
+        F.when(F.col("requires_alert") == "true", F.lit("requires_alert")),
+        F.when(F.col("category") == "database_concurrency", F.lit("database_concurrency")),
+        F.when(F.col("performance") == "slow", F.lit("slow_query"))), lambda x: x.isNotNull())
+    ev = typed_events(events).select("timestamp", "entity_id", "database", F.explode(ev_rules).alias("rule"))
+    mt = typed_metrics(metrics).where(F.col("severity") == "warning").select(
+        "timestamp", "entity_id", "database", F.lit("metric_warning").alias("rule"))
     return ev.unionByName(mt)
 
 
@@ -242,15 +231,27 @@ def alert_rollup(alerts: DataFrame, width: str = "1 day") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("alerts")))
 
 
+def first_deliveries(messages: DataFrame) -> DataFrame:
+    """WN1 before the parse: one copy of each message (topic, partition, offset).
+
+    Copies of a message are alike, so any of them stands for all.
+    """
+    at = ["topic", "partition", "offset"]
+    rest = [c for c in messages.columns if c not in at]
+    kept = messages.groupBy(*at).agg(F.min(F.struct(*rest)).alias("_r"))
+    return kept.select(*at, "_r.*").select(*messages.columns)
+
+
 def dedup_first(df: DataFrame, key: str = "id", order: tuple[str, ...] = ("timestamp",)) -> DataFrame:
-    """WN1: one row per key, the earliest by ``order``.
+    """WN1: one row per key, the earliest by ``order`` and then by a hash of the whole row.
 
     ``min_by`` over a struct is a partial aggregate: each task keeps one row
     per key before the shuffle, so skewed groups of copies stay cheap.
     """
     cols = [c for c in df.columns if c != key]
+    plain = [c for c in cols if not df.schema[c].dataType.simpleString().startswith(("map", "variant", "array", "struct"))]
     best = F.min_by(F.struct(*[F.col(c) for c in cols]),
-                    F.struct(*[F.col(c) for c in order]))
+                    F.struct(*[F.col(c) for c in order], F.xxhash64(*[F.col(c) for c in plain])))
     return df.groupBy(key).agg(best.alias("_r")).select(key, "_r.*")
 
 
@@ -273,12 +274,16 @@ def insert_if_absent(existing: DataFrame, new: DataFrame, key: list[str]) -> Dat
 
 
 def trace_correlation(events: DataFrame) -> DataFrame:
-    """JN4: events sharing a trace id, summarised per trace."""
+    """JN4: events sharing a trace id, summarised per trace.
+
+    Entities are counted through an aggregation by (trace, entity), so no set of them forms
+    however many share a trace; event kinds are a handful.
+    """
     return (events.where(F.col("trace_id").isNotNull())
             .groupBy("trace_id")
             .agg(F.count(F.lit(1)).alias("events"), F.min("timestamp").alias("first_ts"),
                  F.max("timestamp").alias("last_ts"),
-                 F.array_join(F.sort_array(F.collect_set("entity_id")), ",").alias("entities"),
+                 F.count_distinct("entity_id").alias("entities"),
                  F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("event_types")))
 
 

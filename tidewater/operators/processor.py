@@ -20,9 +20,10 @@ class ProcessorConfig:
     enable_enrichment: bool = True
     validate_data: bool = True
     drop_invalid: bool = False
-    # batch size / age of the streaming trigger (service defaults)
+    # flush of the streaming jobs by size or age (service defaults); bytes for file sources
     max_batch_size: int = 100
     max_batch_age_seconds: int = 10
+    max_batch_bytes: int = 1 << 30
 
 
 # Event silver columns: the events contract plus lineage helpers.

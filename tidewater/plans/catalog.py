@@ -8,8 +8,11 @@ Compared outputs flatten maps into columns and use ``timestamp_ntz``.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +22,16 @@ from tidewater.operators import entities as ent
 from tidewater.operators import joins as jn
 from tidewater.operators import quality as qa
 from tidewater.operators.metrics import MetricsProcessor
+from tidewater.operators.processor import quarantine
 from tidewater.operators.route import prepare, route_counts, routed
 from tidewater.plans.pipeline import process, route_events
 from tidewater.session import configure, shared_dir
+from tidewater.sinks import commit_log as log
+from tidewater.sinks import lifecycle as life
 from tidewater.sinks import tables as sk
 from tidewater.sources import files as src
 from tidewater.sources import testdata as td
-from tidewater.sources.syslog import syslog_events
+from tidewater.sources.syslog import SYSLOG_TOPIC, syslog_events
 from tidewater.streaming import stream as st
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,6 +118,44 @@ def pipeline(spark, sf_dir, land=False):
     return process(land_bronze(spark, msgs) if land else msgs)
 
 
+# Stored tables of this session by (application, input folder).
+_stored: dict[tuple[str, str], str] = {}
+
+
+def stored(spark, sf_dir):
+    """(events, metrics) read from tables that the sinks have written.
+
+    The first query of a session over ``sf_dir`` normalises its messages and writes the
+    tables; later ones read them, as analyses do.
+    """
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    for _ in range(2):
+        if key not in _stored:
+            out = pipeline(spark, sf_dir, land=True)
+            base = shared_dir(spark, "stored")
+            sk.write_events(out.events, f"{base}/events")
+            sk.write_metrics(out.metrics, f"{base}/metrics")
+            _stored[key] = base
+        try:
+            return tuple(sk.read_table(spark, f"{_stored[key]}/{name}") for name in ("events", "metrics"))
+        except AnalysisException:  # the shared folder has been emptied meanwhile
+            del _stored[key]
+    raise RuntimeError("the stored tables cannot be read back")
+
+
+def stored_events(spark, sf_dir, kind=None, start=None, end=None):
+    """Stored events, of one ``event_type`` or from a time on, by predicates that reach the scan."""
+    stored(spark, sf_dir)
+    base = _stored[spark.sparkContext.applicationId, sf_dir]
+    ev = sk.read_table(spark, f"{base}/events", start, end)
+    return ev.where(F.col("event_type") == kind) if kind else ev
+
+
+def stored_metrics(spark, sf_dir):
+    return stored(spark, sf_dir)[1]
+
+
 def _r(c, n=4):
     return F.round(F.col(c) if isinstance(c, str) else c, n)
 
@@ -190,25 +234,25 @@ def _entity_out(df):
 @register("derive_entities")
 def q_derive_entities(spark, sf_dir):
     """AG2: one row per entity from events and metrics."""
-    out = pipeline(spark, sf_dir, land=True)
-    return _entity_out(ent.derive_entities(ent.entity_records(out.events, out.metrics)))
+    return _entity_out(ent.derive_entities(ent.entity_records(*stored(spark, sf_dir))))
 
 
 @register("upsert_entities")
 def q_upsert_entities(spark, sf_dir):
-    """AG3: entities of the first half merged with entities of the second half."""
-    out = pipeline(spark, sf_dir, land=True)
-    rec = ent.entity_records(out.events, out.metrics)
+    """AG3 / ST10: entities of the second half merged into the stored ones of the first half."""
+    rec = ent.entity_records(*stored(spark, sf_dir))
     cut = F.lit("2024-01-15").cast("timestamp")
-    stored = ent.derive_entities(rec.where(F.col("timestamp") < cut))
-    new = ent.derive_entities(rec.where(F.col("timestamp") >= cut))
-    return _entity_out(ent.upsert_entities(stored, new))
+    root = shared_dir(spark, "entity-store")
+    for batch, part in enumerate((F.col("timestamp") < cut, F.col("timestamp") >= cut)):
+        log.commit(spark, root, batch, {"entities": log.Upsert(
+            ent.derive_entities(rec.where(part)), "entity_id", ent.upsert_entities)})
+    return _entity_out(log.read(spark, root, "entities"))
 
 
 @register("fingerprint_rollup")
 def q_fingerprint_rollup(spark, sf_dir):
     """AG4: totals per query fingerprint."""
-    r = an.fingerprint_rollup(query_events(spark, sf_dir))
+    r = an.fingerprint_rollup(stored_events(spark, sf_dir, "database_query"))
     return r.select("query_hash", "samples", "total_calls", _r("total_time_ms", 2).alias("total_time_ms"),
                     _r("max_mean_time_ms").alias("max_mean_time_ms"), "sample_query",
                     _r("weighted_mean_ms").alias("weighted_mean_ms"))
@@ -217,7 +261,7 @@ def q_fingerprint_rollup(spark, sf_dir):
 @register("derived_ratios")
 def q_derived_ratios(spark, sf_dir):
     """AG5: cache-hit and commit ratios per entity and day."""
-    r = an.derived_ratios(metric_rows(spark, sf_dir), "1 day")
+    r = an.derived_ratios(stored_metrics(spark, sf_dir), "1 day")
     return r.select("entity_id", ntz("bucket").alias("bucket"), _r("blocks_hit").alias("blocks_hit"),
                     _r("blocks_read").alias("blocks_read"), _r("commits").alias("commits"),
                     _r("rollbacks").alias("rollbacks"), _r("cache_hit_ratio", 6).alias("cache_hit_ratio"),
@@ -227,7 +271,7 @@ def q_derived_ratios(spark, sf_dir):
 @register("rollup")
 def q_rollup(spark, sf_dir):
     """AG6: hourly count/min/max/avg/sum per entity and metric."""
-    r = an.rollup(metric_rows(spark, sf_dir), "1 hour")
+    r = an.rollup(stored_metrics(spark, sf_dir), "1 hour")
     return r.select(ntz("window_start").alias("window_start"), "entity_id", "metric_name", "samples",
                     _r("min_value").alias("min_value"), _r("max_value").alias("max_value"),
                     _r("avg_value", 6).alias("avg_value"), _r("sum_value").alias("sum_value"))
@@ -236,14 +280,14 @@ def q_rollup(spark, sf_dir):
 @register("regression")
 def q_regression(spark, sf_dir):
     """AG7: daily buckets whose mean latency exceeds 1.5 × the earlier mean."""
-    r = an.regression(query_events(spark, sf_dir), "1 day", 1.5)
+    r = an.regression(stored_events(spark, sf_dir, "database_query"), "1 day", 1.5)
     return r.select("entity_id", "query_hash", ntz("bucket").alias("bucket"), "samples",
                     _r("current_mean", 6).alias("current_mean"),
                     _r("historical_mean", 6).alias("historical_mean"), _r("ratio", 6).alias("ratio"))
 
 
 def _dbq(spark, sf_dir):
-    return sk.db_queries(query_events(spark, sf_dir))
+    return sk.db_queries(stored_events(spark, sf_dir, "database_query"))
 
 
 @register("topk_total_time")
@@ -265,21 +309,21 @@ def q_topk_calls(spark, sf_dir):
 @register("filter_entity_since")
 def q_filter_entity_since(spark, sf_dir):
     """FP13."""
-    ev = an.events_for_entity_since(pipeline(spark, sf_dir).events, "host-3", "2024-01-15")
+    ev = an.events_for_entity_since(stored_events(spark, sf_dir, start="2024-01-15"), "host-3", "2024-01-15")
     return ev.select(ntz("timestamp").alias("timestamp"), "entity_id", "event_type", "message")
 
 
 @register("filter_source_type")
 def q_filter_source_type(spark, sf_dir):
     """FP14."""
-    ev = an.events_by_source_type(pipeline(spark, sf_dir).events, "postgresql", "database_query")
+    ev = an.events_by_source_type(stored_events(spark, sf_dir), "postgresql", "database_query")
     return ev.groupBy("entity_id", "environment").agg(F.count(F.lit(1)).alias("events"))
 
 
 @register("filter_metric_entity")
 def q_filter_metric_entity(spark, sf_dir):
     """FP15."""
-    m = an.metric_for_entity(metric_rows(spark, sf_dir), "postgresql.commits", "host-2")
+    m = an.metric_for_entity(stored_metrics(spark, sf_dir), "postgresql.commits", "host-2")
     return m.select(ntz("timestamp").alias("timestamp"), _r("metric_value").alias("metric_value"),
                     "environment")
 
@@ -287,7 +331,8 @@ def q_filter_metric_entity(spark, sf_dir):
 @register("filter_time_between")
 def q_filter_time_between(spark, sf_dir):
     """FP16."""
-    ev = an.time_range(pipeline(spark, sf_dir).events, "2024-01-10 00:00:00", "2024-01-11 00:00:00")
+    between = ("2024-01-10 00:00:00", "2024-01-11 00:00:00")
+    ev = an.time_range(stored_events(spark, sf_dir, None, *between), *between)
     return ev.select(ntz("timestamp").alias("timestamp"), "entity_id", "event_type", "message")
 
 
@@ -302,7 +347,7 @@ def q_filter_slow_1000(spark, sf_dir):
 @register("filter_logs_combined")
 def q_filter_logs_combined(spark, sf_dir):
     """FP17: time + host + level on the typed log table."""
-    d = an.logs_combined(sk.db_logs(log_events(spark, sf_dir)), "2024-01-20", "host-1", "error")
+    d = an.logs_combined(sk.db_logs(stored_events(spark, sf_dir, "log", "2024-01-20")), "2024-01-20", "host-1", "error")
     return d.select(ntz("timestamp").alias("timestamp"), "host", "database_name", "log_level", "message")
 
 
@@ -340,9 +385,8 @@ def q_filter_high_volume(spark, sf_dir):
 @register("filter_errors_deadlocks")
 def q_filter_errors_deadlocks(spark, sf_dir):
     """FP20."""
-    ev = an.errors_and_deadlocks(log_events(spark, sf_dir))
-    return ev.select(ntz("timestamp").alias("timestamp"), "entity_id",
-                     F.col("tags")["log_level"].alias("log_level"), "message")
+    ev = an.errors_and_deadlocks(stored_events(spark, sf_dir))
+    return ev.select(ntz("timestamp").alias("timestamp"), "entity_id", "log_level", "message")
 
 
 @register("statement_shaping")
@@ -376,17 +420,21 @@ def q_join_full_outer(spark, sf_dir):
 
 @register("entity_lookup")
 def q_entity_lookup(spark, sf_dir):
-    """JN3: events ⟕ entities (broadcast after a size check)."""
-    out = pipeline(spark, sf_dir, land=True)
-    ents = ent.derive_entities(ent.entity_records(out.events, out.metrics))
-    j = ent.entity_lookup(out.events, ents)
-    return j.groupBy("event_type", "entity_type").agg(F.count(F.lit(1)).alias("events"))
+    """JN3: events per kind ⟕ the entities that send metrics; events are counted per entity first.
+
+    Hosts without metrics stay, without an entity type.
+    """
+    events, metrics = stored(spark, sf_dir)
+    ents = ent.derive_entities(ent.entity_records(metrics))
+    counts = events.groupBy("entity_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return (ent.entity_lookup(counts, ents).groupBy("event_type", "entity_type")
+            .agg(F.sum("n").alias("events")))
 
 
 @register("trace_correlation")
 def q_trace_correlation(spark, sf_dir):
     """JN4: events grouped by shared trace id."""
-    t = an.trace_correlation(pipeline(spark, sf_dir).events)
+    t = an.trace_correlation(stored_events(spark, sf_dir))
     return t.select("trace_id", "events", ntz("first_ts").alias("first_ts"),
                     ntz("last_ts").alias("last_ts"), "entities", "event_types")
 
@@ -433,8 +481,9 @@ def q_envelope_completeness(spark, sf_dir):
 
 @register("topic_volume")
 def q_topic_volume(spark, sf_dir):
-    """AG8: messages and bytes per topic and hour (byte sizes depend on JSON text; rows-only)."""
-    v = an.topic_volume(td.raw_messages(events_table(spark, sf_dir)), "1 hour")
+    """AG8: messages and bytes per topic and hour, over the syslog lines."""
+    lines = td.syslog_lines(events_table(spark, sf_dir)).withColumn("topic", F.lit(SYSLOG_TOPIC))
+    v = an.topic_volume(lines, "1 hour")
     return v.select("topic", ntz("window_start").alias("window_start"), "messages", "total_bytes",
                     _r("mean_bytes", 4).alias("mean_bytes"))
 
@@ -442,16 +491,15 @@ def q_topic_volume(spark, sf_dir):
 @register("alert_rollup")
 def q_alert_rollup(spark, sf_dir):
     """AG10: alerts per day, entity and rule."""
-    out = pipeline(spark, sf_dir, land=True)
-    r = an.alert_rollup(an.alert_rows(out.events, out.metrics), "1 day")
+    r = an.alert_rollup(an.alert_rows(*stored(spark, sf_dir)), "1 day")
     return r.select(ntz("window_start").alias("window_start"), "entity_id", "rule", "alerts")
 
 
 @register("row_count")
 def q_row_count(spark, sf_dir):
     """AG11: rows of the silver tables."""
-    out = pipeline(spark, sf_dir, land=True)
-    return an.table_counts(events=out.events, metrics=out.metrics)
+    events, metrics = stored(spark, sf_dir)
+    return an.table_counts(events=events, metrics=metrics)
 
 
 @register("dedup_by_id")
@@ -459,7 +507,8 @@ def q_dedup_by_id(spark, sf_dir):
     """WN1: replayed messages deduplicated on their deterministic id."""
     msgs = td.query_messages(events_table(spark, sf_dir))
     replayed = msgs.unionByName(msgs)  # every message delivered twice
-    d = an.dedup_first(route_events(replayed, "queries"), "id", ("timestamp",))
+    once = an.first_deliveries(replayed)  # copies go before the parse; ids catch what is left
+    d = an.dedup_first(route_events(once, "queries"), "id", ("timestamp",))
     return d.select(ntz("timestamp").alias("timestamp"), "entity_id", "message", "trace_id")
 
 
@@ -468,7 +517,7 @@ def q_dedup_by_id(spark, sf_dir):
 @register("scan_limit")
 def q_scan_limit(spark, sf_dir):
     """SR7: first rows of the events table in a deterministic order."""
-    ev = pipeline(spark, sf_dir).events
+    ev = stored_events(spark, sf_dir)
     t = an.top_k(ev, 5, [F.col("timestamp"), F.col("entity_id"), F.col("event_type"), F.col("message")])
     return t.select(ntz("timestamp").alias("timestamp"), "entity_id", "event_type", "message")
 
@@ -476,16 +525,18 @@ def q_scan_limit(spark, sf_dir):
 @register("syslog_scan_limit")
 def q_syslog_scan_limit(spark, sf_dir):
     """SR8: predicate scan ``event_type = 'syslog'`` + limit."""
-    ev = pipeline(spark, sf_dir).events.where(F.col("event_type") == "syslog")
+    ev = stored_events(spark, sf_dir, "syslog")
     t = an.top_k(ev, 5, [F.col("timestamp"), F.col("entity_id"), F.col("message")])
     return t.select(ntz("timestamp").alias("timestamp"), "entity_id", "event_type", "message")
 
 
 @register("limit_any")
 def q_limit_any(spark, sf_dir):
-    """TK3: limit without order (any 5 rows; rows-only check)."""
-    ev = pipeline(spark, sf_dir).events.limit(5)
-    return ev.select(ntz("timestamp").alias("timestamp"), "entity_id", "event_type")
+    """TK3: limit without order: how many rows came, and how many of them the table holds."""
+    ev = stored_events(spark, sf_dir)
+    some = ev.limit(5).select("id", "timestamp", "message")
+    held = some.join(ev.select("id", "timestamp", "message").distinct(), ["id", "timestamp", "message"], "left_semi")
+    return an.table_counts(returned=some, held=held)
 
 
 # --- typed projections, retention, insert-if-absent, fan-out ----------------------------------
@@ -503,7 +554,7 @@ def q_db_queries_view(spark, sf_dir):
 @register("db_logs_view")
 def q_db_logs_view(spark, sf_dir):
     """SK8: typed ``db_logs``."""
-    d = sk.db_logs(log_events(spark, sf_dir))
+    d = sk.db_logs(stored_events(spark, sf_dir, "log"))
     return d.select(ntz("timestamp").alias("timestamp"), "host", "database_name", "log_level", "source",
                     "environment", "event_type", "message")
 
@@ -511,7 +562,7 @@ def q_db_logs_view(spark, sf_dir):
 @register("db_metrics_view")
 def q_db_metrics_view(spark, sf_dir):
     """SK8: typed ``db_metrics``."""
-    d = sk.db_metrics(metric_rows(spark, sf_dir))
+    d = sk.db_metrics(stored_metrics(spark, sf_dir))
     return d.select(ntz("timestamp").alias("timestamp"), "host", "database_name", "metric_name", "source",
                     "environment", _r("metric_value").alias("metric_value"), "metric_type", "unit")
 
@@ -523,36 +574,89 @@ def q_retention(spark, sf_dir):
     return kept.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
 
 
+@register("retention_table")
+def q_retention_table(spark, sf_dir):
+    """SK10 on a stored table: whole days dropped by metadata, the day of the cut filtered by time."""
+    table = f"{_schema(spark, 'ageing')}.messages"
+    life.store_messages(td.raw_messages(events_table(spark, sf_dir)), table)
+    kept, dropped = life.age_messages(spark, table, "2024-01-30 12:00:00")
+    days = spark.createDataFrame(list(dropped.items()), "topic string, dropped_days long")
+    return (kept.groupBy("topic").agg(F.count(F.lit(1)).alias("messages")).join(days, "topic", "left")
+            .select("topic", "messages", F.coalesce("dropped_days", F.lit(0)).alias("dropped_days")))
+
+
 @register("insert_if_absent")
 def q_insert_if_absent(spark, sf_dir):
-    """SK11: new query events whose (topic, id) is not stored yet."""
-    ev = query_events(spark, sf_dir)
-    existing = ev.where(F.col("timestamp") < F.lit("2024-01-20").cast("timestamp"))
+    """SK11: new query events whose id the stored table does not hold yet; only their days are read."""
+    ev = stored_events(spark, sf_dir, "database_query")
+    path = shared_dir(spark, "known-events")
+    (ev.where(F.col("timestamp") < F.lit("2024-01-20").cast("timestamp"))
+     .repartition("event_date").write.partitionBy("event_date").parquet(path))
     new = ev.where(F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp"))
-    ins = an.insert_if_absent(existing, new, ["topic", "id"])
+    ins = life.absent_rows(sk.read_table(spark, path), new)
     return ins.select("entity_id", ntz("timestamp").alias("timestamp"), "message")
 
 
+def _schema(spark, name):
+    """A schema of its own for one run, its tables in the shared folder."""
+    schema = f"{name}_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{shared_dir(spark, name)}'")
+    return schema
+
+
+@register("table_lifecycle")
+def q_table_lifecycle(spark, sf_dir):
+    """SK6 / SK7: tables created by DDL and filled, then recreated (an old one goes too) and filled again."""
+    events, metrics = stored(spark, sf_dir)
+    entities = ent.entities_json(ent.derive_entities(ent.entity_records(events, metrics)))
+    schema = _schema(spark, "lifecycle")
+    for other in ("db_logs", "notes"):
+        spark.sql(f"CREATE TABLE {schema}.{other} (line string) USING parquet")
+    for recreate in (False, True):
+        life.create_tables(spark, schema, recreate=recreate)
+        for name, rows in (("events", events), ("metrics", metrics), ("entities", entities)):
+            life.insert(rows, schema, name)
+    names = life.list_tables(spark, schema)
+    counts = an.table_counts(**{n: spark.table(f"{schema}.{n}") for n in names})
+    return (spark.createDataFrame([(n,) for n in names], "table_name string").join(counts, "table_name", "left")
+            .select("table_name", F.coalesce("row_count", F.lit(0)).alias("row_count")))
+
+
+@register("document_metrics")
+def q_document_metrics(spark, sf_dir):
+    """SR4: messages as large JSON arrays, several messages to a file, cut at their elements and flattened."""
+    path = shared_dir(spark, "documents")
+    td.otlp_metric_messages(events_table(spark, sf_dir)).select("value").mapInArrow(
+        td.json_array_lines, "value string").write.text(path)
+    return q_flatten_metrics_from(route_events(src.read_json_documents(spark, path, "otel-metrics"), "metrics"))
+
+
 @register("processed_topics")
 def q_processed_topics(spark, sf_dir):
     """SK9: processed rows fanned out to their output topics."""
-    out = pipeline(spark, sf_dir, land=True)
+    events, metrics = stored(spark, sf_dir)
     kind = F.when(F.col("event_type") == "database_query", "queries").otherwise("logs")
-    ev = out.events.select(sk.processed_topic(kind).alias("topic"))
-    mt = out.metrics.select(sk.processed_topic(F.lit("metrics")).alias("topic"))
-    al = an.alert_rows(out.events, out.metrics).select(sk.processed_topic(F.lit("alerts")).alias("topic"))
+    ev = events.select(sk.processed_topic(kind).alias("topic"))
+    mt = metrics.select(sk.processed_topic(F.lit("metrics")).alias("topic"))
+    al = an.alert_rows(events, metrics).select(sk.processed_topic(F.lit("alerts")).alias("topic"))
     return ev.unionByName(mt).unionByName(al).groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
 
 
 @register("validation_report")
 def q_validation_report(spark, sf_dir):
-    """FP11: rule violations per silver table (validate_data on, keep mode)."""
-    out = pipeline(spark, sf_dir, land=True)
-    ev = out.events.select(F.lit("events").alias("table_name"), "violations")
-    mt = out.metrics.select(F.lit("metrics").alias("table_name"), "violations")
-    return (ev.unionByName(mt).groupBy("table_name")
-            .agg(F.count(F.lit(1)).alias("row_count"),
-                 F.count_if(F.size("violations") > 0).alias("invalid")))
+    """FP11: rows of each table that break a rule are kept apart; the metrics of error events come again as NaN."""
+    ev = events_table(spark, sf_dir)
+    dirty = td.otlp_metric_messages(ev.where(F.col("event_type") == "error")).select(
+        "topic", "partition", (F.col("offset") + (1 << 40)).alias("offset"), "key",
+        F.regexp_replace("value", r'"as_double":[0-9.eE+-]+', '"as_double":"NaN"').alias("value"), "ingest_ts")
+    out = process(land_bronze(spark, td.raw_messages(ev).unionByName(dirty)))
+    rows = []
+    for name, frame in (("events", out.events), ("metrics", out.metrics)):
+        clean, invalid = quarantine(frame)
+        rows += [clean.select(F.lit(name).alias("table_name"), F.lit(None).cast("string").alias("violation")),
+                 invalid.select(F.lit(name).alias("table_name"), F.explode("violations").alias("violation"))]
+    return (reduce(DataFrame.unionByName, rows).groupBy("table_name", "violation")
+            .agg(F.count(F.lit(1)).alias("row_count")))
 
 
 # --- streaming (run to completion with availableNow, results read back) -----------------
@@ -572,11 +676,12 @@ def q_stream_normalize(spark, sf_dir):
     bronze = _bronze_files(spark, sf_dir, "bronze", td.raw_messages(ev))
     out = shared_dir(spark, "silver")
     q = st.start_normalisation(src.read_messages_stream(spark, bronze, max_files_per_trigger=16),
-                               out, os.path.join(out, "_checkpoint"), available_now=True,
-                               entities=False)
+                               out, os.path.join(out, "_checkpoint"), available_now=True)
     q.awaitTermination()
-    events = spark.read.parquet(os.path.join(out, "events"))
-    return events.groupBy("event_type", "entity_id").agg(F.count(F.lit(1)).alias("events"))
+    events = log.read(spark, out, "events")
+    return events.groupBy("event_type", "entity_id").agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("id").alias("ids"),
+        ntz(F.min("timestamp")).alias("first_ts"), F.sum(F.length("message")).alias("message_chars"))
 
 
 @register("stream_window_rollup")
@@ -586,7 +691,7 @@ def q_stream_window_rollup(spark, sf_dir):
     bronze = _bronze_files(spark, sf_dir, "bronze-metrics", td.otlp_metric_messages(ev))
     metrics = route_events(src.read_messages_stream(spark, bronze), "metrics")
     w = st.windowed_metrics(metrics, "1 hour", None, "10 minutes")
-    out = st.run_to_table(w, "rollup", shared_dir(spark, "rollup-ckpt"))
+    out, _ = st.run_to_table(w, shared_dir(spark, "rollup-ckpt"))
     return out.select(ntz("window_start").alias("window_start"), "entity_id", "metric_name", "samples",
                       _r("min_value").alias("min_value"), _r("max_value").alias("max_value"),
                       _r("sum_value").alias("sum_value"))
@@ -600,26 +705,63 @@ def q_stream_dedup(spark, sf_dir):
                            msgs.unionByName(msgs))  # every message delivered twice
     ev = route_events(src.read_messages_stream(spark, bronze), "queries")
     d = st.dedup_stream(ev.select("id", "timestamp", "entity_id", "message", "trace_id"))
-    out = st.run_to_table(d, "dedup", shared_dir(spark, "dedup-ckpt"))
+    out, _ = st.run_to_table(d, shared_dir(spark, "dedup-ckpt"))
     return out.select(ntz("timestamp").alias("timestamp"), "entity_id", "message", "trace_id")
 
 
+def _restarted(spark, name, halves, start):
+    """Drain ``start(stream, out, checkpoint)`` over the first half of some messages, land the second, start again."""
+    bronze, out = shared_dir(spark, f"{name}-bronze"), shared_dir(spark, name)
+    for half in halves:
+        half.write.mode("append").parquet(bronze)
+        start(src.read_messages_stream(spark, bronze), out, out + "-checkpoint").awaitTermination()
+    return out
+
+
+def _halves(messages):
+    at = F.lit("2024-01-15").cast("timestamp")
+    return messages.where(F.col("ingest_ts") < at), messages.where(F.col("ingest_ts") >= at)
+
+
+def _alert_topics(spark, sf_dir):
+    landed = land_bronze(spark, td.raw_messages(events_table(spark, sf_dir)))
+    return _restarted(spark, "alerts", _halves(landed), lambda stream, out, checkpoint: st.start_alerts(
+        stream, out, checkpoint, available_now=True))
+
+
 @register("slow_query_stream")
 def q_slow_query_stream(spark, sf_dir):
-    """ST9: slow-query messages (> 100 ms) keyed host:database, counted per key."""
-    s = st.slow_query_stream(query_events(spark, sf_dir))
-    return s.groupBy("topic", "key").agg(F.count(F.lit(1)).alias("messages"))
+    """ST9: a stream of slow queries (> 100 ms) keyed host:database, stopped and started again, per key."""
+    s = log.read(spark, _alert_topics(spark, sf_dir), "slow_queries")
+    return s.groupBy("topic", "key").agg(F.count(F.lit(1)).alias("messages"),
+                                         _r(F.max(F.get_json_object("value", "$.mean_time_ms").cast("double"))).alias("slowest_ms"))
 
 
 @register("alert_stream")
 def q_alert_stream(spark, sf_dir):
-    """ST8: alert messages per key and rule."""
-    out = pipeline(spark, sf_dir, land=True)
-    a = st.alert_stream(out.events, out.metrics)
+    """ST8: a stream of alerts keyed host:database, stopped and started again, per key and rule."""
+    a = log.read(spark, _alert_topics(spark, sf_dir), "alerts")
     return (a.select("topic", "key", F.get_json_object("value", "$.rule").alias("rule"))
             .groupBy("topic", "key", "rule").agg(F.count(F.lit(1)).alias("messages")))
 
 
+@register("stream_late_rows")
+def q_stream_late_rows(spark, sf_dir):
+    """ST7: a stream that gets its second half's events twice and then its first half, too late:
+    rows kept, late and double add up to the rows read."""
+    early, recent = _halves(td.query_messages(events_table(spark, sf_dir)))
+    bronze, checkpoint = shared_dir(spark, "late-bronze"), shared_dir(spark, "late-checkpoint")
+    counted = []
+    for part in (recent.unionByName(recent), early):
+        part.write.mode("append").parquet(bronze)
+        ev = route_events(src.read_messages_stream(spark, bronze), "queries")
+        out, query = st.run_to_table(st.dedup_stream(ev.select("id", "timestamp")), checkpoint)
+        counted += st.progress_rows(query)
+    rows = spark.createDataFrame(counted, "batch_id long, read long, late long, doubles long")
+    kept = out.agg(F.count(F.lit(1)).alias("kept"))
+    return kept.crossJoin(rows.agg(F.sum("late").alias("late"), F.sum("doubles").alias("doubles")))
+
+
 @register("table_roundtrip")
 def q_table_roundtrip(spark, sf_dir):
     """SK1/SK2/SK6 + FP16 read helper: write sorted, date-partitioned tables; read a day range back."""
@@ -627,24 +769,24 @@ def q_table_roundtrip(spark, sf_dir):
     base = shared_dir(spark, "tables")
     sk.write_events(out.events, os.path.join(base, "events"), mode="overwrite")
     sk.write_metrics(out.metrics, os.path.join(base, "metrics"), mode="overwrite")
-    ev = sk.read_events_between(spark, os.path.join(base, "events"), "2024-01-05 00:00:00",
-                                "2024-01-12 23:59:59")
+    ev = sk.read_table(spark, os.path.join(base, "events"), "2024-01-05 00:00:00", "2024-01-12 23:59:59")
     mt = spark.read.parquet(os.path.join(base, "metrics"))
-    a = ev.groupBy("event_date", "event_type").agg(F.count(F.lit(1)).alias("rows_read"))
+    a = ev.groupBy("event_date", "event_type").agg(
+        F.count(F.lit(1)).alias("rows_read"), F.sum(F.length("message")).alias("chars"),
+        _r(F.sum("mean_time_ms"), 2).alias("amount"))
     b = (mt.where(F.col("event_date").between(F.lit("2024-01-05").cast("date"), F.lit("2024-01-12").cast("date")))
-         .groupBy("event_date").agg(F.count(F.lit(1)).alias("rows_read"))
+         .groupBy("event_date").agg(F.count(F.lit(1)).alias("rows_read"), F.sum(F.length("unit")).alias("chars"),
+                                    _r(F.sum("metric_value"), 2).alias("amount"))
          .withColumn("event_type", F.lit("metric")))
     return a.unionByName(b).select(F.col("event_date").cast("string").alias("event_date"), "event_type",
-                                   "rows_read")
+                                   "rows_read", "chars", "amount")
 
 
 @register("entities_table")
 def q_entities_table(spark, sf_dir):
     """SK3/SK7: entities written in the contract shape (replacing the old set) and read back."""
-    out = pipeline(spark, sf_dir, land=True)
     path = shared_dir(spark, "entities")
-    sk.write_entities(ent.entities_json(ent.derive_entities(ent.entity_records(out.events, out.metrics))),
-                      path)
+    sk.write_entities(ent.entities_json(ent.derive_entities(ent.entity_records(*stored(spark, sf_dir)))), path)
     e = spark.read.parquet(path)
     return e.select("entity_id", "entity_type", ntz("first_seen").alias("first_seen"),
                     ntz("last_seen").alias("last_seen"),

@@ -380,12 +380,12 @@ FROM q WHERE coalesce(query, '') NOT LIKE '%pg_stat%'
 
 ALERTS = """
 al AS (
-  SELECT env_ts AS ts, host AS entity_id, 'requires_alert' AS rule FROM l
+  SELECT env_ts AS ts, host AS entity_id, database, 'requires_alert' AS rule FROM l
     WHERE log_level IN ('error', 'critical', 'alert', 'emergency')
-  UNION ALL SELECT env_ts, host, 'database_concurrency' FROM l
+  UNION ALL SELECT env_ts, host, database, 'database_concurrency' FROM l
     WHERE contains(coalesce(payload_event_type, ''), 'deadlock')
-  UNION ALL SELECT env_ts, host, 'slow_query' FROM q WHERE mean_time_ms > 1000
-  UNION ALL SELECT ts, entity_id, 'metric_warning' FROM m WHERE contains(metric_name, 'error') AND metric_value > 0
+  UNION ALL SELECT env_ts, host, database, 'slow_query' FROM q WHERE mean_time_ms > 1000
+  UNION ALL SELECT ts, entity_id, database, 'metric_warning' FROM m WHERE contains(metric_name, 'error') AND metric_value > 0
 )"""
 
 ORACLE["join_customer_orders"] = """
@@ -400,15 +400,15 @@ FROM customer FULL OUTER JOIN orders ON c_custkey = o_custkey
 
 ORACLE["entity_lookup"] = f"""
 {ALL}, {ENT_CTES}
-SELECT e.event_type, CASE WHEN a.db = 1 THEN 'database_host' ELSE 'host' END AS entity_type,
+SELECT e.event_type, CASE WHEN a.entity_id IS NOT NULL THEN 'database_host' END AS entity_type,
   count(*) AS events
-FROM ev e LEFT JOIN agg a ON e.entity_id = a.entity_id GROUP BY ALL
+FROM ev e LEFT JOIN (SELECT DISTINCT entity_id FROM m) a ON e.entity_id = a.entity_id GROUP BY ALL
 """
 
 ORACLE["trace_correlation"] = f"""
 {ALL}
 SELECT trace_id, count(*) AS events, min(timestamp) AS first_ts, max(timestamp) AS last_ts,
-  array_to_string(list_sort(list_distinct(list(entity_id))), ',') AS entities,
+  count(DISTINCT entity_id) AS entities,
   array_to_string(list_sort(list_distinct(list(event_type))), ',') AS event_types
 FROM ev WHERE trace_id IS NOT NULL GROUP BY trace_id
 """
@@ -546,13 +546,16 @@ SELECT topic, count(*) AS messages FROM (
 
 ORACLE["validation_report"] = f"""
 {ALL}
-SELECT 'events' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS invalid FROM ev
-UNION ALL SELECT 'metrics', count(*), CAST(0 AS BIGINT) FROM m
+SELECT 'events' AS table_name, CAST(NULL AS VARCHAR) AS violation, count(*) AS row_count FROM ev
+UNION ALL SELECT 'metrics', NULL, count(*) FROM m
+UNION ALL SELECT 'metrics', 'bad:metric_value', count(*) FROM m WHERE event_type = 'error'
 """
 
 ORACLE["stream_normalize"] = f"""
 {ALL}
-SELECT event_type, entity_id, count(*) AS events FROM ev GROUP BY ALL
+SELECT event_type, entity_id, count(*) AS events, count(*) AS ids, min(timestamp) AS first_ts,
+  sum(length(message)) AS message_chars
+FROM ev GROUP BY ALL
 """
 
 # append mode emits a window once the watermark (max event time - 10 min) has passed its end
@@ -570,22 +573,26 @@ ORACLE["stream_dedup"] = ORACLE["dedup_by_id"]
 
 ORACLE["slow_query_stream"] = f"""
 {ALL}
-SELECT 'slow-queries' AS topic, host || ':' || database AS key, count(*) AS messages
+SELECT 'slow-queries' AS topic, host || ':' || database AS key, count(*) AS messages,
+  round(max(mean_time_ms), 4) AS slowest_ms
 FROM q WHERE mean_time_ms > 100 GROUP BY ALL
 """
 
 ORACLE["alert_stream"] = f"""
 {ALL}, {ALERTS}
-SELECT 'alerts' AS topic, entity_id AS key, rule, count(*) AS messages FROM al GROUP BY ALL
+SELECT 'alerts' AS topic, entity_id || ':' || database AS key, rule, count(*) AS messages FROM al GROUP BY ALL
 """
 
 ORACLE["table_roundtrip"] = f"""
 {ALL}
-SELECT CAST(CAST(timestamp AS DATE) AS VARCHAR) AS event_date, event_type, count(*) AS rows_read FROM ev
+SELECT CAST(CAST(timestamp AS DATE) AS VARCHAR) AS event_date, event_type, count(*) AS rows_read,
+  sum(length(message)) AS chars, round(sum(CASE WHEN event_type = 'database_query' THEN amount END), 2) AS amount
+FROM (SELECT timestamp, event_type, message, NULL AS amount FROM ev WHERE event_type <> 'database_query'
+      UNION ALL SELECT env_ts, 'database_query', message, mean_time_ms FROM q)
 WHERE timestamp BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-12 23:59:59'
 GROUP BY ALL
 UNION ALL
-SELECT CAST(CAST(ts AS DATE) AS VARCHAR), 'metric', count(*) FROM m
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR), 'metric', count(*), sum(length(unit)), round(sum(metric_value), 2) FROM m
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' GROUP BY ALL
 """
 
@@ -606,3 +613,58 @@ SELECT ts AS timestamp, entity_id, metric_name, round(metric_value, 4) AS metric
   database AS database_tag, 'Synthetic ' || metric_name AS description
 FROM m
 """
+
+ORACLE["topic_volume"] = f"""
+WITH {BASE}, lines AS (
+  SELECT ingest_ts, '<' || CAST(event_id % 192 AS VARCHAR) || '>' || strftime(ts, '%b %d %H:%M:%S') || ' ' || host || ' '
+    || {SYSLOG_APP} || CASE WHEN event_id % 4 = 2 THEN '' ELSE '[' || CAST(user_id AS VARCHAR) || ']' END || ': '
+    || event_type || ' ' || props AS value
+  FROM b
+)
+SELECT 'syslog' AS topic, date_trunc('hour', ingest_ts) AS window_start, count(*) AS messages,
+  CAST(sum(strlen(value)) AS BIGINT) AS total_bytes, round(avg(strlen(value)), 4) AS mean_bytes
+FROM lines GROUP BY ALL
+"""
+
+ORACLE["limit_any"] = f"""
+{ALL}
+SELECT t.table_name, least(5, (SELECT count(*) FROM ev)) AS row_count
+FROM (VALUES ('returned'), ('held')) t(table_name)
+"""
+
+# rows without a readable envelope never reach the stream's state
+ORACLE["stream_late_rows"] = f"""
+WITH {BASE}
+SELECT count(*) FILTER (WHERE ingest_ts >= TIMESTAMP '2024-01-15') AS kept,
+  count(*) FILTER (WHERE ingest_ts < TIMESTAMP '2024-01-15') AS late,
+  count(*) FILTER (WHERE ingest_ts >= TIMESTAMP '2024-01-15') AS doubles
+FROM b WHERE ok
+"""
+
+ORACLE["document_metrics"] = ORACLE["flatten_metrics"]
+
+ORACLE["table_lifecycle"] = f"""
+{ALL}
+SELECT 'events' AS table_name, count(*) AS row_count FROM ev
+UNION ALL SELECT 'metrics', count(*) FROM m
+UNION ALL SELECT 'entities', count(DISTINCT entity_id)
+  FROM (SELECT entity_id FROM ev UNION ALL SELECT entity_id FROM m)
+UNION ALL SELECT 'notes', 0
+"""
+
+ORACLE["retention_table"] = f"""
+WITH {BASE}, {EMSG},
+allm AS (
+  SELECT CASE WHEN topic = '' THEN '-' ELSE topic END AS topic, ingest_ts FROM em
+  UNION ALL SELECT 'otel-metrics', ingest_ts FROM g
+  UNION ALL SELECT 'raw-host-logs', ingest_ts FROM g
+),
+kept AS (
+  SELECT a.topic, a.ingest_ts, TIMESTAMP '2024-01-30 12:00:00' - to_days(CAST(r.days AS INTEGER)) AS cut
+  FROM allm a LEFT JOIN (VALUES ('otel-metrics', 7), ('raw-logs', 30), ('raw-queries', 90), ('raw-host-logs', 7))
+    r(topic, days) ON a.topic = r.topic
+)
+SELECT topic, count(*) FILTER (WHERE cut IS NULL OR ingest_ts >= cut) AS messages,
+  count(DISTINCT CASE WHEN CAST(ingest_ts AS DATE) < CAST(cut AS DATE) THEN CAST(ingest_ts AS DATE) END) AS dropped_days
+FROM kept GROUP BY topic HAVING count(*) FILTER (WHERE cut IS NULL OR ingest_ts >= cut) > 0
+"""

@@ -2,8 +2,10 @@
 
 Layout: Parquet, partitioned by ``event_date``, range-partitioned and sorted
 within files on each table's sort key, so row-group min/max statistics prune
-entity and time predicates. A write is keyed by ``batch_id`` so a replayed
-micro-batch overwrites its own partition instead of appending twice.
+entity and time predicates; Bloom filters serve lookups by entity and id. Beside
+the contract's JSON text stand typed columns of the fields that analyses filter
+and aggregate, so their predicates reach the scan and no JSON is parsed again.
+Micro-batches are written through ``commit_log``.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.expr import vget
+from tidewater.session import shared_dir
+from tidewater.sinks.commit_log import Append
 from tidewater.schemas import (ENTITIES_COLUMNS, ENTITIES_SORT, EVENTS_COLUMNS, EVENTS_SORT,
                                METRICS_COLUMNS, METRICS_SORT)
 
@@ -20,26 +24,67 @@ PROCESSED_TOPICS = {"metrics": "processed-metrics", "logs": "processed-logs",
                     "queries": "processed-queries", "alerts": "alerts"}
 
 
+# Typed columns: name → (map column, key, type).
+EVENT_TYPED = {
+    "log_level": ("tags", "log_level", "string"), "requires_alert": ("tags", "requires_alert", "string"),
+    "category": ("tags", "category", "string"), "performance": ("tags", "performance", "string"),
+    "query_type": ("tags", "query_type", "string"), "payload_type": ("attributes", "event_type", "string"),
+    "query_id": ("attributes", "queryid", "string"), "query_text": ("attributes", "query", "string"),
+    "query_hash": ("attributes", "query_hash", "string"), "calls": ("attributes", "calls", "bigint"),
+    "rows_affected": ("attributes", "rows", "bigint"),
+    "total_time_ms": ("attributes", "total_time_ms", "double"),
+    "mean_time_ms": ("attributes", "mean_time_ms", "double"), "min_time_ms": ("attributes", "min_time_ms", "double"),
+    "max_time_ms": ("attributes", "max_time_ms", "double"),
+    "stddev_time_ms": ("attributes", "stddev_time_ms", "double"),
+    "cache_hit_ratio": ("attributes", "cache_hit_ratio", "double")}
+METRIC_TYPED = {"severity": ("tags", "severity", "string"), "database": ("tags", "database", "string")}
+BLOOM = ("entity_id", "id")
+
+
+def _typed(df: DataFrame, columns: dict[str, tuple[str, str, str]]) -> DataFrame:
+    def value(column: str, key: str, kind: str) -> Column:
+        return F.col("tags")[key] if column == "tags" else vget(F.col(column)[key], kind)
+    return df.select("*", *[value(*spec).alias(name) for name, spec in columns.items() if name not in df.columns])
+
+
+def typed_events(events: DataFrame) -> DataFrame:
+    """Events with their typed columns; those of a stored table have them already."""
+    return _typed(events, EVENT_TYPED)
+
+
+def typed_metrics(metrics: DataFrame) -> DataFrame:
+    return _typed(metrics, METRIC_TYPED)
+
+
 def events_contract(events: DataFrame) -> DataFrame:
-    """SK1 shape: 11 contract columns, maps as JSON text, plus ``event_date``."""
-    return events.select(
+    """SK1 shape: 11 contract columns, maps as JSON text, the typed columns and ``event_date``."""
+    return typed_events(events).select(
         *[F.to_json(c).alias(c) if c in ("tags", "attributes") else F.col(c) for c in EVENTS_COLUMNS],
-        F.to_date("timestamp").alias("event_date"))
+        "database", *EVENT_TYPED, F.to_date("timestamp").alias("event_date"))
 
 
 def metrics_contract(metrics: DataFrame) -> DataFrame:
-    """SK2 shape: 12 contract columns plus ``event_date``."""
-    return metrics.select(
+    """SK2 shape: 12 contract columns, the typed columns and ``event_date``."""
+    return typed_metrics(metrics).select(
         *[F.to_json(c).alias(c) if c in ("tags", "metadata") else F.col(c) for c in METRICS_COLUMNS],
-        F.to_date("timestamp").alias("event_date"))
+        *METRIC_TYPED, F.to_date("timestamp").alias("event_date"))
 
 
 def _write_sorted(df: DataFrame, path: str, sort: list[str], partitions: int | None,
-                  mode: str, partition_by: list[str]) -> None:
-    """SK6: range-partition on (date, sort key) → few files per date, sorted rows."""
+                  mode: str, partition_by: list[str], bloom: tuple[str, ...] = ()) -> None:
+    """SK6: range-partition on (date, sort key) → few files per date, sorted rows.
+
+    The rows are landed first, as they come: the range sampling and the sort then read
+    landed columns instead of running the whole normalisation twice.
+    """
     keys = [*partition_by, *sort]
+    landed = shared_dir(df.sparkSession, "landed")
+    df.write.mode("overwrite").parquet(landed)
+    df = df.sparkSession.read.schema(df.schema).parquet(landed)
     out = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     w = out.sortWithinPartitions(*keys).write.mode(mode)
+    for column in bloom:
+        w = w.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -48,91 +93,68 @@ def _write_sorted(df: DataFrame, path: str, sort: list[str], partitions: int | N
 def write_events(events: DataFrame, path: str, partitions: int | None = None,
                  mode: str = "append") -> None:
     """SK1."""
-    _write_sorted(events_contract(events), path, EVENTS_SORT, partitions, mode, ["event_date"])
+    _write_sorted(events_contract(events), path, EVENTS_SORT, partitions, mode, ["event_date"], BLOOM)
 
 
 def write_metrics(metrics: DataFrame, path: str, partitions: int | None = None,
                   mode: str = "append") -> None:
     """SK2."""
-    _write_sorted(metrics_contract(metrics), path, METRICS_SORT, partitions, mode, ["event_date"])
+    _write_sorted(metrics_contract(metrics), path, METRICS_SORT, partitions, mode, ["event_date"], BLOOM)
 
 
 def write_entities(entities_json_df: DataFrame, path: str) -> None:
-    """SK3: the merged entity set replaces the previous one (write to a new path, then swap)."""
+    """SK3: write a whole entity set to ``path``; merging into a stored one is ``commit_log.Upsert``."""
     _write_sorted(entities_json_df.select(*ENTITIES_COLUMNS), path, ENTITIES_SORT, None,
                   "overwrite", [])
 
 
-def write_batch(events: DataFrame, metrics: DataFrame, events_path: str, metrics_path: str,
-                batch_id: int) -> None:
-    """SK4: one micro-batch, two idempotent writes (dynamic overwrite of its batch partition)."""
-    for df, path, contract, sort in ((events, events_path, events_contract, EVENTS_SORT),
-                                     (metrics, metrics_path, metrics_contract, METRICS_SORT)):
-        out = contract(df).withColumn("batch_id", F.lit(int(batch_id)))
-        (out.sortWithinPartitions("event_date", *sort).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")  # only this batch's partitions
-            .partitionBy("batch_id", "event_date").parquet(path))
-
+def batch_tables(events: DataFrame, metrics: DataFrame, dead: DataFrame) -> dict[str, Append]:
+    """SK4: the tables of one micro-batch, for ``commit_log.commit``."""
+    return {"events": Append(events_contract(events), tuple(EVENTS_SORT)),
+            "metrics": Append(metrics_contract(metrics), tuple(METRICS_SORT)),
+            "dead_letter": Append(dead.withColumn("event_date", F.to_date("ingest_ts")), ("topic", "reason"))}
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
 
-
-def read_events_between(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
-    """FP16 read helper: the timestamp predicate plus the derived partition predicate.
+def read_table(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """SR7 / FP13 / FP16: a stored table, from ``start`` to ``end`` (both inclusive) where given.
 
     Plain Parquet does not infer ``event_date`` bounds from a timestamp filter,
     so both are stated; the date one prunes directories, the other row groups.
     """
     df = spark.read.parquet(path)
-    s, e = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
-    return df.where(F.col("event_date").between(F.to_date(s), F.to_date(e))
-                    & F.col("timestamp").between(s, e))
-
-
-def drop_tables(spark: SparkSession, names: list[str]) -> None:
-    """SK7: drop tables if they exist (missing ones are ignored)."""
-    for n in names:
-        spark.sql(f"DROP TABLE IF EXISTS {n}")
+    for bound, sign in ((start, 1), (end, -1)):
+        if bound is not None:
+            at = F.lit(bound).cast("timestamp")
+            day = F.to_date(at)
+            df = df.where((F.col("event_date") >= day) & (F.col("timestamp") >= at) if sign > 0
+                          else (F.col("event_date") <= day) & (F.col("timestamp") <= at))
+    return df
 
 
 # --- SK8 typed projections ------------------------------------------------------
 
-def _a(name: str, typ: str = "string") -> Column:
-    return vget(F.col("attributes")[name], typ)
-
-
 def db_queries(query_events: DataFrame) -> DataFrame:
-    """Typed ``db_queries`` view of query events."""
-    return query_events.select(
+    """Typed ``db_queries`` view of query events, in flight or stored."""
+    return typed_events(query_events).select(
         "timestamp", F.col("entity_id").alias("host"), F.col("database").alias("database_name"),
-        _a("mean_time_ms", "double").alias("mean_time_ms"), "source", "environment",
-        _a("queryid").alias("query_id"), _a("query").alias("query_text"),
-        _a("query_hash").alias("query_hash"), _a("calls", "bigint").alias("calls"),
-        _a("total_time_ms", "double").alias("total_time_ms"),
-        _a("min_time_ms", "double").alias("min_time_ms"),
-        _a("max_time_ms", "double").alias("max_time_ms"),
-        _a("stddev_time_ms", "double").alias("stddev_time_ms"),
-        _a("rows", "bigint").alias("rows_affected"),
-        _a("cache_hit_ratio", "double").alias("cache_hit_ratio"),
-        F.col("tags"), F.col("created_at"))
+        "mean_time_ms", "source", "environment", "query_id", "query_text", "query_hash", "calls", "total_time_ms",
+        "min_time_ms", "max_time_ms", "stddev_time_ms", "rows_affected", "cache_hit_ratio", "tags",
+        F.col("attributes").alias("metadata"), "created_at")
 
 
 def db_logs(log_events: DataFrame) -> DataFrame:
-    """Typed ``db_logs`` view of log events."""
-    return log_events.select(
+    """Typed ``db_logs`` view of log events, in flight or stored."""
+    return typed_events(log_events).select(
         "timestamp", F.col("entity_id").alias("host"), F.col("database").alias("database_name"),
-        F.col("tags")["log_level"].alias("log_level"), "source", "environment",
-        F.coalesce(_a("event_type"), F.col("event_type")).alias("event_type"), "message",
-        F.col("tags"), F.col("created_at"))
+        "log_level", "source", "environment", F.coalesce("payload_type", "event_type").alias("event_type"), "message",
+        "tags", F.col("attributes").alias("metadata"), "created_at")
 
 
 def db_metrics(metrics: DataFrame) -> DataFrame:
-    """Typed ``db_metrics`` view of metrics."""
-    return metrics.select(
-        "timestamp", F.col("entity_id").alias("host"),
-        F.col("tags")["database"].alias("database_name"), "metric_name", "source", "environment",
-        "metric_value", "metric_type", "unit", "tags", "created_at")
+    """Typed ``db_metrics`` view of metrics, in flight or stored."""
+    return typed_metrics(metrics).select(
+        "timestamp", F.col("entity_id").alias("host"), F.col("database").alias("database_name"),
+        "metric_name", "source", "environment", "metric_value", "metric_type", "unit", "tags", "metadata", "created_at")
 
 
 # --- SK5 / SK9 keyed publish ----------------------------------------------------

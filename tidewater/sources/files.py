@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.schemas import MESSAGES_DDL
+from tidewater.sources.documents import read_elements
 
 
 COPIES = 10_000  # copies of a line that one row spells out
@@ -55,11 +56,10 @@ def read_json_lines(spark: SparkSession, path: str, topic: str | None = None) ->
 def read_json_documents(spark: SparkSession, path: str, topic: str) -> DataFrame:
     """SR4/SR5: files holding one JSON document each, either an object or an
     array of objects (e.g. a list of ResourceMetrics); every object becomes a
-    message. ``from_json`` to ``array<string>`` hands back each element's text."""
-    raw = spark.read.text(path, wholetext=True).selectExpr(*FILE, "value")
-    doc = F.trim(F.col("value"))
-    elems = F.when(doc.startswith("["), F.from_json(doc, "array<string>")).otherwise(F.array(doc))
-    return _bronze(raw.select("_path", "_time", F.posexplode(elems).alias("number", "msg")), topic, "msg", "number")
+    message, a large array's in many tasks (``documents.read_elements``)."""
+    elements = read_elements(spark, path)
+    return _bronze(elements.select(F.col("path").alias("_path"), F.col("time").alias("_time"),
+                                   F.col("element").alias("number"), F.col("text").alias("msg")), topic, "msg", "number")
 
 
 def read_messages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -70,17 +70,19 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 def read_topics_stream(spark: SparkSession, bootstrap_servers: str, topics: list[str],
                        starting_offsets: str = "earliest",
                        max_offsets_per_trigger: int | None = None,
-                       fail_on_data_loss: bool = True, text: bool = True) -> DataFrame:
+                       fail_on_data_loss: bool = True, text: bool = True,
+                       options: dict[str, str] | None = None) -> DataFrame:
     """SR2: subscribe to the topics (needs the Kafka connector on the classpath).
 
     Lost offsets end the query unless the caller chooses otherwise; ``text=False``
-    keeps the bytes, as the protobuf metrics topic needs (``otlp_proto.decode_messages``).
+    keeps the bytes, as the protobuf metrics topic needs (``otlp_proto.decode_messages``);
+    ``options`` as from ``streaming.stream.admission``.
     """
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap_servers)
          .option("subscribe", ",".join(topics))
          .option("startingOffsets", starting_offsets)
-         .option("failOnDataLoss", str(fail_on_data_loss).lower()))
+         .option("failOnDataLoss", str(fail_on_data_loss).lower()).options(**(options or {})))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     return r.load().select(
@@ -89,9 +91,10 @@ def read_topics_stream(spark: SparkSession, bootstrap_servers: str, topics: list
 
 
 def read_messages_stream(spark: SparkSession, path: str, fmt: str = "parquet",
-                         max_files_per_trigger: int | None = None) -> DataFrame:
+                         max_files_per_trigger: int | None = None,
+                         options: dict[str, str] | None = None) -> DataFrame:
     """SR2 stand-in: a directory of bronze message files as a stream."""
-    r = spark.readStream.schema(MESSAGES_DDL).format(fmt)
+    r = spark.readStream.schema(MESSAGES_DDL).format(fmt).options(**(options or {}))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(path)
@@ -99,6 +102,9 @@ def read_messages_stream(spark: SparkSession, path: str, fmt: str = "parquet",
 
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ",",
                    header: bool = False) -> DataFrame:
-    """SR9: external delimited text table with declared columns."""
+    """SR9: external delimited text table with declared columns.
+
+    A line that does not fit them keeps its text in ``_corrupt_record`` if the schema declares that column.
+    """
     return (spark.read.schema(schema).option("sep", sep).option("header", str(header).lower())
-            .option("mode", "PERMISSIVE").csv(path))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))

@@ -12,6 +12,9 @@ seeing JSON.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -207,6 +210,16 @@ def otlp_metric_messages(events: DataFrame) -> DataFrame:
                        F.col("host").alias("key"), value.alias("value"), "ingest_ts")
 
 
+def json_array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each task's messages as the lines of one JSON array."""
+    first = True
+    for b in batches:
+        lines = [("[" if first and not i else ",") + v for i, v in enumerate(b.column(0).to_pylist())]
+        first = first and not lines
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if first else "]"])], ["value"])
+
+
 def otlp_log_messages(events: DataFrame) -> DataFrame:
     """``raw-host-logs`` messages: OTLP JSON logs, many records per message."""
     b = _base(events)
