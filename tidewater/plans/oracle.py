@@ -554,7 +554,7 @@ UNION ALL SELECT 'metrics', 'bad:metric_value', count(*) FROM m WHERE event_type
 ORACLE["stream_normalize"] = f"""
 {ALL}
 SELECT event_type, entity_id, count(*) AS events, count(*) AS ids, min(timestamp) AS first_ts,
-  sum(length(message)) AS message_chars
+  CAST(sum(length(message)) AS BIGINT) AS message_chars
 FROM ev GROUP BY ALL
 """
 
@@ -586,13 +586,13 @@ SELECT 'alerts' AS topic, entity_id || ':' || database AS key, rule, count(*) AS
 ORACLE["table_roundtrip"] = f"""
 {ALL}
 SELECT CAST(CAST(timestamp AS DATE) AS VARCHAR) AS event_date, event_type, count(*) AS rows_read,
-  sum(length(message)) AS chars, round(sum(CASE WHEN event_type = 'database_query' THEN amount END), 2) AS amount
+  CAST(sum(length(message)) AS BIGINT) AS chars, round(sum(CASE WHEN event_type = 'database_query' THEN amount END), 2) AS amount
 FROM (SELECT timestamp, event_type, message, NULL AS amount FROM ev WHERE event_type <> 'database_query'
       UNION ALL SELECT env_ts, 'database_query', message, mean_time_ms FROM q)
 WHERE timestamp BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-12 23:59:59'
 GROUP BY ALL
 UNION ALL
-SELECT CAST(CAST(ts AS DATE) AS VARCHAR), 'metric', count(*), sum(length(unit)), round(sum(metric_value), 2) FROM m
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR), 'metric', count(*), CAST(sum(length(unit)) AS BIGINT), round(sum(metric_value), 2) FROM m
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' GROUP BY ALL
 """
 
