@@ -15,7 +15,8 @@ Token ids travel as binary: little-endian unsigned 32-bit integers.
 Defined results: a null text encodes like an empty one, to no ids; null ids
 decode to an empty text; ids that are not valid UTF-8 together decode with
 replacement characters. Rows stay as they are otherwise; repeated rows give
-repeated results, and a column named like a result is replaced.
+repeated results, a column named like a result is replaced, and an empty table gives an
+empty one.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ column functions are used.
 
 Defined results: null or wordless texts have no words and no hits; wordless
 items never occur. Documents are keyed by (doc_id, text), so rows equal in both
-give one row. An empty benchmark hits nothing. Extra columns do not matter.
+give one row. An empty benchmark hits nothing, an empty table has no rows. Items of equal
+id count once. Texts of any length are read whole. Extra columns do not matter.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ runs are compacted once more and give the lines to drop: those in at least
 Defined results: a null or empty text is one empty line. A null doc_id counts as
 smaller than all others. Rows with the same doc_id are one document when
 documents are counted, and each row loses its own lines. Extra columns do not
-matter; an empty table gives an empty result.
+matter; an empty table gives an empty result. Texts of any length are read whole. Ids are
+taken as longs; a text id that is no number ends the job.
 """
 
 from __future__ import annotations

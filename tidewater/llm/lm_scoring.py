@@ -15,7 +15,8 @@ once (both uses share the exchange). Word keys are 64-bit hashes.
 Defined results: a null or blank text consists of its end token. A null doc_id
 counts as an empty one when documents are dealt into training and held out.
 Every row is scored, repeated rows alike; with no training document all counts
-are zero.
+are zero. Very long texts are read whole, in chunks; an empty table gives an empty one;
+columns named like a result are replaced.
 """
 
 from __future__ import annotations

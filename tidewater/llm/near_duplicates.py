@@ -24,6 +24,8 @@ can hold a pair of different classes. Classes are connected components.
 Defined results: every input row gets the smallest doc_id of its class. Null texts are
 classes of their own; blank texts match equal texts only. Rows equal in id and text are
 one document. Null ids belong to the class of their text and are not counted for its id.
+Of equal similarities the partner of smaller key is proposed. Very long texts are compared
+by all their shingles; an empty table has no classes; extra columns do not matter.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ places and u32 high parts.
 
 Defined results: a null text is an empty one; its only id is ``END``. Equal ids
 are ordered by text hash, null ids come first; an empty table writes a file
-without rows. Extra columns do not matter.
+without rows. A very long text is one document of a longer segment. Ids are taken as
+longs. Extra columns do not matter.
 """
 
 from __future__ import annotations

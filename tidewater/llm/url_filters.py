@@ -12,7 +12,8 @@ Defined results: a null url, or one without ``://``, has an empty host and path
 and gets the default verdict. Hosts keep ports and user parts as written. An
 empty rule table leaves every URL with the default. Repeated rows are judged
 once per row of the input (rows equal in id and url give one row each time they
-occur); extra columns of the input do not matter.
+occur); extra columns of the input do not matter; an empty table gives none. A url of any
+length is expanded only as deep as the deepest rule.
 """
 
 from __future__ import annotations
