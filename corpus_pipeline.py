@@ -3,6 +3,12 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
 writes each result as Parquet to the shared folder and reads it back as the
 next stage's documents.
+
+Defined results: null, empty and blank texts fail the base rule of the first stage
+and go, as do repeated rows but one in the third; null ids, languages and sources
+are values of their own; texts of any length are taken whole; an empty table gives
+an empty one; extra columns stay, but ``ids``, ``n_tokens`` and ``round_trip`` are
+replaced by the last stage.
 """
 
 from __future__ import annotations
@@ -19,7 +25,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go."""
+    """Rejected documents go, the others lose their boilerplate lines."""
     return quality_rules.keep_documents(docs)
 
 
