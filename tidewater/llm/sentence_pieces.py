@@ -303,7 +303,9 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
 def decode(docs: DataFrame, model_path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``docs`` plus ``text``, decoded from ``ids``."""
     def convert(model: Pieces, values: pa.Array) -> pa.Array:
-        return pa.array([model.decode(v or []) for v in values.to_pylist()], pa.string())
+        every = values.flatten().to_numpy(zero_copy_only=False).tolist()
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False)).tolist()
+        return pa.array([model.decode(every[a:b]) for a, b in zip([0, *ends], ends)], pa.string())
 
     return _mapped(docs, model_path, ids, text, StringType(), convert)
 
