@@ -50,10 +50,6 @@ def is_vstring(v: Column) -> Column:
     return F.coalesce(vkind(v) == F.lit("STRING"), F.lit(False))
 
 
-def is_vobject(v: Column) -> Column:
-    return F.coalesce(vkind(v).startswith("OBJECT"), F.lit(False))
-
-
 def py_str(m: Column, key: str, default: str) -> Column:
     """``str(d.get(key, default))`` over a ``map<string,variant>``.
 
@@ -85,6 +81,7 @@ def nanos_timestamp(ns: Column, fallback: Column) -> Column:
 
 
 def epoch_micros(ts: Column) -> Column:
+    """SC11: microseconds since the epoch, the time form of published messages."""
     return F.unix_micros(ts)
 
 
@@ -146,12 +143,6 @@ def row_id(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts]), 256)
 
 
-# --- SC7 map → JSON text ------------------------------------------------------
-
-def json_text(m: Column) -> Column:
-    return F.to_json(m)
-
-
 # --- SC12 syslog priority -----------------------------------------------------
 
 def facility(pri: Column) -> Column:

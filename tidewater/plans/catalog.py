@@ -260,12 +260,22 @@ def q_fingerprint_rollup(spark, sf_dir):
 
 @register("derived_ratios")
 def q_derived_ratios(spark, sf_dir):
-    """AG5: cache-hit and commit ratios per entity and day."""
-    r = an.derived_ratios(stored_metrics(spark, sf_dir), "1 day")
+    """AG5: cache-hit and commit ratios and backends per database, per entity and day.
+
+    Backends and databases come from the session snapshots of each hour.
+    """
+    hours = _snapshots(spark, sf_dir).groupBy("host", "snapshot_ts").agg(
+        F.sum("total").cast("double").alias("backends"), F.count(F.lit(1)).cast("double").alias("num_databases"))
+    sessions = hours.select(
+        F.col("host").alias("entity_id"), F.col("snapshot_ts").alias("timestamp"), F.explode(F.create_map(
+            F.lit("postgresql.backends"), F.col("backends"),
+            F.lit("postgresql.num_databases"), F.col("num_databases"))).alias("metric_name", "metric_value"))
+    metrics = stored_metrics(spark, sf_dir).select("entity_id", "timestamp", "metric_name", "metric_value")
+    r = an.derived_ratios(metrics.unionByName(sessions), "1 day")
     return r.select("entity_id", ntz("bucket").alias("bucket"), _r("blocks_hit").alias("blocks_hit"),
                     _r("blocks_read").alias("blocks_read"), _r("commits").alias("commits"),
                     _r("rollbacks").alias("rollbacks"), _r("cache_hit_ratio", 6).alias("cache_hit_ratio"),
-                    _r("commit_ratio", 6).alias("commit_ratio"))
+                    _r("commit_ratio", 6).alias("commit_ratio"), _r("backends_per_db", 6).alias("backends_per_db"))
 
 
 @register("rollup")
@@ -733,8 +743,10 @@ def _alert_topics(spark, sf_dir):
 def q_slow_query_stream(spark, sf_dir):
     """ST9: a stream of slow queries (> 100 ms) keyed host:database, stopped and started again, per key."""
     s = log.read(spark, _alert_topics(spark, sf_dir), "slow_queries")
+    field = lambda name, kind: F.get_json_object("value", f"$.{name}").cast(kind)
     return s.groupBy("topic", "key").agg(F.count(F.lit(1)).alias("messages"),
-                                         _r(F.max(F.get_json_object("value", "$.mean_time_ms").cast("double"))).alias("slowest_ms"))
+                                         _r(F.max(field("mean_time_ms", "double"))).alias("slowest_ms"),
+                                         F.max(field("time_us", "bigint")).alias("last_us"))
 
 
 @register("alert_stream")

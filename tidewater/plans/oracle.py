@@ -254,12 +254,21 @@ d AS (
     sum(CASE WHEN metric_name = 'postgresql.commits' THEN metric_value END) AS cm,
     sum(CASE WHEN metric_name = 'postgresql.rollbacks' THEN metric_value END) AS rb
   FROM m GROUP BY ALL
+),
+hours AS (
+  SELECT host, date_trunc('hour', ts) AS hour, count(*) AS backends, count(DISTINCT database) AS dbs FROM b GROUP BY ALL
+),
+s AS (
+  SELECT host AS entity_id, date_trunc('day', hour) AS bucket, max(backends) AS backends, max(dbs) AS dbs
+  FROM hours GROUP BY ALL
 )
-SELECT entity_id, bucket, round(hit, 4) AS blocks_hit, round(rd, 4) AS blocks_read,
+SELECT coalesce(d.entity_id, s.entity_id) AS entity_id, coalesce(d.bucket, s.bucket) AS bucket,
+  round(hit, 4) AS blocks_hit, round(rd, 4) AS blocks_read,
   round(cm, 4) AS commits, round(rb, 4) AS rollbacks,
   round(CASE WHEN hit + rd <> 0 THEN hit / (hit + rd) END, 6) AS cache_hit_ratio,
-  round(CASE WHEN cm + rb <> 0 THEN cm / (cm + rb) END, 6) AS commit_ratio
-FROM d
+  round(CASE WHEN cm + rb <> 0 THEN cm / (cm + rb) END, 6) AS commit_ratio,
+  round(CAST(s.backends AS DOUBLE) / s.dbs, 6) AS backends_per_db
+FROM d FULL OUTER JOIN s ON d.entity_id = s.entity_id AND d.bucket = s.bucket
 """
 
 ORACLE["rollup"] = f"""
@@ -574,7 +583,7 @@ ORACLE["stream_dedup"] = ORACLE["dedup_by_id"]
 ORACLE["slow_query_stream"] = f"""
 {ALL}
 SELECT 'slow-queries' AS topic, host || ':' || database AS key, count(*) AS messages,
-  round(max(mean_time_ms), 4) AS slowest_ms
+  round(max(mean_time_ms), 4) AS slowest_ms, max(epoch_us(env_ts)) AS last_us
 FROM q WHERE mean_time_ms > 100 GROUP BY ALL
 """
 

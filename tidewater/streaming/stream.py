@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewater.functions.expr import epoch_micros
 from tidewater.operators import analytics as an
 from tidewater.operators import entities as ent
 from tidewater.operators.processor import ProcessorConfig
@@ -133,7 +134,8 @@ def slow_query_messages(events: DataFrame, threshold_ms: float = an.SLOW_QUERY_M
     """ST9: query events over the latency threshold, as keyed JSON messages."""
     slow = sk.typed_events(events).where((F.col("event_type") == "database_query") & (F.col("mean_time_ms") > threshold_ms))
     return slow.select(F.lit("slow-queries").alias("topic"), _key().alias("key"),
-                       F.to_json(F.struct("timestamp", "entity_id", "message", "query_hash", "mean_time_ms")).alias("value"),
+                       F.to_json(F.struct(epoch_micros(F.col("timestamp")).alias("time_us"), "entity_id", "message",
+                                          "query_hash", "mean_time_ms")).alias("value"),
                        F.to_date("timestamp").alias("event_date"))
 
 
@@ -141,7 +143,7 @@ def alert_messages(events: DataFrame, metrics: DataFrame) -> DataFrame:
     """ST8: one keyed message per triggered enrichment rule, on the ``alerts`` topic."""
     a = an.alert_rows(events, metrics)
     return a.select(F.lit(sk.PROCESSED_TOPICS["alerts"]).alias("topic"), _key().alias("key"),
-                    F.to_json(F.struct("timestamp", "entity_id", "rule")).alias("value"),
+                    F.to_json(F.struct(epoch_micros(F.col("timestamp")).alias("time_us"), "entity_id", "rule")).alias("value"),
                     F.to_date("timestamp").alias("event_date"))
 
 
