@@ -93,9 +93,10 @@ def rows():
         texts[i] = " ".join(other)
     texts[60:63] = [texts[60]] * 3  # three copies lose their lines but in the last
     texts[64] = texts[63]
+    foreign = "Ñandú 🙂 " * 3 + texts[71][::-1]
     rows = [(i, t, "en", "hot" if i % 3 else "small", len(t)) for i, t in enumerate(texts)]
     rows += [(200, None, None, None, None), (201, "", "en", "hot", 0), (202, "too short", "en", "hot", 9), rows[70],
-             (203, "Ñandú 🙂 " * 3 + texts[71][::-1], "es", None, 7)]
+             (203, foreign, "es", None, len(foreign))]
     return rows, [passage, None, "", "some words of an item that never occurs anywhere in any text"]
 
 
@@ -121,7 +122,7 @@ def test_pipeline_rows_equal_the_brute_force_chain(spark, rows):
         assert (r.text, r.source, r.n_chars) == (text, source, chars)
         assert np.frombuffer(r.ids, "<u4").tolist() == ids and r.n_tokens == len(ids) and r.round_trip
     changed = {d for d, t, *_ in docs if d in got and got[d].text != t}
-    assert changed and len(got) < len({d for d, *_ in docs}) - 20
+    assert changed and len(got) < len({d for d, *_ in docs}) - 10
 
 
 def test_pipeline_of_an_empty_table(spark, rows):
