@@ -5,18 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.route import DOCUMENT_TOPICS
+
 # Fixed value: fields every custom envelope must carry.
 REQUIRED_FIELDS = ["timestamp", "source", "data_type", "host", "database"]
 
 
 def envelope_completeness(prepared: DataFrame) -> DataFrame:
-    """FP22: per topic, messages that are not JSON and JSON objects lacking each field."""
-    env = F.col("env")
-    aggs = [F.count(F.lit(1)).alias("messages"),
-            F.count_if(~F.col("is_json") | env.isNull()).alias("bad_json")]
+    """FP22: per topic, messages that are no JSON object and objects lacking each field.
+
+    OTLP messages have not been read as an envelope before; that happens here.
+    """
+    read = F.coalesce(F.col("env"), F.when(F.col("topic").isin(*DOCUMENT_TOPICS),
+                                           F.from_json("value", "map<string,variant>")))
+    keys = F.map_keys(read).alias("keys")  # null: not an object
+    aggs = [F.count(F.lit(1)).alias("messages"), F.count_if(F.col("keys").isNull()).alias("bad_json")]
     for f in REQUIRED_FIELDS:
-        aggs.append(F.count_if(env.isNotNull() & ~F.map_contains_key(env, f)).alias(f"missing_{f}"))
-    return prepared.groupBy("topic").agg(*aggs)
+        aggs.append(F.count_if(~F.array_contains("keys", f)).alias(f"missing_{f}"))
+    return prepared.select("topic", keys).groupBy("topic").agg(*aggs)
 
 
 def statistics_envelopes(snapshots: DataFrame, source: str = "postgresql") -> DataFrame:
