@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidewater.operators import analytics as an
 from tidewater.plans import catalog
 
 AT = "2024-01-01 00:00:00"
@@ -19,3 +20,10 @@ def test_entity_lookup_derives_entities_from_events_too(spark, monkeypatch):
     monkeypatch.setattr(catalog, "stored", lambda *_: (events, metrics))
     got = {tuple(r) for r in catalog.q_entity_lookup(spark, "").select("event_type", "entity_type", "events").collect()}
     assert got == {("log", "host", 2), ("log", "database_host", 1), ("syslog", "database_host", 1)}
+
+
+def test_trace_correlation_names_the_entities(spark):
+    events = _rows(spark, [("t", "b", "log"), ("t", "a", "log"), ("t", "b", "syslog"), ("u", "a", "log"), (None, "a", "log")],
+                   "trace_id string, entity_id string, event_type string")
+    got = {r.trace_id: (r.events, r.entities, r.event_types) for r in an.trace_correlation(events).collect()}
+    assert got == {"t": (3, "a,b", "log,syslog"), "u": (1, "a", "log")}
