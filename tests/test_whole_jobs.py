@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import analytics as an
 from tidewater.plans import catalog
+from tidewater.sources import testdata as td
 
 AT = "2024-01-01 00:00:00"
 
@@ -27,3 +28,16 @@ def test_trace_correlation_names_the_entities(spark):
                    "trace_id string, entity_id string, event_type string")
     got = {r.trace_id: (r.events, r.entities, r.event_types) for r in an.trace_correlation(events).collect()}
     assert got == {"t": (3, "a,b", "log,syslog"), "u": (1, "a", "log")}
+
+
+def test_landed_messages_of_a_topic_lie_in_every_file(spark, tmp_path):
+    events = spark.range(20000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") + 1704067200).alias("ts"),
+        (F.col("id") % 50).alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.5).alias("value"),
+        F.sha2(F.col("id").cast("string"), 256).alias("props"))
+    landed = catalog.land_bronze(spark, td.raw_messages(events), str(tmp_path / "bronze"))
+    files = landed.groupBy("topic", F.input_file_name().alias("f")).count().collect()
+    assert sum(r["count"] for r in files if r.topic in ("raw-queries", "raw-logs", "")) == 40000
+    per_file = [r["count"] for r in files if r.topic == "raw-queries"]
+    assert len(per_file) == len({r.f for r in files}) > 1
+    assert max(per_file) < 2 * sum(per_file) / len(per_file)
