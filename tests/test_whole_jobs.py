@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidewater.functions.expr import py_str, vget, vnumber
 from tidewater.operators import analytics as an
 from tidewater.plans import catalog
 from tidewater.sources import testdata as td
@@ -41,3 +42,45 @@ def test_landed_messages_of_a_topic_lie_in_every_file(spark, tmp_path):
     per_file = [r["count"] for r in files if r.topic == "raw-queries"]
     assert len(per_file) == len({r.f for r in files}) > 1
     assert max(per_file) < 2 * sum(per_file) / len(per_file)
+
+
+def _events(spark, n):
+    return spark.range(n).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") + 1704067200).alias("ts"),
+        (F.col("id") % 50).alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.5).alias("value"),
+        F.lit("{}").alias("props"))
+
+
+def test_a_query_of_one_kind_writes_that_kind_and_the_table_is_whole_in_the_end(spark, tmp_path):
+    sf = str(tmp_path / "sf")
+    _events(spark, 3000).write.parquet(f"{sf}/events.parquet")
+    logs = catalog.stored_events(spark, sf, "log")
+    base = catalog._stored[spark.sparkContext.applicationId, sf]
+    count = lambda: {r.event_type: r["count"] for r in spark.read.parquet(
+        f"{base}/events").groupBy("event_type").count().collect()}
+    first = count()
+    assert set(first) == {"log"} and logs.count() == first["log"]
+    whole = catalog.stored_events(spark, sf)
+    straight = {r.event_type: r["count"] for r in catalog.pipeline(spark, sf).events.groupBy("event_type").count().collect()}
+    assert count() == straight and set(straight) == {"log", "database_query", "syslog"}
+    assert whole.count() == sum(straight.values()) == catalog.stored_events(spark, sf).count()
+    assert catalog.stored_metrics(spark, sf).count() == catalog.pipeline(spark, sf).metrics.count() == 3000
+
+
+def test_otlp_rows_are_dealt_once_to_all_tasks(spark):
+    for messages in (td.otlp_metric_messages, td.otlp_log_messages):
+        plan = messages(_events(spark, 3000))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 == plan.count("REPARTITION_BY_NUM")
+
+
+def test_numbers_read_from_their_text_are_those_of_the_variant_cast(spark):
+    texts = ["1", "-0", "12.5", "1e3", "1.0", "123456789012345678901", "0.1", "1e400", '"7"', '"x"', '"NaN"', "true",
+             "null", "{}", "[1]", "9223372036854775807", "1e-7", "123456789.123456789"]
+    v = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.try_parse_json("t").alias("v"))
+    for kind in ("double", "bigint"):
+        for r in v.select("t", vnumber(F.col("v"), kind).alias("a"), vget(F.col("v"), kind).alias("b")).collect():
+            assert str(r.a) == str(r.b), (kind, r)
+    m = F.create_map(F.lit("k"), F.col("v"))
+    for r in v.where("v is not null").select("t", py_str(m, "k", "-").alias("a"), F.when(
+            F.is_variant_null("v"), "None").otherwise(vget(F.col("v"))).alias("b")).collect():
+        assert r.a == r.b, r
