@@ -84,3 +84,30 @@ def test_numbers_read_from_their_text_are_those_of_the_variant_cast(spark):
     for r in v.where("v is not null").select("t", py_str(m, "k", "-").alias("a"), F.when(
             F.is_variant_null("v"), "None").otherwise(vget(F.col("v"))).alias("b")).collect():
         assert r.a == r.b, r
+
+
+def test_one_route_alone_parses_its_own_messages_and_gives_the_rows_of_the_whole_job(spark, bronze):
+    from tidewater.plans.pipeline import process, route_events
+    events = _events(spark, 300)
+    odd = bronze([("", '{"data_type":"query","host":"h","payload":{"mean_time_ms":"x"}}'), ("", "[1]"), ("x", "{"),
+                  ("", '{"data_type":"query","host":null,"payload":{}}'), ("raw-logs", '{"payload":{"event_type":7}}'),
+                  ("raw-host-logs", '{"data_type":"log","payload":{}}'), ("raw-host-logs", "no"),
+                  ("", '{"scope_metrics":[{"metrics":[{"name":"m","gauge":{"dataPoints":[{"asInt":"1_0"}]}}]}]}'),
+                  ("otel-metrics", '{"scopeMetrics":[]}'), ("raw-queries", '{"tags":{"a":{}},"payload":{}}'),
+                  ("", '{"data_type":"log","tags":{"a":1}}'), ("raw-queries", '{"data_type":"log"}')])
+    messages = td.raw_messages(events).unionByName(odd)
+    whole = process(messages)
+    shown = lambda df: sorted(r.id + str(r.entity_id) for r in df.collect())
+    for route, kind in (("queries", "database_query"), ("logs", "log"), ("host_logs", "syslog"), ("metrics", None)):
+        alone = route_events(messages, route)
+        assert shown(alone) == shown(whole.events.where(F.col("event_type") == kind) if kind else whole.metrics) != []
+        plan = alone._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(StructField") == (route in ("host_logs", "metrics")), route
+
+
+def test_host_logs_land_no_messages_that_content_cannot_route_to_them(spark, tmp_path):
+    sf = str(tmp_path / "sf")
+    _events(spark, 500).write.parquet(f"{sf}/events.parquet")
+    catalog.stored_events(spark, sf, "syslog")
+    base = catalog._stored[spark.sparkContext.applicationId, sf]
+    assert {r.topic for r in spark.read.parquet(f"{base}/bronze/syslog").select("topic").distinct().collect()} == {"raw-host-logs"}
