@@ -275,3 +275,10 @@ def test_language_id_sample_is_bounded_whatever_the_copies(spark):
         got = Counter(r.lang for r in language_id.sample_keys(keyed, 100, total).collect())
         assert got == want
     assert language_id.sample_keys(keyed.limit(0), 100).count() == 0
+
+
+def test_distinct_keys_are_sorted_and_each_once():
+    from tidewater.llm.arrays import distinct
+    keys = np.random.default_rng(1).integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2)
+    for a in (keys, np.repeat(keys, 3), keys[:1], keys[:0], np.array([2**64 - 1, 0, 2**64 - 1], np.uint64)):
+        assert distinct(a).tolist() == sorted(set(a.tolist()))

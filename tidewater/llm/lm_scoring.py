@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.arrays import (U, by_shard, chunks, mix, pack_keys, pack_numbers, shard_bits, summed,
-                                  unpack_keys, unpack_numbers, with_ends, word_hashes)
+from tidewater.llm.arrays import (KeyIndex, U, by_shard, chunks, distinct, mix, pack_keys, pack_numbers, shard_bits,
+                                  summed, unpack_keys, unpack_numbers, with_ends, word_hashes)
 from tidewater.llm.common import shuffle_partitions, written
 
 END = 0x5851F42D4C957F2D  # the end token's key
@@ -146,14 +146,14 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
         train_row = ~table["held_out"].to_numpy()
         for first, part in chunks(table["text"]):
             seq, owner = with_ends(*word_hashes(part), len(part), END)
-            seen.append(np.unique(seq[1:]))
-            pairs.append(np.unique(pair_keys(seq[:-1], seq[1:])))
+            seen.append(distinct(seq[1:]))
+            pairs.append(distinct(pair_keys(seq[:-1], seq[1:])))
             trained.append(seq[1:][train_row[first + owner]])
-        keys = np.unique(np.concatenate(seen))
+        keys = distinct(np.concatenate(seen))
         counts = np.zeros(len(keys), np.uint32)
         words, n = np.unique(np.concatenate(trained), return_counts=True)
         counts[np.searchsorted(keys, words)] = n
-        pairs = np.unique(np.concatenate(pairs))
+        pairs = distinct(np.concatenate(pairs))
         rows = [(0, s, pack_keys(keys[at]), pack_numbers(counts[at])) for s, at in by_shard(keys, bits)]
         rows += [(1, s, pack_keys(pairs[at]), None) for s, at in by_shard(pairs, bits)]
         block = table["block"][0].as_py()
@@ -188,14 +188,15 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
 
         known = column(0, "counts")
         parts = [(first, len(p), *with_ends(*word_hashes(p), len(p), END)) for first, p in chunks(docs["text"])]
-        keys = np.unique(np.concatenate([np.array([END], U), *[seq for _, _, seq, _ in parts]]))
+        keys = distinct(np.concatenate([np.array([END], U), *[seq for _, _, seq, _ in parts]]))
         log_exact = np.log10(known + 0.5) - np.log10(size)
         unigram, pair_levels = counts_of(column(0, "levels")), column(1, "levels")
-        every = np.unique(np.concatenate([np.unique(pair_keys(seq[:-1], seq[1:])) for _, _, seq, _ in parts]))
+        every = distinct(np.concatenate([distinct(pair_keys(seq[:-1], seq[1:])) for _, _, seq, _ in parts]))
+        place = KeyIndex(keys)
         out = {c: np.zeros(len(docs), t) for c, t in (
             ("n_tokens", np.int64), ("n_known", np.int64), ("base", np.float64), ("score", np.float64))}
         for first, n, seq, owner in parts:
-            at = np.searchsorted(keys, seq)
+            at = place(seq)
             word, context = at[1:], at[:-1]
             pairs, where = np.unique(pair_keys(seq[:-1], seq[1:]), return_inverse=True)
             pair = counts_of(pair_levels[np.searchsorted(every, pairs)])[where]
