@@ -282,3 +282,21 @@ def test_distinct_keys_are_sorted_and_each_once():
     keys = np.random.default_rng(1).integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2)
     for a in (keys, np.repeat(keys, 3), keys[:1], keys[:0], np.array([2**64 - 1, 0, 2**64 - 1], np.uint64)):
         assert distinct(a).tolist() == sorted(set(a.tolist()))
+
+
+def test_word_table_looks_older_words_up_and_drops_the_oldest(monkeypatch):
+    monkeypatch.setattr(token_files, "TABLE_WORDS", 3)
+    text = open(queries.VOCABULARY).read()
+    library, encoder = Tokenizer.from_str(text), token_files.LibraryEncoder(text)
+    texts = ["a b c d", "a\x7f b", "d e f\tg h", " a é <|endoftext|> x", "", "\x1c~!  \n"] * 2
+    for t in texts:
+        assert np.frombuffer(encoder.encode([t])[0], "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+        assert isinstance(encoder.words, token_files.Words) and len(getattr(encoder.words.older, "older", ())) == 0
+
+
+def test_ascii_texts_split_as_by_the_class_pattern():
+    rng = np.random.default_rng(3)
+    letters = [c for c in map(chr, range(128)) if not bpe.CONTROL.match(c)] + list(" \t\n'_sd1") * 9
+    for _ in range(3000):
+        text = "".join(rng.choice(letters, rng.integers(0, 16)))
+        assert bpe.QUICK_ASCII.findall(text) == bpe.QUICK.findall(text) == bpe.split_words(text)

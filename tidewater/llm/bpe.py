@@ -60,6 +60,9 @@ def byte_letters() -> dict[str, int]:
 # (fixed value); right for texts without the characters of ``odd_characters``.
 QUICK = re.compile(r"""'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+""")
 
+# The same for ASCII texts without the characters of ``CONTROL``: sets of characters, not of classes.
+QUICK_ASCII = re.compile(r"""'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+""")
+
 
 @cache
 def odd_characters() -> frozenset[str]:
@@ -82,7 +85,10 @@ def library_splitter() -> tokenizers.pre_tokenizers.PreTokenizer:
 
 
 def split_words(text: str) -> list[str]:
-    if (not CONTROL.search(text)) if text.isascii() else odd_characters().isdisjoint(set(text)):
+    if text.isascii():
+        if not CONTROL.search(text):
+            return QUICK_ASCII.findall(text)
+    elif odd_characters().isdisjoint(set(text)):
         return QUICK.findall(text)
     return [text[a:b] for _, (a, b) in library_splitter().pre_tokenize_str(text)]
 

@@ -23,9 +23,8 @@ from __future__ import annotations
 
 import struct
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import chain, filterfalse
 from pathlib import Path
 
 import numpy as np
@@ -128,12 +127,24 @@ def unpack(payload: bytes) -> np.ndarray:
     return ids.reshape(-1)[:total]
 
 
+class Words(dict):
+    """Words already encoded; one that is missing comes from the older generation or is made."""
+
+    def __init__(self, older: dict[str, bytes], make: Callable[[str], bytes]):
+        self.older, self.make = older, make
+
+    def __missing__(self, word: str) -> bytes:
+        made = self[word] = self.older.get(word) or self.make(word)
+        return made
+
+
 class LibraryEncoder:
     """The tokenizer library behind a table of words already encoded.
 
     A text is cut where the library's pre-tokenizer cuts it and each different
     piece goes through the library's model once; pieces are encoded independently
-    there too. The table keeps two generations of ``TABLE_WORDS`` words.
+    there too. The table keeps two generations of about ``TABLE_WORDS`` words; each word of a
+    text is looked up once.
     """
 
     def __init__(self, vocabulary: str):
@@ -145,11 +156,10 @@ class LibraryEncoder:
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.letters = {b: letter for letter, b in byte_letters().items()}
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words = Words({}, self.piece)
 
     def pieces(self, text: str) -> list[str]:
-        if self.at_special is None or not self.at_special.search(text):
+        if not any(s in text for s in self.special):
             return split_words(text)
         return [x for i, part in enumerate(self.at_special.split(text))
                 for x in ([part] if i % 2 else split_words(part))]
@@ -157,18 +167,18 @@ class LibraryEncoder:
     def piece(self, piece: str) -> bytes:
         if piece in self.special:
             return array("I", [self.special[piece]]).tobytes()
-        spelt = piece.encode().decode("latin-1").translate(self.letters)  # the byte-level alphabet
+        # the byte-level alphabet, which writes the printable ASCII characters but space as they are
+        spelt = piece.replace(" ", self.letters[32]) if piece.isascii() and piece.isprintable() \
+            else piece.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         with paused_collection():
-            split = [self.pieces(t) for t in texts]
-            new = set(filterfalse(self.words.__contains__, chain.from_iterable(split)))
-            if len(self.words) + len(new) > TABLE_WORDS:
-                self.words, self.older, new = {}, self.words, set(chain.from_iterable(split))
-            for w in new:
-                self.words[w] = self.older.get(w) or self.piece(w)
-            return [b"".join(map(self.words.__getitem__, words)) for words in split]
+            if len(self.words) > TABLE_WORDS:
+                self.words.older = {}
+                self.words = Words(self.words, self.piece)
+            look = self.words.__getitem__
+            return [b"".join(map(look, self.pieces(t))) for t in texts]
 
 
 @cache
