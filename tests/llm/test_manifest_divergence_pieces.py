@@ -231,3 +231,22 @@ def test_pieces_of_awkward_and_empty_tables(spark, awkward, library):
     nothing = awkward.select("doc_id", F.lit(None).cast("array<int>").alias("ids"))
     assert {r.text for r in sentence_pieces.decode(nothing, PIECES).collect()} == {""}
     assert sentence_pieces.encode(awkward.limit(0), PIECES).count() == 0
+
+
+def test_terms_of_a_large_batch_are_cut_in_small_steps():
+    import tracemalloc
+
+    import pyarrow as pa
+    texts = [f"Word{'x' * (i % 7)} other" * 400 for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "de"] * 500), pa.array(["s"] * 1000), pa.array(texts)],
+                                       ["lang", "source", "text"])
+    whole = divergence.term_lists(batch.column(2), batch.column(0))
+    tracemalloc.start()
+    made, sizes = [], []
+    for part in divergence.cut_terms(iter([batch])):
+        made += part.column(2).to_pylist() if len(made) < 40 else [None] * part.num_rows
+        sizes.append(part.num_rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == 1000 and len(sizes) > 4 and made[:40] == whole.to_pylist()[:40]
+    assert peak < 70e6, peak

@@ -48,6 +48,7 @@ PRIOR = 5
 TOP_TERMS = 50
 LARGEST_INT = 2**31 - 1
 MARK = "\x00"  # between language and term; no term holds it
+STEP_BYTES = 1 << 20  # of text cut at once; the index arrays of a step take some thirty times that
 SOURCES = 128
 TERMS = 1024
 
@@ -81,15 +82,16 @@ def term_lists(texts: pa.Array, langs: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(texts) + 1)).astype(np.int32)), words)
 
 
+def cut_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for first, part in chunks(b.column(2), STEP_BYTES):
+            langs, sources = (b.column(i).slice(first, len(part)) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([langs, sources, term_lists(part, langs)], ["lang", "source", "terms"])
+
+
 def tagged_terms(docs: DataFrame) -> DataFrame:
     """(lang, source, terms) of documents (lang, source, text)."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for first, part in chunks(b.column(2)):
-                langs, sources = (b.column(i).slice(first, len(part)) for i in (0, 1))
-                yield pa.RecordBatch.from_arrays([langs, sources, term_lists(part, langs)], ["lang", "source", "terms"])
-
-    return docs.select("lang", "source", "text").mapInArrow(cut, "lang string, source string, terms array<string>")
+    return docs.select("lang", "source", "text").mapInArrow(cut_terms, "lang string, source string, terms array<string>")
 
 
 def vectors(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame]:
