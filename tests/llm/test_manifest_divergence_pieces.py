@@ -250,3 +250,18 @@ def test_terms_of_a_large_batch_are_cut_in_small_steps():
     tracemalloc.stop()
     assert sum(sizes) == 1000 and len(sizes) > 4 and made[:40] == whole.to_pylist()[:40]
     assert peak < 70e6, peak
+
+
+def test_sums_of_a_batch_travel_as_arrays(spark):
+    """A row a group and range of term ids, not one a term; sums of several batches meet again."""
+    from pyspark.ml.linalg import Vectors
+    size = divergence.TERM_CELL + 10
+    rows = [("en", f"s{i % 2}", Vectors.sparse(size, [(0, 2.0), (5, float(i)), (size - 1, 1.0)])) for i in range(6)]
+    rows.append(("en", "none", Vectors.sparse(size, [])))
+    vecs = spark.createDataFrame(rows, ["lang", "source", "vector"]).coalesce(1)
+    parts = vecs.mapInArrow(divergence.partial_sums,
+                            "lang string, source string, cell int, term_ids array<int>, counts array<long>").collect()
+    assert sorted((r.source, r.cell, len(r.term_ids)) for r in parts) == [
+        ("s0", 0, 2), ("s0", 1, 1), ("s1", 0, 2), ("s1", 1, 1)]
+    got = {(r.source, r.term_id): r.n for r in divergence.group_counts(vecs.repartition(3)).collect()}
+    assert got == {("s0", 0): 6, ("s0", 5): 6, ("s0", size - 1): 3, ("s1", 0): 6, ("s1", 5): 9, ("s1", size - 1): 3}

@@ -4,8 +4,8 @@ A term is a run of ASCII letters and non-ASCII characters, A-Z lower-cased. Spar
 ``CountVectorizer`` (``minDF``, largest integer ``vocabSize``) makes the exact sparse
 vector of every document. Its terms carry their language, so one fit holds the vocabulary
 of each language apart, document frequencies included, whatever the number of languages.
-Vectors are summed per (language, source) as sparse triples: per Arrow batch in the task,
-then by Spark's aggregation, so a hot source is summed from partial counts.
+Vectors are summed per (language, source): per Arrow batch in the task, whose sums travel as arrays
+of a range of term ids, then per group and range, so a hot source is summed from partial counts.
 
 Pairs of sources are evaluated in blocks of ``SOURCES`` sources and ``TERMS`` terms of a
 language. A block pair holds only terms that one of its sources uses; what all other
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewater.llm.arrays import FOLD, chunks, text_bytes
+from tidewater.llm.arrays import FOLD, chunks, summed, text_bytes
 from tidewater.llm.common import written
 
 IS_TERM = np.zeros(256, bool)  # ASCII letters and the bytes of other characters
@@ -49,6 +49,7 @@ TOP_TERMS = 50
 LARGEST_INT = 2**31 - 1
 MARK = "\x00"  # between language and term; no term holds it
 STEP_BYTES = 1 << 20  # of text cut at once; the index arrays of a step take some thirty times that
+TERM_CELL = 4096  # term ids whose sums of a group travel as one row
 SOURCES = 128
 TERMS = 1024
 
@@ -117,28 +118,47 @@ def vectors(docs: DataFrame, min_df: int) -> tuple[DataFrame, DataFrame]:
     return model.transform(tagged).select("lang", "source", "vector"), vocabulary
 
 
+def partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, cell, term_ids, counts): the sums of a batch's vectors, ``TERM_CELL`` term ids of a group a row."""
+    for b in batches:
+        keys = pa.table({"lang": b.column(0), "source": b.column(1)})
+        groups = keys.group_by(["lang", "source"]).aggregate([])
+        place = {(r["lang"], r["source"]): i for i, r in enumerate(groups.to_pylist())}
+        rows = np.fromiter((place[k] for k in zip(b.column(0).to_pylist(), b.column(1).to_pylist())), np.int64)
+        vec = pa.array(b.column(2)) if not isinstance(b.column(2), pa.ExtensionArray) else b.column(2).storage
+        indices, values = vec.field("indices"), vec.field("values")
+        sizes = pc.fill_null(pc.list_value_length(indices), 0).to_numpy(zero_copy_only=False)
+        key, counts = summed(np.repeat(rows, sizes) << 32 | indices.flatten().to_numpy(zero_copy_only=False),
+                             values.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+        if not len(key):
+            continue
+        cell = key // TERM_CELL
+        first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        ends = pa.array(np.append(first, len(key)).astype(np.int32))
+        picked = groups.take(pa.array(key[first] >> 32)).combine_chunks()
+        yield from pa.table({
+            "lang": picked["lang"], "source": picked["source"],
+            "cell": pa.array(((key[first] & 0xFFFFFFFF) // TERM_CELL).astype(np.int32)),
+            "term_ids": pa.ListArray.from_arrays(ends, pa.array((key & 0xFFFFFFFF).astype(np.int32))),
+            "counts": pa.ListArray.from_arrays(ends, pa.array(counts))}).to_batches()
+
+
+def cell_sums(key: tuple[pa.Scalar, ...], cell: pa.Table) -> pa.Table:
+    """The rows of ``partial_sums`` of one cell as one row a term."""
+    ids, sums = summed(cell["term_ids"].combine_chunks().flatten().to_numpy(),
+                       cell["counts"].combine_chunks().flatten().to_numpy())
+    lang, source = (pa.repeat(k, len(ids)) for k in key[:2])
+    return pa.table({"lang": lang, "source": source, "term_id": pa.array(ids), "n": pa.array(sums)})
+
+
 def group_counts(vecs: DataFrame) -> DataFrame:
-    """(lang, source, term_id, n): the sums of the vectors of each group."""
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = pa.table({"lang": b.column(0), "source": b.column(1)})
-            groups = keys.group_by(["lang", "source"]).aggregate([])
-            place = {(r["lang"], r["source"]): i for i, r in enumerate(groups.to_pylist())}
-            rows = np.fromiter((place[k] for k in zip(b.column(0).to_pylist(), b.column(1).to_pylist())), np.int64)
-            vec = pa.array(b.column(2)) if not isinstance(b.column(2), pa.ExtensionArray) else b.column(2).storage
-            indices, values = vec.field("indices"), vec.field("values")
-            sizes = pc.fill_null(pc.list_value_length(indices), 0).to_numpy(zero_copy_only=False)
-            key = np.repeat(rows, sizes) << 32 | indices.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            order = np.argsort(key, kind="stable")
-            key, counts = key[order], values.flatten().to_numpy(zero_copy_only=False)[order].astype(np.int64)
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
-            sums = np.add.reduceat(counts, first) if len(key) else np.empty(0, np.int64)
-            picked = groups.take(pa.array(key[first] >> 32)).combine_chunks()
-            yield from pa.table({"lang": picked["lang"], "source": picked["source"], "term_id": pa.array(
-                (key[first] & 0xFFFFFFFF).astype(np.int32)), "n": pa.array(sums)}).to_batches()
-
-    rows = vecs.mapInArrow(partial, "lang string, source string, term_id int, n long")
-    return rows.groupBy("lang", "source", "term_id").agg(F.sum("n").alias("n"))
+    """(lang, source, term_id, n): the sums of the vectors of each group.
+
+    What a batch adds to a group travels as arrays, not as a row a term.
+    """
+    cells = vecs.mapInArrow(partial_sums, "lang string, source string, cell int, term_ids array<int>, counts array<long>")
+    return cells.groupBy("lang", "source", "cell").applyInArrow(
+        cell_sums, "lang string, source string, term_id int, n long")
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
