@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.expr import py_str, vget, vnumber
 from tidewater.operators import analytics as an
 from tidewater.plans import catalog
+from tidewater.session import settings
 from tidewater.sources import testdata as td
 
 AT = "2024-01-01 00:00:00"
@@ -111,3 +112,21 @@ def test_host_logs_land_no_messages_that_content_cannot_route_to_them(spark, tmp
     catalog.stored_events(spark, sf, "syslog")
     base = catalog._stored[spark.sparkContext.applicationId, sf]
     assert {r.topic for r in spark.read.parquet(f"{base}/bronze/syslog").select("topic").distinct().collect()} == {"raw-host-logs"}
+
+
+def test_the_batches_of_a_stream_follow_its_bytes_not_the_tasks_that_landed_them(spark, tmp_path, monkeypatch):
+    sf = str(tmp_path / "sf")
+    _events(spark, 2000).write.parquet(f"{sf}/events.parquet")
+    start, landed, ended = catalog.st.start_normalisation, [], []
+    read = catalog.src.read_messages_stream
+    monkeypatch.setattr(catalog.src, "read_messages_stream", lambda s, path, **k: landed.append(path) or read(s, path, **k))
+    monkeypatch.setattr(catalog.st, "start_normalisation", lambda *a, **k: ended.append(start(*a, **k)) or ended[-1])
+    with settings(spark, {"spark.sql.shuffle.partitions": "30"}):
+        got = {r.event_type: r["sum(events)"] for r in catalog.q_stream_normalize(spark, sf).groupBy(
+            "event_type").sum("events").collect()}
+        straight = catalog.pipeline(spark, sf).events.groupBy("event_type").count().collect()
+        messages = td.raw_messages(td.load(spark, sf, "events"))
+        assert spark.read.parquet(landed[0]).exceptAll(messages).count() == 0 == messages.exceptAll(
+            spark.read.parquet(landed[0])).count()
+    assert got == {r.event_type: r["count"] for r in straight} and set(got) == {"log", "database_query", "syslog"}
+    assert len([p for p in ended[0].recentProgress if p.numInputRows]) == 1
