@@ -3,8 +3,10 @@
 import glob
 import os
 import tempfile
+import time
 
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from tidewater.plans.pipeline import route_events
 from tidewater.sinks import tables as sk
@@ -52,3 +54,43 @@ def test_keyed_publish_to_topic_files(spark):
     rows = spark.read.json(out).orderBy("key").collect()
     assert [r.key for r in rows] == ["h1:db1", "h2:db2"]
     assert _json.loads(rows[0].value) == {"host": "h1", "database": "db1", "n": 3}
+
+
+def _day_rows(spark, n, days):
+    at = F.timestamp_seconds(F.col("id") % days * 86400 + F.col("id") % 1000 + 1704067200)
+    return spark.range(n).select(
+        at.alias("timestamp"), F.concat(F.lit("e"), F.col("id") % 9).alias("entity_id"), F.when(F.col("id") % 50 > 0, F.to_date(at)).alias("event_date"),
+        F.col("id").cast("string").alias("id"), F.sha2(F.col("id").cast("string"), 256).alias("message"))
+
+
+def test_a_large_table_is_written_in_slices_of_days_and_leaves_no_landed_rows(spark, tmp_path, monkeypatch):
+    rows, path = _day_rows(spark, 4000, 13), str(tmp_path / "t")
+    monkeypatch.setattr(sk, "SLICE_ROWS", 700)
+    landed, fresh = [], sk.shared_dir
+    monkeypatch.setattr(sk, "shared_dir", lambda s, name: landed.append(fresh(s, name)) or landed[-1])
+    for mode, times in (("append", 1), ("append", 2), ("overwrite", 1)):
+        sk._write_sorted(rows, path, ["entity_id", "timestamp"], None, mode, ["event_date"], ("id",))
+        back = spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+        assert back.count() == times * 4000 and back.exceptAll(rows).count() == (times - 1) * 4000
+        assert rows.exceptAll(back).count() == 0
+    for f in glob.glob(os.path.join(path, "event_date=*", "*.parquet")):
+        t = pq.ParquetFile(f).read(columns=["entity_id", "timestamp"]).to_pylist()
+        assert t == sorted(t, key=lambda r: (r["entity_id"], r["timestamp"]))
+    assert len(landed) == 3 and all(spark.read.parquet(p).count() == 0 for p in landed)
+    slices = sk.day_slices(rows, "event_date")
+    assert 5 <= len(slices) <= sk.SLICES + 1 and sum(rows.where(s).count() for s in slices) == 4000
+    sk._write_sorted(rows.limit(0), str(tmp_path / "none"), ["entity_id"], None, "append", ["event_date"])
+    assert spark.read.schema(rows.schema).parquet(str(tmp_path / "none")).count() == 0
+
+
+def test_the_shuffle_files_of_a_written_table_are_gone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sk, "SLICE_ROWS", 700)
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: sum("shuffle_" in f.getName() for f in iter(
+        [local.getAllFiles().apply(i) for i in range(local.getAllFiles().size())]))
+    before = shuffled()
+    sk._write_sorted(_day_rows(spark, 4000, 13), str(tmp_path / "t"), ["entity_id"], None, "append", ["event_date"])
+    deadline = time.time() + 20
+    while shuffled() > before and time.time() < deadline:
+        time.sleep(0.5)
+    assert shuffled() <= before
