@@ -9,6 +9,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tidewater.plans.pipeline import route_events
+from tidewater.sinks import lifecycle as life
 from tidewater.sinks import tables as sk
 from tidewater.sources import testdata as td
 
@@ -94,3 +95,19 @@ def test_the_shuffle_files_of_a_written_table_are_gone(spark, tmp_path, monkeypa
     while shuffled() > before and time.time() < deadline:
         time.sleep(0.5)
     assert shuffled() <= before
+
+
+def test_tables_are_filled_in_slices_of_days_with_a_file_a_bucket_and_day(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sk, "SLICE_ROWS", 700)
+    schema = f"filled_{os.urandom(4).hex()}"
+    life.create_tables(spark, schema, str(tmp_path / "db"))
+    columns = spark.table(f"{schema}.events").schema
+    rows = _day_rows(spark, 4000, 13)
+    rows = rows.select(*[c.name if c.name in rows.columns else F.lit(None).cast(c.dataType).alias(c.name) for c in columns])
+    life.insert(rows, schema, "events")
+    back = spark.table(f"{schema}.events")
+    assert back.count() == 4000 and back.exceptAll(rows).count() == 0 == rows.exceptAll(back).count()
+    files = glob.glob(str(tmp_path / "db" / "events" / "event_date=*" / "*.parquet"))
+    buckets = rows.select("event_date", F.pmod(F.hash("entity_id"), F.lit(life.BUCKETS))).distinct().count()
+    assert len(files) == buckets
+    spark.sql(f"DROP DATABASE {schema} CASCADE")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.analytics import RETENTION_DAYS
+from tidewater.session import TIDY_CONF, settings
 from tidewater.sinks import tables as sk
 
 # Tables of earlier releases that a recreation removes too.
@@ -56,11 +57,19 @@ def list_tables(spark: SparkSession, schema: str) -> list[str]:
 
 
 def insert(rows: DataFrame, schema: str, name: str) -> None:
-    """Append rows: one task a bucket, so each day gets one sorted file a bucket."""
-    columns = rows.sparkSession.table(f"{schema}.{name}").columns
-    if LAYOUT[name]:
-        rows = rows.repartition(BUCKETS, "entity_id")
-    rows.select(*columns).write.insertInto(f"{schema}.{name}")
+    """Append rows: one task a bucket, so each day gets one sorted file a bucket.
+
+    Large tables go in slices of whole days, so that the disk holds the shuffle of one slice; ``rows``
+    are read once a slice and should be stored ones.
+    """
+    spark = rows.sparkSession
+    rows = rows.select(*spark.table(f"{schema}.{name}").columns)
+    with settings(spark, {**TIDY_CONF, "spark.sql.parquet.compression.codec": "zstd"}):
+        for days in sk.day_slices(rows, "event_date") if LAYOUT[name] else [F.lit(True)]:
+            some = rows.where(days)
+            if LAYOUT[name]:
+                some = some.repartition(BUCKETS, "entity_id")
+            some.write.insertInto(f"{schema}.{name}")
 
 
 # --- SK10: ageing -----------------------------------------------------------------
